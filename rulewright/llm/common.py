@@ -44,7 +44,7 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate: of a file scan, the bytes of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def shards(df: DataFrame, each: int = 64 << 20, most: int = 100_000) -> int:

@@ -78,6 +78,8 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        #: Whether all ids fit into 16 bits.
+        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
         pre, norm = conf.get("pre_tokenizer") or {}, conf.get("normalizer")
         #: Words with their leading space, or words without any space in lower case, or neither.
         self.kind = "none"
