@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, prefixhash, simhash, wavelet
-from .common import table
+from . import langid, packing, prefixhash, secrets, simhash, wavelet
+from .common import remainder, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,10 +24,21 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    found = langid.identify(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
