@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, prefixhash, secrets, simhash, wavelet
+from . import decontaminate, langid, packing, prefixhash, secrets, simhash, urlfilter, wavelet
 from .common import remainder, table
 
 
@@ -24,6 +24,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
@@ -43,6 +47,13 @@ def op8_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+URL_RULES = [urlfilter.rule("block", "net/"), urlfilter.rule("allow", "example.net/en/"), urlfilter.rule("block", "example.com/de/"), urlfilter.rule("allow", "org/fr/")]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
 
