@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, prefixhash, secrets, simhash, urlfilter, wavelet
+from . import decontaminate, langid, packing, pitmanyor, prefixhash, secrets, simhash, urlfilter, wavelet
 from .common import remainder, table
 
 
@@ -43,6 +43,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+
+
 def op8_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
