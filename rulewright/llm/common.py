@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,15 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it runs from a checkout instead of an installation."""
+    at, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if at not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), at) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, pitmanyor, prefixhash, secrets, simhash, urlfilter, wavelet
+from . import decontaminate, langid, packing, passages, pitmanyor, prefixhash, secrets, simhash, urlfilter, wavelet
 from .common import remainder, table
 
 
@@ -36,6 +36,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     held_out = remainder("doc_id", 4) == 2
