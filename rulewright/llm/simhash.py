@@ -230,3 +230,100 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 4) -> Da
     # Sizes are those of distinct fingerprints; a fingerprint that very many documents share is split by Spark's skew join.
     ids = classed.join(first, "root").select("fp", "component_id")
     return own.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# -- near copies by similarity -------------------------------------------------
+
+#: Fingerprints of a text, each from hashes of its own, and hashes of its shingles that are kept to compare it.
+FINGERPRINTS = 4
+SKETCH = 256
+
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+_word_hashes: dict[bytes, int] = {}
+
+
+def _hash_words(words: list[bytes]) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    if len(_word_hashes) > 1 << 18:
+        _word_hashes.clear()
+    for w in words:
+        if w not in _word_hashes:
+            _word_hashes[w] = xxh64_intdigest(w, SEED)
+    return np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * _MIX
+    x = (x ^ x >> np.uint64(29)) * _MIX
+    return x ^ x >> np.uint64(32)
+
+
+def describe(text: str, width: int) -> tuple[int, list[int], bytes]:
+    """(key, fingerprints, sketch) of a text: a hash of all its words, majority bits over its distinct words, and the least hashes of its shingles."""
+    words = _hash_words(text.encode("utf-8", "surrogatepass").lower().split())
+    if not words.size:
+        return 0, [0] * FINGERPRINTS, b""
+    powers = np.full(words.size, 0x9E3779B97F4A7C15, np.uint64)
+    key = int(_scramble(np.array([(words * np.cumprod(powers)).sum(dtype=np.uint64)]))[0])
+    distinct, fps = np.unique(words), []
+    for k in range(FINGERPRINTS):
+        bits = np.unpackbits(_scramble(distinct + np.uint64(k * 0x9E3779B9)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        fps.append(int(np.packbits(2 * bits.sum(0, dtype=np.int64) > distinct.size, bitorder="little").view("<u8")[0]))
+    n = max(1, words.size - width + 1)
+    shingles = np.zeros(n, np.uint64)
+    for k in range(min(width, words.size)):
+        shingles = shingles * powers[0] + words[k : k + n]
+    least = np.unique(_scramble(shingles) >> np.uint64(32))[:SKETCH]
+    return key, fps, least.astype("<u4").tobytes()
+
+
+def resemblance(a: bytes, b: bytes) -> float:
+    """Share of shingles that two sketched texts have in common, of all that either has; exact while both have SKETCH or fewer."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    sample = np.union1d(x, y)[:SKETCH]
+    return float((np.isin(sample, x) & np.isin(sample, y)).mean()) if sample.size else 1.0
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id and component_id of every row of `docs`: classes of documents that share `similarity` of their word shingles.
+
+    Candidates are texts of which one of FINGERPRINTS fingerprints, taken over
+    distinct words, is within the grid's radius: an edited word moves such a
+    fingerprint little, so texts that share four fifths of their shingles
+    meet.  Shingles then decide each candidate.  Texts with the same words are
+    equal; all texts without words are.  component_id is the smallest doc_id
+    of the class.
+    """
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for k in range(0, len(texts), 2000):
+                key, fps, sketch = zip(*(describe(x, width) for x in texts[k : k + 2000]), strict=True)
+                signed = np.array(fps, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), _signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["doc_id", "key", "fps", "sketch"])
+
+    own = common.settle(common.texts(docs).mapInArrow(run, "doc_id long, key long, fps array<long>, sketch binary"), "described")
+    classed = own.groupBy("key").agg(F.min("doc_id").alias("least"))
+    firsts = own.join(classed.withColumnRenamed("least", "doc_id"), ["key", "doc_id"]).select("key", "fps", "sketch").dropDuplicates(["key"])
+    firsts = common.settle(firsts, "distinct")
+    at = firsts.select("key", F.explode("fps").alias("fp")).distinct()
+    speaks = at.groupBy("fp").agg(F.min("key").alias("rep"))
+    found = links(speaks.select("fp"))
+    between = found.join(speaks.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(speaks.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b").select("x", "y")
+    equal = at.join(speaks, "fp").select(F.col("rep").alias("x"), F.col("key").alias("y"))
+    pairs = between.unionByName(equal).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+    def decide(batches):
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = pa.array([resemblance(a, b) >= similarity for a, b in zip(x, y, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    told = pairs.join(firsts.select(F.col("key").alias("x"), F.col("sketch").alias("of_x")), "x").join(firsts.select(F.col("key").alias("y"), F.col("sketch").alias("of_y")), "y")
+    sure = common.settle(told.select("x", "y", "of_x", "of_y").mapInArrow(decide, "a long, b long"), "near")
+    roots = graph.components(sure).withColumnRenamed("node", "key")
+    classed = classed.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    first = classed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return own.select("doc_id", "key").join(classed.join(first, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
