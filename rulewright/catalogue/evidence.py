@@ -1,4 +1,201 @@
+"""Queries about evidence, field schemas, quality scores and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import enrich, evidence, quality
 from . import base
+from .base import table
 
 query = base.Registry()
 QUERIES, ORACLES = query.queries, query.oracles
+
+#: Fields that a rule (here a document) maps to: its longer words in lower case.
+_WORDS_SQL = "w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS field FROM documents)"
+
+
+def words(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0)).alias("field"))
+
+
+@query(
+    "q12_field_rule_inverted_index",
+    f"""WITH {_WORDS_SQL}, f AS (SELECT field, 'R_' || (doc_id % 50) AS rule_id, doc_id % 50 AS reg FROM w), g AS (SELECT field, count(DISTINCT rule_id) AS n, array_to_string(list_sort(list_distinct(list(rule_id))), ',') AS rule_ids, min(reg) AS reg FROM f GROUP BY field)
+    SELECT field, n, md5(rule_ids) AS rule_ids, CASE WHEN n > 1 THEN field || '_reg' || reg ELSE field END AS first_name, CASE WHEN n > 1 THEN 'renamed_colliding_field' END AS note FROM g""",
+)
+def q12(spark, d):
+    fields = words(spark, d).select("field", F.concat(F.lit("R_"), F.col("doc_id") % 50).alias("rule_id"), (F.col("doc_id") % 50).alias("reg")).distinct()
+    listed = evidence.inverted(fields.select("rule_id", F.array("field").alias("fields")))
+    firsts = fields.groupBy("field").agg(F.min("reg").alias("reg"))
+    named = enrich.disambiguated(fields).join(firsts, ["field", "reg"]).select("field", F.col("new_field").alias("first_name"), "note")
+    return listed.join(named, "field").select("field", "n", F.md5("rule_ids").alias("rule_ids"), "first_name", "note")
+
+
+_RAW = """CASE doc_id % 7 WHEN 0 THEN 'yes' WHEN 1 THEN '1,44,445.3, 22,10,000 and 5' WHEN 2 THEN concat(CAST(n_chars AS VARCHAR(9)), ' months') WHEN 3 THEN 'not mentioned' WHEN 4 THEN CAST(NULL AS VARCHAR(9)) WHEN 5 THEN 'as stated' ELSE CAST(doc_id AS VARCHAR(9)) END"""
+
+
+@query(
+    "q13_evidence_pick_and_metrics",
+    f"""WITH e AS (SELECT d.doc_id, source AS field, {_RAW.replace("doc_id", "d.doc_id")} AS raw, quality IS NOT NULL AS tabled, CASE WHEN d.doc_id % 3 = 0 THEN substr(text, 1, 10) ELSE '' END AS quote FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+    c AS (SELECT *, doc_id % 7 IN (0, 1, 2, 5, 6) AS there, CASE WHEN tabled THEN 0.9 WHEN quote <> '' THEN 0.4 ELSE 0.2 END AS confidence FROM e),
+    p AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY CASE WHEN tabled THEN 0 ELSE 1 END, confidence DESC, doc_id) AS k FROM c),
+    m AS (SELECT field, count(*) AS n, round(avg(CASE WHEN doc_id % 7 = 0 THEN 1.0 ELSE 0 END), 6) AS bool_rate, round(avg(CASE WHEN doc_id % 7 IN (1, 2, 6) THEN 1.0 ELSE 0 END), 6) AS nat_rate, round(avg(CASE WHEN doc_id % 7 = 1 THEN 1.0 ELSE 0 END), 6) AS list_rate, round(avg(CASE WHEN there THEN 0.0 ELSE 1 END), 6) AS missing_rate FROM c GROUP BY field)
+    SELECT field, n, bool_rate, nat_rate, list_rate, missing_rate, 'Option ' || CASE WHEN list_rate >= 0.5 THEN 'List Nat' WHEN nat_rate >= 0.5 THEN 'Nat' WHEN bool_rate >= 0.5 THEN 'Bool' ELSE 'String' END AS final_type, doc_id AS chosen, raw AS chosen_raw, CAST(confidence AS DOUBLE) AS confidence,
+    CASE doc_id % 7 WHEN 1 THEN 144445 WHEN 2 THEN CAST(regexp_extract(raw, '[0-9]+') AS BIGINT) WHEN 6 THEN doc_id END AS nat, CASE WHEN doc_id % 7 = 1 THEN '144445|2210000|5' END AS nats FROM m JOIN p USING (field) WHERE k = 1""",
+)
+def q13(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id", F.lit(True).alias("labelled"))
+    rows = docs.join(labels, "doc_id", "left").select(
+        F.col("source").alias("field"),
+        F.col("doc_id").alias("ordinal"),
+        F.expr(_RAW).alias("raw"),
+        F.coalesce("labelled", F.lit(False)).alias("tabled"),
+        F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 10)).otherwise("").alias("quote"),
+    )
+    rows = rows.select("field", "ordinal", "raw", F.when(F.col("tabled"), 0).otherwise(1).alias("source_priority"), evidence.confidence(F.col("tabled"), F.col("quote")).alias("confidence"), evidence.candidates(F.col("raw")).alias("candidate"))
+    rates = evidence.parse_rates(rows)
+    rates = rates.withColumn("final_type", evidence.final_type(*[F.col(c) for c in ("bool_rate", "nat_rate", "list_rate", "missing_rate")]))
+    pick = evidence.chosen(rows).select("field", F.col("ordinal").alias("chosen"), F.col("raw").alias("chosen_raw"), "confidence", "candidate.nat", F.array_join("candidate.nats", "|").alias("nats"))
+    return rates.join(pick, "field")
+
+
+@query(
+    "q14_schema_coverage",
+    """WITH f AS (SELECT p_partkey AS field, p_size % 5 = 0 AS inactive FROM part), v AS (SELECT l_partkey AS field, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+    SELECT field, value, CASE WHEN inactive THEN 'inactive' WHEN value IS NOT NULL THEN 'present' ELSE 'missing' END AS status FROM f LEFT JOIN v USING (field)""",
+)
+def q14(spark, d):
+    fields = table(spark, d, "part").select(F.col("p_partkey").alias("field"), (F.col("p_size") % 5 == 0).alias("inactive"))
+    found = table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_partkey").alias("field")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("value"))
+    return evidence.coverage(fields, found, F.col("inactive")).select("field", "value", "status")
+
+
+@query(
+    "q15_table_parse_latest3",
+    """WITH y AS (SELECT o_orderpriority AS label, year(o_orderdate) AS yr, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS v FROM orders GROUP BY ALL),
+    k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY yr DESC) AS n FROM y)
+    SELECT label, 'million' AS unit, string_agg(CAST(v AS VARCHAR), '|' ORDER BY yr DESC) FILTER (n <= 3) AS newest, count(*) AS years FROM k GROUP BY label""",
+)
+def q15(spark, d):
+    yearly = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("label"), F.year("o_orderdate").alias("yr")).agg(F.sum(F.floor("o_totalprice").cast("bigint")).alias("v"))
+    # One extracted table: a row per label, a column per year, amounts written with digit groups and decimals.
+    row = F.struct("label", F.array(F.concat(F.format_number("v", 0), F.lit(".50"))).alias("values"), F.lit("million").alias("unit"))
+    tables = yearly.select("yr", F.array(row).alias("rows"))
+    cells = evidence.table_cells(tables)
+    listed = evidence.newest(cells, ["label", "unit"], "yr")
+    years = cells.groupBy("label").agg(F.count("*").alias("years"))
+    return listed.join(years, "label").select("label", "unit", F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("newest"), "years")
+
+
+_GENERIC = ["tionth", "theand", "pouran"]
+
+
+@query(
+    "q17_promotion_scoring",
+    f"""WITH {_WORDS_SQL}, g AS (SELECT field, count(*) AS occurrences, bool_or(doc_id % 97 = 0) AS comparator_context FROM w GROUP BY field),
+    s AS (SELECT *, 2 * CAST(occurrences >= 2 AS INTEGER) + 2 * CAST(comparator_context AS INTEGER) - 3 * CAST(field IN ({", ".join(f"'{g}'" for g in _GENERIC)}) AS INTEGER) AS score FROM g)
+    SELECT field, occurrences, comparator_context, score, score >= 2 AS promoted FROM s""",
+)
+def q17(spark, d):
+    return quality.promotion(words(spark, d).select("field", (F.col("doc_id") % 97 == 0).alias("near_number")), _GENERIC)
+
+
+def gold(spark, d):
+    """Gold and extracted rule ids: two overlapping sets of parts, by brand."""
+    rows = table(spark, d, "part").select(F.concat(F.lit("R_"), "p_partkey").alias("rule_id"), F.col("p_brand").alias("reg"), "p_partkey", "p_size", "p_type")
+    return rows.where("p_partkey % 3 <> 0"), rows.where("p_partkey % 4 <> 1 and p_size > 5")
+
+
+_BOTH_SQL = """g AS (SELECT 'R_' || p_partkey AS rule_id, p_brand AS reg FROM part WHERE p_partkey % 3 <> 0), e AS (SELECT 'R_' || p_partkey AS rule_id, p_brand AS reg FROM part WHERE p_partkey % 4 <> 1 AND p_size > 5),
+b AS (SELECT coalesce(g.rule_id, e.rule_id) AS rule_id, coalesce(g.reg, e.reg) AS reg, g.rule_id IS NOT NULL AS in_gold, e.rule_id IS NOT NULL AS in_found FROM g FULL JOIN e USING (rule_id, reg))"""
+_N_SQL = "count(*) FILTER (in_gold AND in_found) AS tp, count(*) FILTER (in_gold AND NOT in_found) AS fn, count(*) FILTER (NOT in_gold AND in_found) AS fp"
+
+
+@query(
+    "q40_gold_scoring_micro",
+    f"WITH {_BOTH_SQL}, n AS (SELECT {_N_SQL} FROM b) SELECT tp + fn AS gold_total, tp + fp AS extracted_unique, tp, fn, fp, round(100.0 * tp / (tp + fn), 2) AS recall, round(100.0 * tp / (tp + fp), 2) AS precision, round(100.0 * 2 * tp / (2 * tp + fn + fp), 2) AS f1 FROM n",
+)
+def q40(spark, d):
+    return quality.scores(quality.compared(*gold(spark, d)))
+
+
+@query(
+    "q41_gold_scoring_per_group_delta",
+    f"""WITH {_BOTH_SQL}, n AS (SELECT reg, count(*) FILTER (in_gold) AS gold, {_N_SQL}, coalesce(string_agg(rule_id, ',' ORDER BY rule_id) FILTER (in_gold AND NOT in_found), '') AS missing, coalesce(string_agg(rule_id, ',' ORDER BY rule_id) FILTER (NOT in_gold AND in_found), '') AS extra FROM b GROUP BY reg),
+    base AS (SELECT reg, count(*) FILTER (in_gold AND in_found AND right(rule_id, 1) <> '4') AS base_tp FROM b GROUP BY reg) SELECT n.*, tp - base_tp AS delta_tp FROM n LEFT JOIN base USING (reg)""",
+)
+def q41(spark, d):
+    want, have = gold(spark, d)
+    groups = quality.by_group(quality.compared(want, have, "rule_id", "reg"), "reg")
+    before = quality.by_group(quality.compared(want, have.where("p_partkey % 10 <> 4"), "rule_id", "reg"), "reg").select("reg", F.col("tp").alias("base_tp"))
+    return groups.join(before, "reg", "left").select("*", (F.col("tp") - F.col("base_tp")).alias("delta_tp")).drop("base_tp")
+
+
+@query(
+    "q42_set_equality_coverage",
+    """WITH o AS (SELECT DISTINCT o_orderkey AS id FROM orders), l AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_quantity > 2)
+    SELECT (SELECT count(*) FROM o WHERE id NOT IN (SELECT id FROM l)) AS only_left, (SELECT count(*) FROM l WHERE id NOT IN (SELECT id FROM o)) AS only_right, (SELECT count(*) FROM o WHERE id NOT IN (SELECT id FROM l)) + (SELECT count(*) FROM l WHERE id NOT IN (SELECT id FROM o)) = 0 AS equal""",
+)
+def q42(spark, d):
+    left = table(spark, d, "orders").select(F.col("o_orderkey").alias("rule_id"))
+    right = table(spark, d, "lineitem").where("l_quantity > 2").select(F.col("l_orderkey").alias("rule_id"))
+    n = quality.compared(left, right).agg(*quality.counts())
+    return n.select(F.col("fn").alias("only_left"), F.col("fp").alias("only_right"), (F.col("fn") + F.col("fp") == 0).alias("equal"))
+
+
+@query(
+    "q43_maps_to_coverage",
+    """WITH g AS (SELECT p_partkey AS id, p_size % 2 = 0 AS maps FROM part WHERE p_partkey % 3 <> 0), e AS (SELECT p_partkey AS id, p_size % 3 = 0 AS maps FROM part WHERE p_partkey % 4 <> 1)
+    SELECT count(*) AS shared, count(*) FILTER (g.maps) AS gold_has, count(*) FILTER (e.maps) AS extracted_has, count(*) FILTER (g.maps AND e.maps) AS both_have, md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY CAST(id AS VARCHAR)) FILTER (g.maps AND NOT e.maps)) AS gold_only FROM g JOIN e USING (id)""",
+)
+def q43(spark, d):
+    part = table(spark, d, "part")
+    want = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 2 == 0).alias("g"))
+    have = part.where("p_partkey % 4 <> 1").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 3 == 0).alias("e"))
+    ids = F.array_join(F.array_sort(F.collect_list(F.when(F.col("g") & ~F.col("e"), F.col("id").cast("string")))), ",")
+    return want.join(have, "id").agg(F.count("*").alias("shared"), F.count_if("g").alias("gold_has"), F.count_if("e").alias("extracted_has"), F.count_if(F.col("g") & F.col("e")).alias("both_have"), F.md5(ids).alias("gold_only"))
+
+
+@query(
+    "q44_pipeline_counters",
+    """WITH r AS (SELECT d.doc_id, source, lang, CASE WHEN toxic = 1 THEN 'quarantined' WHEN quality = 1 THEN 'accepted' WHEN quality = 0 THEN 'fixed' ELSE 'none' END AS status FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+    SELECT status, count(*) AS rules, count(DISTINCT source) AS regs, string_agg(DISTINCT source, ',' ORDER BY source) AS reg_list, array_to_string(list_sort([x for x in ['en', 'de', 'fr', 'es', 'it'] if NOT list_contains(list(lang), x)]), ',') AS absent, count(*) FILTER (doc_id % 4 = 0) AS unmapped, count(*) FILTER (doc_id % 5 = 0) AS stubbed FROM r GROUP BY status""",
+)
+def q44(spark, d):
+    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    status = F.when(F.col("toxic") == 1, "quarantined").when(F.col("quality") == 1, "accepted").when(F.col("quality") == 0, "fixed").otherwise("none")
+    expected = F.lit(["en", "de", "fr", "es", "it"])
+    fixes = F.array_compact(F.array(F.when(F.col("doc_id") % 5 == 0, "stubbed_check")))
+    return (
+        rows.select(status.alias("status"), "doc_id", "source", "lang", fixes.alias("fixes"))
+        .groupBy("status")
+        .agg(
+            F.count("*").alias("rules"),
+            F.count_distinct("source").alias("regs"),
+            F.array_join(F.array_sort(F.collect_set("source")), ",").alias("reg_list"),
+            F.array_join(F.array_sort(F.array_except(expected, F.collect_set("lang"))), ",").alias("absent"),
+            F.count_if(F.col("doc_id") % 4 == 0).alias("unmapped"),
+            F.sum(F.size("fixes")).alias("stubbed"),
+        )
+    )
+
+
+@query(
+    "q45_judge_score_status",
+    """WITH t AS (SELECT conv_id, turn, length(text) % 101 AS a, (turn * 37 + conv_id) % 101 AS b FROM conversations), l AS (SELECT conv_id, max(turn) AS turn FROM t GROUP BY 1),
+    s AS (SELECT t.conv_id, t.turn, CAST((t.a * 3 + t.b) AS DOUBLE) / 400 AS score, t.b < 3 AS hard, t.a % 10 = 0 AS repaired FROM t JOIN l USING (conv_id, turn))
+    SELECT conv_id, turn, round(score, 6) AS score, CASE WHEN hard OR score < 0.5 THEN 'quarantined' WHEN repaired OR score < 0.8 THEN 'fixed' ELSE 'accepted' END AS status FROM s""",
+)
+def q45(spark, d):
+    turns = table(spark, d, "conversations").select("conv_id", "turn", (F.length("text") % 101 / 100).alias("faithful"), ((F.col("turn") * 37 + F.col("conv_id")) % 101 / 100).alias("complete"), (F.length("text") % 101 % 10 == 0).alias("repaired"))
+    last = quality.last_iteration(turns, ["conv_id"], "turn")
+    score = F.round(quality.weighted({"faithful": 3.0, "complete": 1.0}), 6)
+    return last.select("conv_id", "turn", score.alias("score"), quality.status(score, F.col("complete") < 0.03, F.col("repaired")).alias("status"))
+
+
+@query("q50_stream_rule_eval")
+def q50(spark, d):
+    from ..streaming.evaluate import demonstration
+
+    return demonstration(spark, f"{d}/events.parquet")

@@ -1,4 +1,282 @@
+"""Queries about regulation texts and rule records."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.columns import once
+from ..operators import enrich, quality, sections, validate
 from . import base
+from .base import table
 
 query = base.Registry()
 QUERIES, ORACLES = query.queries, query.oracles
+
+_LINES_SQL = """lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+body AS (SELECT doc_id, CAST(i AS INTEGER) i, trim('item ' || regexp_replace(x, '[^A-Za-z]+', ' ', 'g')) x, CAST(doc_id % 20 + i // 4 + 1 AS INTEGER) n FROM lines),
+rules AS (SELECT doc_id, i // 4 AS section, n, i % 4 AS k, x, 'ICDR_' || n || CASE i % 4 WHEN 1 THEN '_1' WHEN 2 THEN '_2_a' WHEN 3 THEN '_2_b' ELSE '' END AS rule_id,
+  'Title of ' || n || CASE i % 4 WHEN 1 THEN ' — (1)' WHEN 2 THEN ' — (2)(a)' WHEN 3 THEN ' — (2)(b)' ELSE '' END AS title
+  FROM body b WHERE i % 4 > 0 OR NOT EXISTS (SELECT 1 FROM body c WHERE c.doc_id = b.doc_id AND c.i = b.i + 1))"""
+
+
+def regulations(spark, d):
+    """doc_id and text with headings, clauses and sub-clauses put before the lines of documents: each fourth line begins a section."""
+    number = lambda i: (F.col("doc_id") % 20 + F.floor(i / 4) + 1).cast("int").cast("string")
+    clean = lambda x: F.trim(F.concat(F.lit("item "), F.regexp_replace(x, "[^A-Za-z]+", " ")))
+    label = lambda i: F.when(i % 4 == 0, F.concat(F.lit("Regulation "), number(i), F.lit(": Title of "), number(i), F.lit("\n"))).when(i % 4 == 1, "(1) ").when(i % 4 == 2, "(2)\n(a) ").otherwise("(b) ")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(label(i), clean(x)))
+    return table(spark, d, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+
+
+def clause_rows(spark, d):
+    return sections.clauses(sections.sections(regulations(spark, d), "doc_id"), "doc_id")
+
+
+@query("q20_sectionize_clauses", f"WITH {_LINES_SQL} SELECT doc_id, CAST(section AS INTEGER) AS section, rule_id, replace(rule_id, 'ICDR', 'rule') AS lean_id, title, x AS text FROM rules WHERE n BETWEEN 3 AND 25")
+def q20(spark, d):
+    return sections.clauses(sections.sections(regulations(spark, d), "doc_id"), "doc_id", 3, 25)
+
+
+@query(
+    "q21_page_windows",
+    """WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS page FROM documents),
+    f AS (SELECT doc_id, page, length(x) AS n, substr(x, 1, 1) AS c FROM p WHERE page <= 30), w AS (SELECT DISTINCT doc_id, page AS start FROM f)
+    SELECT w.doc_id, w.start, count(*) AS pages, CAST(sum(n) AS BIGINT) AS chars, array_to_string(list_sort(list_distinct(list(c))), '') AS visible FROM w JOIN f ON f.doc_id = w.doc_id AND f.page BETWEEN w.start AND w.start + 1 GROUP BY ALL""",
+)
+def q21(spark, d):
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    numbered = lines.select("doc_id", (F.col("k") + 1).alias("page"), F.concat(F.lit(" "), (F.col("k") + 1).cast("string"), F.lit("\n"), "line").alias("text"))
+    pages = numbered.select("doc_id", "page", T.page_number_stripped(F.col("text")).alias("line"))
+    windows = sections.page_windows(pages, "doc_id", "page", 2, 1, first=30)
+    return windows.groupBy("doc_id", "start").agg(F.count("*").alias("pages"), F.sum(F.length("line")).cast("bigint").alias("chars"), F.array_join(F.array_sort(F.array_distinct(F.collect_list(F.substring("line", 1, 1)))), "").alias("visible"))
+
+
+_NORMAL_SQL = r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(13), ''), '(?m)[ \t]+$', '', 'g'), '\n(?:\s*\n)+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(
+    "q22_text_normalise_slug_first_sentence",
+    rf"""WITH t AS (SELECT doc_id, text, {_NORMAL_SQL} AS normal FROM documents)
+    SELECT doc_id, md5(normal) AS normal, lower(substr(regexp_replace(regexp_replace(text, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 60)) AS slug,
+    regexp_replace(CASE WHEN regexp_extract(normal, '([^.?!]+[.?!])', 1) <> '' THEN regexp_extract(normal, '([^.?!]+[.?!])', 1) ELSE substr(normal, 1, 120) END, '^\s+|\s+$', '', 'g') AS sentence, substr(normal, 1, 200) AS head FROM t""",
+)
+def q22(spark, d):
+    t = table(spark, d, "documents").select("doc_id", "text", once(T.normalise(F.col("text"))).alias("n"))
+    return t.select("doc_id", F.md5("n").alias("normal"), T.slug(F.col("text")).alias("slug"), T.first_sentence(F.col("n")).alias("sentence"), F.substring("n", 1, 200).alias("head"))
+
+
+@query(
+    "q23_marker_substring",
+    """WITH r AS (SELECT page_id, html, CASE WHEN strpos(html, '<article>') > 0 THEN substr(html, strpos(html, '<article>')) ELSE '' END AS s FROM pages)
+    SELECT page_id, md5(substr(s, 1, coalesce(CASE WHEN strpos(s, '</b>') > 0 THEN strpos(s, '</b>') END, CASE WHEN strpos(s, '</p>') > 0 THEN strpos(s, '</p>') END, length(s) + 1) - 1)) AS part,
+    CASE WHEN strpos(html, '<none>') > 0 THEN '' ELSE right(html, 1) END AS quirk, length(html) > 0 AS filled FROM r""",
+)
+def q23(spark, d):
+    html = F.col("html")
+    return table(spark, d, "pages").select("page_id", F.md5(T.between_markers(html, "<article>", ["</b>", "</p>"])).alias("part"), T.between_markers(html, "<none>", ["x"], quirk=True).alias("quirk"), (F.length(html) > 0).alias("filled"))
+
+
+_NOISY = "CASE event_id % 4 WHEN 0 THEN concat('Sure: ', props, ' done.') WHEN 1 THEN concat('[1, ', props, '] and') WHEN 2 THEN concat('x {', props) ELSE 'nothing' END"
+
+
+@query(
+    "q24_first_json_block",
+    "SELECT event_id, CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN concat('[1, ', props, ']') END AS block, CASE event_id % 4 WHEN 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events",
+)
+def q24(spark, d):
+    from ..sources.jsonl import first_json_block
+
+    rows = table(spark, d, "events").select("event_id", first_json_block(F.expr(_NOISY)).alias("block"))
+    return rows.select("event_id", "block", F.get_json_object("block", "$.k").cast("bigint").alias("k"))
+
+
+@query(
+    "q30_rule_store_dedupe",
+    """WITH r AS (SELECT 'R_' || (doc_id % 300) AS rule_id, doc_id, n_chars, source FROM documents), n AS (SELECT * FROM r WHERE rule_id NOT IN (SELECT rule_id FROM r WHERE doc_id % 7 = 0 AND doc_id < 200)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY doc_id) a, row_number() OVER (PARTITION BY rule_id ORDER BY n_chars DESC, doc_id) b FROM n)
+    SELECT rule_id, max(doc_id) FILTER (a = 1) AS first_doc, max(doc_id) FILTER (b = 1) AS best_doc, max(source) FILTER (a = 1) AS source FROM k GROUP BY rule_id""",
+)
+def q30(spark, d):
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", "n_chars", "source", F.lit("x").alias("_internal"))
+    store = records.where("doc_id % 7 = 0 and doc_id < 200")
+    first = quality.new_records(records, store, "rule_id", "doc_id")
+    best = quality.new_records(records, store, "rule_id", F.desc("n_chars"), "doc_id")
+    return first.select("rule_id", F.col("doc_id").alias("first_doc"), "source").join(best.select("rule_id", F.col("doc_id").alias("best_doc")), "rule_id")
+
+
+@query(
+    "q31_validate_required_dups",
+    """WITH r AS (SELECT doc_id, 'R_' || (doc_id % 400) AS rule_id, CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '' ELSE source END AS domain, CASE WHEN doc_id % 11 = 0 THEN '' ELSE lang END AS title FROM documents)
+    SELECT doc_id, rule_id, concat_ws(',', CASE WHEN coalesce(domain, '') = '' THEN 'domain' END, CASE WHEN coalesce(title, '') = '' THEN 'title' END) AS missing,
+    CASE WHEN row_number() OVER w > 1 THEN first_value(doc_id) OVER w END AS first_seen FROM r WINDOW w AS (PARTITION BY rule_id ORDER BY doc_id)""",
+)
+def q31(spark, d):
+    records = table(spark, d, "documents").select(
+        "doc_id",
+        F.concat(F.lit("R_"), F.col("doc_id") % 400).alias("rule_id"),
+        F.expr("CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '' ELSE source END").alias("domain"),
+        F.expr("CASE WHEN doc_id % 11 = 0 THEN '' ELSE lang END").alias("title"),
+    )
+    twice = validate.repeated(records, "rule_id", "doc_id").select("doc_id", "first_seen")
+    return records.join(twice, "doc_id", "left").select("doc_id", "rule_id", F.array_join(validate.missing(["domain", "title"]), ",").alias("missing"), "first_seen")
+
+
+#: A JSON Schema in the manner of the one for rule records.
+RECORD_SCHEMA = {
+    "required": ["rule_id", "status"],
+    "properties": {
+        "rule_id": {"pattern": r"^[A-Za-z_][A-Za-z0-9_]*$"},
+        "status": {"enum": ["accepted", "fixed", "quarantined"]},
+        "confidence": {"minimum": 0, "maximum": 1},
+        "pages": {"minItems": 1, "uniqueItems": True},
+        "span_hint": {"maxLength": 120},
+        "fields": {"items": {"pattern": "^[a-z][a-z0-9_]*$"}},
+    },
+}
+
+
+@query(
+    "q32_schema_validation_errors",
+    r"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN NULL ELSE source || CASE WHEN doc_id % 6 = 0 THEN '-x' ELSE '' END END AS rule_id, CASE doc_id % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'open' WHEN 2 THEN 'fixed' ELSE 'quarantined' END AS status,
+    (n_chars % 150) / 100.0 AS confidence, doc_id % 4 AS pages, substr(text, 1, CAST(n_chars % 200 AS INTEGER)) AS span_hint, regexp_extract(text, '(\w+)', 1) AS field FROM documents)
+    SELECT doc_id, concat_ws('|', CASE WHEN rule_id IS NULL THEN 'record: missing rule_id' END, CASE WHEN NOT regexp_matches(rule_id, '^[A-Za-z_][A-Za-z0-9_]*$') THEN 'rule_id: pattern' END, CASE WHEN status = 'open' THEN 'status: enum' END,
+    CASE WHEN confidence > 1 THEN 'confidence: maximum' END, CASE WHEN pages = 0 THEN 'pages: minItems' END, CASE WHEN pages = 3 THEN 'pages: uniqueItems' END, CASE WHEN length(span_hint) > 120 THEN 'span_hint: maxLength' END,
+    CASE WHEN NOT regexp_matches(field, '^[a-z][a-z0-9_]*$') THEN 'fields[]: pattern' END) AS errors, CASE WHEN doc_id % 3 = 0 THEN 'extra' ELSE '' END AS unknown FROM r""",
+)
+def q32(spark, d):
+    docs = table(spark, d, "documents")
+    pages = F.expr("CASE doc_id % 4 WHEN 0 THEN cast(array() as array<bigint>) WHEN 3 THEN array(1L, 1L) ELSE array(doc_id % 4) END")
+    record = F.struct(
+        F.when(F.col("doc_id") % 8 != 0, F.concat("source", F.when(F.col("doc_id") % 6 == 0, "-x").otherwise(""))).alias("rule_id"),
+        F.expr("CASE doc_id % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'open' WHEN 2 THEN 'fixed' ELSE 'quarantined' END").alias("status"),
+        ((F.col("n_chars") % 150) / 100.0).alias("confidence"),
+        pages.alias("pages"),
+        F.expr("substring(text, 1, cast(n_chars % 200 as int))").alias("span_hint"),
+        F.array(F.regexp_extract("text", r"(\w+)", 1)).alias("fields"),
+    )
+    text = F.when(F.col("doc_id") % 3 == 0, '{"rule_id": 1, "extra": 2}').otherwise('{"rule_id": 1}')
+    rows = docs.select("doc_id", record.alias("r"), text.alias("raw"))
+    found = validate.errors(RECORD_SCHEMA, F.col("r"))
+    return rows.select("doc_id", F.concat_ws("|", *found).alias("errors"), F.array_join(validate.unknown_members(F.col("raw"), [*RECORD_SCHEMA["properties"]]), ",").alias("unknown"))
+
+
+@query(
+    "q33_anchoring_and_span",
+    r"""WITH m AS (SELECT max(item_id) + 1 AS n FROM benchmark), j AS (SELECT doc_id, d.text, CASE WHEN doc_id % 3 = 0 THEN substr(d.text, 5, 40) WHEN doc_id % 3 = 1 THEN replace(substr(d.text, 3, 30), ' ', '  ') ELSE b.text END AS hint FROM documents d, m JOIN benchmark b ON b.item_id = d.doc_id % m.n),
+    f AS (SELECT *, regexp_replace(lower(trim(text, ' ')), '\s+', ' ', 'g') AS t, regexp_replace(lower(trim(hint, ' ')), '\s+', ' ', 'g') AS h FROM j),
+    s AS (SELECT doc_id, CASE WHEN contains(text, hint) THEN 'strict' WHEN contains(t, h) THEN 'lenient' WHEN len([w for w in list_distinct(string_split(h, ' ')) if NOT list_contains(string_split(t, ' '), w)]) <= 0 THEN 'fuzzy' ELSE 'none' END AS span FROM f)
+    SELECT doc_id, span, list_contains([1, 3, 5, 8], doc_id % 10) AS anchored, CAST(CASE WHEN list_contains([1, 3, 5, 8], doc_id % 10) THEN 90 ELSE 70 END AS BIGINT) AS confidence_pct,
+    concat_ws(',', CASE WHEN span = 'none' THEN 'hard:span' END, CASE WHEN NOT list_contains([1, 3, 5, 8], doc_id % 10) THEN 'soft:anchor' END) AS failures FROM s""",
+)
+def q33(spark, d):
+    items = table(spark, d, "benchmark")
+    n = items.agg((F.max("item_id") + 1).alias("n"))
+    docs = table(spark, d, "documents").join(F.broadcast(n)).withColumn("item_id", F.col("doc_id") % F.col("n"))
+    both = docs.join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    hint = F.when(F.col("doc_id") % 3 == 0, F.substring("text", 5, 40)).when(F.col("doc_id") % 3 == 1, F.replace(F.substring("text", 3, 30), F.lit(" "), F.lit("  "))).otherwise(F.col("item"))
+    rows = both.select("doc_id", "text", hint.alias("hint"), (F.col("doc_id") % 10).alias("reg"), F.lit([1, 3, 5, 8]).cast("array<bigint>").alias("visible"))
+    span, anchored = validate.span_match(F.col("text"), F.col("hint")), F.array_contains("visible", F.col("reg"))
+    found = rows.select("doc_id", span.alias("span"), anchored.alias("anchored"))
+    return found.select("doc_id", "span", "anchored", F.when(F.col("anchored"), 90).otherwise(70).cast("bigint").alias("confidence_pct"), F.concat_ws(",", F.when(F.col("span") == "none", "hard:span"), F.when(~F.col("anchored"), "soft:anchor")).alias("failures"))
+
+
+@query(
+    "q34_hierarchy_enrichment",
+    f"""WITH {_LINES_SQL}, p AS (SELECT CAST(n_nationkey + 1 AS VARCHAR) AS reg, n_name AS part, r_name AS chapter FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT rule_id, CAST(n AS VARCHAR) || CASE k WHEN 1 THEN '(1)' WHEN 2 THEN '(2)(a)' WHEN 3 THEN '(2)(b)' ELSE '' END AS number, chapter, part, '2018-09-11' AS effective, count(*) AS records
+    FROM rules LEFT JOIN p ON p.reg = CAST(n AS VARCHAR) GROUP BY ALL""",
+)
+def q34(spark, d):
+    places = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select((F.col("n_nationkey") + 1).cast("string").alias("reg"), F.col("n_name").alias("part"), F.col("r_name").alias("chapter"))
+    counted = clause_rows(spark, d).groupBy("rule_id").agg(F.count("*").alias("records"))  # one row per id before the join
+    return enrich.with_hierarchy(counted, places).select("rule_id", "number", "chapter", "part", F.date_format(F.to_date(F.lit("2018-09-11")), "yyyy-MM-dd").alias("effective"), "records")
+
+
+_PROVISO_SQL = """r AS (SELECT doc_id, 'ICDR_' || (doc_id % 40) || '_' || (doc_id % 3) || CASE WHEN doc_id % 5 = 0 THEN '_proviso' WHEN doc_id % 7 = 0 THEN '_x' ELSE '' END AS rule_id,
+CASE WHEN doc_id % 5 = 0 THEN '  Provided that ' WHEN doc_id % 7 = 0 THEN 'Explanation: ' ELSE '' END || substr(text, 1, 10) AS text FROM documents)"""
+
+
+@query(
+    "q35_proviso_parent_link",
+    f"""WITH {_PROVISO_SQL}, ids AS (SELECT DISTINCT rule_id FROM r), a AS (SELECT *, doc_id % 5 = 0 OR doc_id % 7 = 0 OR starts_with(lower(trim(text)), 'provided that') OR starts_with(lower(trim(text)), 'explanation') AS proviso FROM r)
+    SELECT doc_id, rule_id, proviso, CASE WHEN NOT proviso THEN NULL WHEN ends_with(rule_id, '_proviso') AND replace(rule_id, '_proviso', '') IN (SELECT rule_id FROM ids) THEN replace(rule_id, '_proviso', '')
+    WHEN regexp_replace(rule_id, '_[^_]*$', '') IN (SELECT rule_id FROM ids) THEN regexp_replace(rule_id, '_[^_]*$', '') END AS exception_to FROM a""",
+)
+def q35(spark, d):
+    rows = table(spark, d, "documents").select(
+        "doc_id",
+        F.expr("concat('ICDR_', doc_id % 40, '_', doc_id % 3, CASE WHEN doc_id % 5 = 0 THEN '_proviso' WHEN doc_id % 7 = 0 THEN '_x' ELSE '' END)").alias("rule_id"),
+        F.expr("concat(CASE WHEN doc_id % 5 = 0 THEN '  Provided that ' WHEN doc_id % 7 = 0 THEN 'Explanation: ' ELSE '' END, substring(text, 1, 10))").alias("text"),
+    )
+    return enrich.with_parents(rows).select("doc_id", "rule_id", "proviso", "exception_to")
+
+
+_CLASSES = {"eligibility": (" the ", " of ", " that "), "disclosure": (" de ", " la ", " et "), "pricing": (" und ", " der "), "lock_in": (" el ", " los ", " que ")}
+
+
+def _hits_sql(words) -> str:
+    return "(" + " + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in words) + ")"
+
+
+@query(
+    "q36_keyword_classification",
+    "WITH s AS (SELECT doc_id, source, lang, "
+    + ", ".join(f"{_hits_sql(w)} AS {n}" for n, w in _CLASSES.items())
+    + " FROM documents) SELECT doc_id, CASE WHEN greatest(eligibility, disclosure, pricing, lock_in) = 0 THEN 'general' WHEN eligibility = greatest(eligibility, disclosure, pricing, lock_in) THEN 'eligibility' WHEN disclosure = greatest(eligibility, disclosure, pricing, lock_in) THEN 'disclosure' WHEN pricing = greatest(eligibility, disclosure, pricing, lock_in) THEN 'pricing' ELSE 'lock_in' END AS rule_type, "
+    + "CASE "
+    + " ".join(f"WHEN {n} > 0 THEN '{n}'" for n in reversed(_CLASSES))
+    + " ELSE 'issuer' END AS actor, CASE lang WHEN 'en' THEN 'public_issue' WHEN 'de' THEN 'rights_issue' ELSE 'general' END AS scope FROM s",
+)
+def q36(spark, d):
+    text = F.col("text")
+    return table(spark, d, "documents").select(
+        "doc_id",
+        enrich.best_class(text, _CLASSES, "general").alias("rule_type"),
+        enrich.first_class(text, dict(reversed(_CLASSES.items())), "issuer").alias("actor"),
+        enrich.lookup(F.col("lang"), {"en": "public_issue", "de": "rights_issue"}, "general").alias("scope"),
+    )
+
+
+_REFERRING = "concat(substring(text, 1, 20), ' under regulation ', CAST(doc_id % 30 AS VARCHAR(9)), ' and Regulations ', CAST(doc_id % 7 AS VARCHAR(9)), 'A(2), regulation ', CAST(doc_id % 30 AS VARCHAR(9)), ' with Schedule ', CASE doc_id % 3 WHEN 0 THEN 'IV' WHEN 1 THEN 'XII' ELSE 'I' END, CASE WHEN doc_id % 4 = 0 THEN ' of the Companies Act, 2013' WHEN doc_id % 4 = 1 THEN ' and the SEBI Act 1992 or Companies Act, 1956' ELSE '' END)"
+
+
+@query(
+    "q37_cross_reference_extract",
+    r"""SELECT doc_id, array_to_string(list_sort(list_distinct([CAST(doc_id % 30 AS VARCHAR), CAST(doc_id % 7 AS VARCHAR) || 'A(2)'])), ',') AS regulations, CASE doc_id % 3 WHEN 0 THEN 'IV' WHEN 1 THEN 'XII' ELSE 'I' END AS schedules,
+    CASE WHEN doc_id % 4 = 0 THEN 'Companies Act:2013' WHEN doc_id % 4 = 1 THEN 'Companies Act:1956,SEBI Act:1992' ELSE '' END AS acts FROM documents""",
+)
+def q37(spark, d):
+    text = F.expr(_REFERRING)
+    acts = F.transform(T.act_references(text), lambda a: F.concat(a["act"], F.lit(":"), a["year"].cast("string")))
+    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(T.regulation_references(text)), ",").alias("regulations"), F.array_join(T.schedule_references(text), ",").alias("schedules"), F.array_join(acts, ",").alias("acts"))
+
+
+_RAW_ID = "concat('ICDR_', CAST(doc_id % 50 AS VARCHAR(9)), CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END, '_1_', CASE doc_id % 6 WHEN 0 THEN 'Provided further' WHEN 1 THEN 'Provided that' WHEN 2 THEN 'Explanation' WHEN 3 THEN 'Category II' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END)"
+
+
+@query(
+    "q38_rule_id_canonicalise",
+    """WITH b AS (SELECT doc_id, CAST(doc_id % 50 AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END AS n, doc_id % 6 AS k FROM documents),
+    c AS (SELECT doc_id, n, k, n || '_1_' || CASE k WHEN 0 THEN 'proviso2' WHEN 1 THEN 'proviso' WHEN 2 THEN 'explanation' WHEN 3 THEN 'category' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END AS id FROM b)
+    SELECT doc_id, id AS canonical, CASE WHEN k = 5 THEN n || '_1_very_long_tail' ELSE id END AS guarded, CASE WHEN k = 5 THEN 'truncated_long_id' END AS note, CASE WHEN k = 5 THEN CAST(doc_id % 50 AS VARCHAR) || '_proviso' ELSE id END AS number, regexp_matches(n, '^[0-9]+[A-Za-z]?$') AS is_token FROM c""",
+)
+def q38(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.explode(F.array(T.canonical_id(F.expr(_RAW_ID)))).alias("c"))
+    guarded, note = T.guarded_id(F.col("c"))
+    return rows.select("doc_id", F.col("c").alias("canonical"), guarded.alias("guarded"), note.alias("note"), T.guarded_number(F.col("c")).alias("number"), T.is_regulation_token(F.element_at(F.split("c", "_"), 1)).alias("is_token"))
+
+
+_YEARLY = "concat(substring(text, 1, 20), CASE doc_id % 6 WHEN 0 THEN ' in the last three financial years' WHEN 1 THEN ' of the preceding 5 years' WHEN 2 THEN ' for Seven full years' WHEN 3 THEN ' in a year' ELSE '' END)"
+
+
+@query(
+    "q39_multi_year_type_override",
+    """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 7 END AS years, CASE WHEN doc_id % 6 < 3 AND doc_id % 2 = 0 THEN 'List Nat' WHEN doc_id % 2 = 0 THEN 'Nat' ELSE 'Bool' END AS type_hint,
+    CASE WHEN doc_id % 6 < 3 AND doc_id % 2 = 0 THEN 'length=' || CASE doc_id % 6 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 7 END || '; ' ELSE '' END || '>= 1' AS constraints FROM documents""",
+)
+def q39(spark, d):
+    text = F.expr(_YEARLY)
+    maps_to = F.array(F.struct(F.lit("profits").alias("field"), F.when(F.col("doc_id") % 2 == 0, "Nat").otherwise("Bool").alias("type_hint"), F.lit(">= 1").alias("constraints_text")))
+    rows = table(spark, d, "documents").select("doc_id", T.years_named(text).alias("years"), enrich.yearly_types(maps_to, text).alias("m"))
+    return rows.select("doc_id", "years", F.col("m")[0]["type_hint"].alias("type_hint"), F.col("m")[0]["constraints_text"].alias("constraints"))

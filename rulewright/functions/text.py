@@ -19,7 +19,7 @@ def strip(text: Column) -> Column:
 def normalise(text: Column) -> Column:
     """No carriage returns, no blanks at line ends, single blank lines, no white space at the edges."""
     text = F.regexp_replace(text, r"\r", "")
-    text = F.regexp_replace(text, r"[ \t]+(?=\n|\z)", "")
+    text = F.regexp_replace(text, r"(?<![ \t])[ \t]++(?=\n|\z)", "")
     return strip(F.regexp_replace(text, r"\n(?:(?U)\s*\n)+", "\n\n"))
 
 
@@ -30,7 +30,7 @@ def slug(title: Column, most: int = 60) -> Column:
 
 def first_sentence(text: Column, most: int = 120) -> Column:
     """Up to the first full stop, question or exclamation mark after something else; else the first characters."""
-    found = F.regexp_extract(text, r"([^.?!]+[.?!])", 1)
+    found = F.regexp_extract(text, r"^[.?!]*+([^.?!]++[.?!])", 1)  # anchored: later starts could find nothing new
     return strip(F.when(found != "", found).otherwise(F.substring(text, 1, most)))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.columns import once
 
 #: Header and label patterns; the second header form counts only where the first is nowhere in a document.
 HEADER = r"(?mid)^(?U)\s*Regulation\s+(\d+)\s*[:.\-]?\s*(.*)$"
@@ -24,8 +25,8 @@ def split_at(text: Column, pattern: str, groups: int) -> Column:
 
 def sections(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key, number, title, body of every section."""
-    normal = docs.select(key, T.normalise(F.col(text)).alias("t"))
-    first = normal.select(key, "t", split_at(F.col("t"), HEADER, 2).alias("found"))
+    normal = docs.select(key, once(T.normalise(F.col(text))).alias("t"))
+    first = normal.select(key, "t", once(split_at(F.col("t"), HEADER, 2)).alias("found"))
     both = first.select(key, F.when(F.size("found") > 0, F.col("found")).otherwise(split_at(F.col("t"), PLAIN_HEADER, 2)).alias("found"))
     parts = both.select(key, F.posexplode("found").alias("section", "p"))
     return parts.select(key, "section", F.col("p")[0].cast("int").alias("number"), T.strip(F.col("p")[1]).alias("title"), T.strip(F.col("p")[2]).alias("body"))
@@ -37,11 +38,13 @@ def clauses(found: DataFrame, key: str, low: int | None = None, high: int | None
         found = found.where(F.col("number") >= low)
     if high is not None:
         found = found.where(F.col("number") <= high)
-    one = F.array(F.lit("").cast("string"))
-    split = lambda c, p: F.when(F.size(split_at(c, p, 1)) > 0, split_at(c, p, 1))
-    level1 = found.select(key, "section", "number", "title", F.explode(F.coalesce(split(F.col("body"), CLAUSE), F.array(F.concat(one, F.array("body"))))).alias("p"))
-    level1 = level1.select(key, "section", "number", "title", F.col("p")[0].alias("a"), F.col("p")[1].alias("text"))
-    level2 = level1.select(key, "section", "number", "title", "a", F.explode(F.when(F.col("a") != "", F.coalesce(split(F.col("text"), SUBCLAUSE), F.array(F.concat(one, F.array("text"))))).otherwise(F.array(F.concat(one, F.array("text"))))).alias("p"))
+    kept = [key, "section", "number", "title"]
+    alone = lambda c: F.array(F.array(F.lit(""), F.col(c)))
+    level1 = found.select(*kept, "body", once(split_at(F.col("body"), CLAUSE, 1)).alias("s"))
+    level1 = level1.select(*kept, F.explode(F.when(F.size("s") > 0, F.col("s")).otherwise(alone("body"))).alias("p"))
+    level1 = level1.select(*kept, F.col("p")[0].alias("a"), F.col("p")[1].alias("text"))
+    level2 = level1.select(*kept, "a", "text", once(F.when(F.col("a") != "", split_at(F.col("text"), SUBCLAUSE, 1))).alias("s"))
+    level2 = level2.select(*kept, "a", F.explode(F.when(F.size("s") > 0, F.col("s")).otherwise(alone("text"))).alias("p"))
     rows = level2.select(key, "section", "number", "title", "a", F.col("p")[0].alias("b"), T.strip(F.col("p")[1]).alias("text")).where(F.col("text") != "")
     label = F.concat(F.when(F.col("a") != "", F.concat(F.lit("("), "a", F.lit(")"))).otherwise(""), F.when(F.col("b") != "", F.concat(F.lit("("), "b", F.lit(")"))).otherwise(""))
     base = F.when(F.col("title") != "", F.col("title")).otherwise(T.first_sentence(F.col("text")))
