@@ -43,11 +43,12 @@ class SumOfSquares:
     def place(self, size: int) -> tuple[int, int]:
         """Ties go to the smallest gap, an open sequence before a new one.  `size` is 1 to `capacity`."""
         gaps, count = self.capacity - size, self.count
-        # The change that gap g = size + r brings, halved: N[r] rises, N[g] falls; a closed sequence (r = 0) counts no more.
-        change = count[: gaps + 1] + 1
-        change[0] = 0
-        fall = count[size:]
-        change[:gaps] -= np.where(fall[:gaps] > 0, fall[:gaps], -(1 << 40))
+        # Leaving r of gap g = size + r makes the sum 2 N[r] + 1 larger (nothing for a sequence that closes) and 2 N[g] - 1 smaller (nothing for a new sequence).
+        change = 2 * count[: gaps + 1] + 2
+        change[gaps] -= 1
+        change[0] = 1
+        fall = count[size : self.capacity]
+        change[:gaps] -= np.where(fall > 0, 2 * fall, -(1 << 40))
         rest = int(change.argmin())
         if rest == gaps:
             sequence, self.sequences = self.sequences, self.sequences + 1
