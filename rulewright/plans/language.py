@@ -19,9 +19,10 @@ class Unsupported(ValueError):
     """A predicate that can't be evaluated."""
 
 
-_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+)|(?P<str>"(?:[^"\\]|\\.)*")|(?P<name>[A-Za-z_][A-Za-z0-9_'?!]*(?:\.[A-Za-z_][A-Za-z0-9_'?!]*)*)|(?P<op>:=|=>|==|!=|<=|>=|&&|\|\||\.[A-Za-z_]\w*|[≥≤≠∧∨¬·!<>=+\-*/(),.;\[\]]))""")
-_SAME = {"≥": ">=", "≤": "<=", "≠": "!=", "∧": "&&", "∨": "||", "¬": "!", "=": "=="}
-_SQL = {"&&": "AND", "||": "OR", "==": "=", "!=": "<>"}
+_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+)|(?P<str>"(?:[^"\\]|\\.)*")|(?P<name>[A-Za-z_][A-Za-z0-9_'?!]*(?:\.[A-Za-z_][A-Za-z0-9_'?!]*|\.\d+)*)|(?P<op>:=|=>|==|!=|<=|>=|&&|\|\||\.[A-Za-z_]\w*\??|\.\d+|[≥≤≠∧∨¬·λ!<>=+\-*/(),.;|&\[\]]))""")
+_SAME = {"≥": ">=", "≤": "<=", "≠": "!=", "∧": "&&", "∨": "||", "¬": "!", "=": "==", "&": "&&", "and": "&&", "or": "||", "not": "!", "λ": "fun"}
+#: An option may be null, and two nulls are equal.
+_SQL = {"&&": "AND", "||": "OR", "==": "<=>", "!=": "IS DISTINCT FROM"}
 #: Loosest first.
 _LEVELS = (("||",), ("&&",), ("==", "!=", "<", ">", "<=", ">="), ("+", "-"), ("*", "/"))
 
@@ -37,6 +38,10 @@ def _tokens(text: str) -> list[str]:
     return out
 
 
+#: Other names of members.
+_MEMBERS = {"exists": "any", "forall": "all", "isDefined": "isSome"}
+
+
 class _Parser:
     def __init__(self, tokens: list[str], schema: Schema, issuer: str) -> None:
         self.tokens, self.at, self.issuer = tokens, 0, issuer
@@ -59,11 +64,13 @@ class _Parser:
         if level == 0 and self.peek() == "let":
             self.take()
             name = self.take()
-            self.take(":=")
+            self.take(":=" if self.peek() == ":=" else "==")
             self.scope[name] = f"({self.expression()})"
-            if self.peek() == ";":
+            if self.peek() in (";", "in"):
                 self.take()
             return self.expression()
+        if level == 0 and self.peek() == "match":
+            return self.match()
         if level == 0 and self.peek() == "if":
             self.take()
             when = self.expression()
@@ -83,6 +90,28 @@ class _Parser:
                 left = f"({left} {'div' if op == '/' else _SQL.get(op, op)} {right})"
         return left
 
+    def match(self) -> str:
+        """``match e with some k => a | _ => b``; k is a number, or a name for the value."""
+        self.take()
+        value = self.expression(1)
+        self.take("with")
+        if self.peek() == "|":
+            self.take()
+        self.take("some")
+        shape, before = self.take(), dict(self.scope)
+        when = f"{value} <=> {shape}" if shape.isdigit() else f"{value} IS NOT NULL"
+        self.scope[shape] = value
+        self.take("=>")
+        yes = self.expression()
+        self.scope = before
+        self.take("|")
+        if self.peek() == "|":
+            self.take()
+        if self.take() not in ("_", "none"):
+            raise Unsupported("a match of other than an option")
+        self.take("=>")
+        return f"CASE WHEN {when} THEN {yes} ELSE {self.expression()} END"
+
     def unary(self) -> str:
         if self.peek() == "!":
             self.take()
@@ -113,6 +142,8 @@ class _Parser:
             return self.argument()
         if got == "none":
             return "NULL"
+        if got in ("fst", "snd"):
+            return self.member(self.argument(), got)
         head, *members = got.split(".")
         if head == self.issuer and members:
             if members[0] not in self.fields:
@@ -139,7 +170,7 @@ class _Parser:
         if self.peek() == "fun":
             self.take()
             self.scope[self.take()] = name
-            self.take("=>")
+            self.take("," if self.peek() == "," else "=>")
         else:
             self.scope["·"] = name
         body = self.expression()
@@ -148,6 +179,11 @@ class _Parser:
         return name, body
 
     def member(self, of: str, name: str) -> str:
+        name = _MEMBERS.get(name, name)
+        if name in ("get", "get!", "some"):  # of an option: the value itself
+            return of
+        if name == "last":
+            return f"try_element_at({of}, -1)"
         if name in ("length", "size"):
             return f"size({of})"
         if name == "isEmpty":
@@ -165,15 +201,17 @@ class _Parser:
             return f"({of} IS NULL)"
         if name in ("getD", "getOrElse"):
             return f"coalesce({of}, {self.argument()})"
-        if name in ("fst", "snd"):
-            return f"{of}.{'_1' if name == 'fst' else '_2'}"
+        if name in ("fst", "snd") or name.isdigit():
+            return f"{of}._{ {'fst': 1, 'snd': 2}.get(name, name) }"
+        if re.fullmatch(r"v\d+(?:\.\w+)*", of):  # a member of a list's entry
+            return f"{of}.{name}"
         raise Unsupported(f"unknown member {name}")
 
 
 def compile_predicate(source: str, schema: Schema) -> tuple[str, frozenset[str]]:
     """(Spark SQL, fields used) of ``fun i => …``; the SQL is never null once nulls are filled."""
     tokens = _tokens(source)
-    if tokens[:1] != ["fun"] or "=>" not in tokens[:3]:
+    if tokens[:1] != ["fun"] or "=>" not in tokens[:3] or len(tokens) < 4:
         raise Unsupported("not a function of a filing")
     parser = _Parser(tokens[3:], schema, tokens[1])
     sql = parser.expression()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rulewright.operators import evaluate as E
 from rulewright.plans import rules as R
 from rulewright.plans.language import Unsupported, compile_predicate
-from rulewright.plans.schema import CORE, Schema, coverage, spark_type
+from rulewright.plans.schema import CORE, FieldSpec, Schema, coverage, spark_type
 
 GOOD = {f.name: True for f in CORE.fields if f.type == "boolean"} | {
     "is_debarred": False, "has_debarred_directors": False, "is_fraudulent": False, "is_fugitive": False, "has_outstanding_convertibles": False, "changed_name_recently": False,
@@ -66,12 +66,18 @@ def test_rendering(spark):
         ("fun i => i.s ≠ \"\"", True),
         ("fun i => (i.xs.filter (fun x => x > 3)).all (fun x => x > 100)", False),
         ("fun _ => True", True),
+        ("fun i => match i.o with some 4 => True | _ => False", True),
+        ("fun i => match i.o with some x => x == 5 | _ => True", False),
+        ("fun i => not (i.o == none) and i.xs.exists (λ x, x == 5)", True),
+        ("fun i => i.ps.all (fun p => p.1 == 2 && p.2 == \"b\")", True),
+        ("fun i => i.ds.any (fun d => d.other.length > 1)", True),
     ],
 )
 def test_language(spark, source, expected):
     form = Schema.of(xs="List Nat", n="Nat", b="Bool", o="Option Nat", s="String")
+    form = Schema((*form.fields, FieldSpec("ps", "array<struct<_1:bigint,_2:string>>"), FieldSpec("ds", "array<struct<other:array<bigint>>>")))
     sql, _ = compile_predicate(source, form)
-    row = spark.createDataFrame([([4, 5], 7, True, 4, "x")], form.ddl)
+    row = spark.createDataFrame([([4, 5], 7, True, 4, "x", [(2, "b")], [([],), ([1, 2],)])], form.ddl)
     assert row.select(F.expr(sql).alias("v")).first()["v"] is expected
 
 
