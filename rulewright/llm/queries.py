@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, passages, pitmanyor, prefixhash, secrets, simhash, urlfilter, wavelet
+from . import decontaminate, langid, packing, passages, pitmanyor, prefixhash, secrets, simhash, urlfilter, urlsql, wavelet
 from .common import remainder, table
 
 
@@ -71,4 +71,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_url_filters": urlsql.oracle(URL_RULES)}
