@@ -103,7 +103,7 @@ class Model:
 
 
 def _runs(texts: list[str], most: int = 128):
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, 1 << 18):
         for k in range(a, b, most):
             yield k, min(b, k + most)
 
@@ -177,6 +177,7 @@ def identify(docs: DataFrame, training: Column | None = None, sample: int = SAMP
     and all texts where no labelled text was there to learn from.  Repeated
     rows are each predicted; of clashing columns, ours replace the table's.
     """
+    common.small_batches(docs.sparkSession)
     training = F.lit(True) if training is None else training
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, training, sample))
     rest = docs.drop("lang_pred", "score", "rejected")

@@ -126,6 +126,7 @@ def scan(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def without_secrets(docs: DataFrame, vocabulary: str, mark: str = "<secret>") -> DataFrame:
     """`docs` with every secret in `text` replaced by `mark` and `n_chars` set anew where that column exists; all rows and columns stay."""
+    common.small_batches(docs.sparkSession)
     schema = docs.schema
 
     def run(batches):

@@ -134,9 +134,7 @@ def _edges_at_points(radius: int, block: int):
     def groups(batches):
         """Runs of whole points."""
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in common.merged(batches):
             point, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             cut = int(np.searchsorted(point, point[-1]))
             if cut:
@@ -245,7 +243,7 @@ _word_hashes: dict[bytes, int] = {}
 def _hash_words(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    if len(_word_hashes) > 1 << 18:
+    if len(_word_hashes) > 1 << 17:
         _word_hashes.clear()
     for w in words:
         if w not in _word_hashes:
