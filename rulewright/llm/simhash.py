@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, graph
+from . import common, graph, prefixjoin
 
 SEED = 42
 #: The largest radius that the grid covers.
@@ -232,11 +232,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = 4) -> Da
 
 # -- near copies by similarity -------------------------------------------------
 
-#: Fingerprints of a text, each from hashes of its own, and hashes of its shingles that are kept to compare it.
+#: Fingerprints of a text, each from hashes of its own.
 FINGERPRINTS = 4
-SKETCH = 256
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _word_hashes: dict[bytes, int] = {}
 
 
@@ -257,71 +257,118 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def describe(text: str, width: int) -> tuple[int, list[int], bytes]:
-    """(key, fingerprints, sketch) of a text: a hash of all its words, majority bits over its distinct words, and the least hashes of its shingles."""
-    words = _hash_words(text.encode("utf-8", "surrogatepass").lower().split())
+def _words(text: str) -> np.ndarray:
+    return _hash_words(text.encode("utf-8", "surrogatepass").lower().split())
+
+
+def _key(words: np.ndarray) -> int:
+    """A hash of all words in their order; 0 of none."""
     if not words.size:
-        return 0, [0] * FINGERPRINTS, b""
-    powers = np.full(words.size, 0x9E3779B97F4A7C15, np.uint64)
-    key = int(_scramble(np.array([(words * np.cumprod(powers)).sum(dtype=np.uint64)]))[0])
+        return 0
+    return int(_scramble(np.array([(words * np.cumprod(np.full(words.size, _STEP))).sum(dtype=np.uint64)]))[0])
+
+
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """The distinct hashes of all runs of `width` words, sorted; of a shorter text, of the whole."""
+    if not words.size:
+        return words
+    n = max(1, words.size - width + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(width, words.size)):
+        out = out * _STEP + words[k : k + n]
+    return np.unique(_scramble(out))
+
+
+def describe(text: str, width: int) -> tuple[int, list[int], int, np.ndarray]:
+    """(key, fingerprints, n, parities) of a text: a hash of all its words, majority bits over its distinct words, and number and parities of its shingles."""
+    words = _words(text)
+    if not words.size:
+        return 0, [0] * FINGERPRINTS, 0, prefixjoin.parities(words)
     distinct, fps = np.unique(words), []
     for k in range(FINGERPRINTS):
         bits = np.unpackbits(_scramble(distinct + np.uint64(k * 0x9E3779B9)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         fps.append(int(np.packbits(2 * bits.sum(0, dtype=np.int64) > distinct.size, bitorder="little").view("<u8")[0]))
-    n = max(1, words.size - width + 1)
-    shingles = np.zeros(n, np.uint64)
-    for k in range(min(width, words.size)):
-        shingles = shingles * powers[0] + words[k : k + n]
-    least = np.unique(_scramble(shingles) >> np.uint64(32))[:SKETCH]
-    return key, fps, least.astype("<u4").tobytes()
+    own = shingles(words, width)
+    return _key(words), fps, int(own.size), prefixjoin.parities(own)
 
 
-def resemblance(a: bytes, b: bytes) -> float:
-    """Share of shingles that two sketched texts have in common, of all that either has; exact while both have SKETCH or fewer."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    sample = np.union1d(x, y)[:SKETCH]
-    return float((np.isin(sample, x) & np.isin(sample, y)).mean()) if sample.size else 1.0
+def _similar_pairs(docs: DataFrame, keys: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(a, b): those of `pairs` (x, y) whose whole shingle sets are similar; `keys` (key, least) names a document of each text."""
+    pairs = common.settle(pairs, "candidates")
+    named = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(keys, "key")
+    wanted = docs.join(named.select(F.col("least").alias("doc_id"), "key"), "doc_id").select("key", "text")
+
+    def sets(batches):
+        for batch in batches:
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for k in range(0, len(keys), 500):
+                out = []
+                for key, text in zip(keys[k : k + 500], texts[k : k + 500], strict=True):
+                    words = _words(text)
+                    if _key(words) == key % (1 << 64):  # another row may have the same doc_id
+                        out.append((key, shingles(words, width).tobytes()))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["key", "own"])
+
+    own = common.settle(wanted.mapInArrow(sets, "key long, own binary").dropDuplicates(["key"]), "sets")
+
+    def decide(batches):
+        for batch in batches:
+            x, y = (map(lambda b: np.frombuffer(b, np.uint64), batch.column(k).to_pylist()) for k in (2, 3))
+            keep = pa.array([prefixjoin.similar(a, b, similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    told = pairs.join(own.select(F.col("key").alias("x"), F.col("own").alias("of_x")), "x").join(own.select(F.col("key").alias("y"), F.col("own").alias("of_y")), "y")
+    return common.settle(told.select("x", "y", "of_x", "of_y").mapInArrow(decide, "a long, b long"), "near")
 
 
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id and component_id of every row of `docs`: classes of documents that share `similarity` of their word shingles.
 
-    Candidates are texts of which one of FINGERPRINTS fingerprints, taken over
-    distinct words, is within the grid's radius: an edited word moves such a
-    fingerprint little, so texts that share four fifths of their shingles
-    meet.  Shingles then decide each candidate.  Texts with the same words are
-    equal; all texts without words are.  component_id is the smallest doc_id
-    of the class.
+    Most classes come from the grid: candidates are texts of which one of
+    FINGERPRINTS fingerprints, taken over distinct words, is within its
+    radius.  The grid misses pairs (cut or extended texts, and those that only
+    met through a third), so a prefix-filtered join of the shingles then finds
+    every pair between different classes that may be similar.  The whole
+    shingle sets of both texts decide each candidate.  Texts with the same
+    words are equal; all texts without words are.  component_id is the
+    smallest doc_id of the class.
     """
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for k in range(0, len(texts), 2000):
-                key, fps, sketch = zip(*(describe(x, width) for x in texts[k : k + 2000]), strict=True)
+                key, fps, n, odd = zip(*(describe(x, width) for x in texts[k : k + 2000]), strict=True)
                 signed = np.array(fps, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), _signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(sketch, pa.binary())], ["doc_id", "key", "fps", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), _signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(n, pa.int32()), *map(pa.array, np.array(odd).T.copy())], ["doc_id", "key", "fps", "n", *prefixjoin.PARITIES])
 
-    own = common.settle(common.texts(docs).mapInArrow(run, "doc_id long, key long, fps array<long>, sketch binary"), "described")
-    classed = own.groupBy("key").agg(F.min("doc_id").alias("least"))
-    firsts = own.join(classed.withColumnRenamed("least", "doc_id"), ["key", "doc_id"]).select("key", "fps", "sketch").dropDuplicates(["key"])
-    firsts = common.settle(firsts, "distinct")
-    at = firsts.select("key", F.explode("fps").alias("fp")).distinct()
+    def elements(batches):
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words = _words(text)
+                yield _key(words), shingles(words, width)
+
+    whole = common.texts(docs)
+    own = common.settle(whole.mapInArrow(run, "doc_id long, key long, fps array<long>, n int, " + ", ".join(f"{p} long" for p in prefixjoin.PARITIES)), "described")
+    classed = common.settle(own.groupBy("key").agg(F.min("doc_id").alias("least"), *[F.first(x).alias(x) for x in ("n", "fps", *prefixjoin.PARITIES)]), "distinct")
+    at = classed.select("key", F.explode("fps").alias("fp")).distinct()
     speaks = at.groupBy("fp").agg(F.min("key").alias("rep"))
     found = links(speaks.select("fp"))
     between = found.join(speaks.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(speaks.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b").select("x", "y")
     equal = at.join(speaks, "fp").select(F.col("rep").alias("x"), F.col("key").alias("y"))
     pairs = between.unionByName(equal).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-
-    def decide(batches):
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = pa.array([resemblance(a, b) >= similarity for a, b in zip(x, y, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
-
-    told = pairs.join(firsts.select(F.col("key").alias("x"), F.col("sketch").alias("of_x")), "x").join(firsts.select(F.col("key").alias("y"), F.col("sketch").alias("of_y")), "y")
-    sure = common.settle(told.select("x", "y", "of_x", "of_y").mapInArrow(decide, "a long, b long"), "near")
-    roots = graph.components(sure).withColumnRenamed("node", "key")
+    of = lambda side: classed.select(*[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", *prefixjoin.PARITIES)]).withColumnRenamed(f"key_{side}", side)
+    alike = pairs.join(of("x"), "x").join(of("y"), "y").where(prefixjoin.may_be_similar(similarity)).select("x", "y")
+    odd = classed.select("key", *prefixjoin.PARITIES)
+    classed = classed.select("key", "least")
+    sure = _similar_pairs(whole, classed, alike, width, similarity)
+    # What the grid leaves apart meets at the first shingles of both.
+    roots = common.settle(graph.components(sure).withColumnRenamed("node", "key"), "classes")
+    met = prefixjoin.meeting(whole.select("text"), elements, similarity).join(odd, "key").join(roots, "key", "left")
+    met = met.select("element", "n", "key", "at", F.coalesce("root", "key").alias("root"), *prefixjoin.PARITIES)
+    more = _similar_pairs(whole, classed, prefixjoin.pairs(met, similarity), width, similarity)
+    roots = graph.components(sure.unionByName(more)).withColumnRenamed("node", "key")
     classed = classed.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = classed.groupBy("root").agg(F.min("least").alias("component_id"))
     return own.select("doc_id", "key").join(classed.join(first, "root").select("key", "component_id"), "key").select("doc_id", "component_id")

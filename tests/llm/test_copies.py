@@ -195,3 +195,37 @@ def test_pipeline(spark, tmp_path, prose, words, vocabulary):
     assert docs.where("doc_id = 71").first()["text"].endswith(" <secret>")
     packed = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert set(packed["doc_id"]) == kept["secret_scans"] and packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def shingled(text, width=5):
+    ws = (text or "").lower().split()
+    return {tuple(ws[k : k + width]) for k in range(max(1, len(ws) - width + 1))} if ws else set()
+
+
+def similar_classes(rows, bound=0.8):
+    """doc_id and smallest doc_id of its class, by comparing all pairs."""
+    sets = [shingled(t) for _, t in rows]
+    close = lambda a, b: 5 * len(a & b) >= 4 * len(a | b) if bound == 0.8 else len(a & b) >= bound * len(a | b)
+    roots = components(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if close(sets[i], sets[j])])
+    least = {}
+    for k, root in roots.items():
+        least[root] = min(least.get(root, 1 << 60), rows[k][0])
+    return {d: least[roots[k]] for k, (d, _) in enumerate(rows)}
+
+
+def found_classes(documents, rows):
+    return {r["doc_id"]: r["component_id"] for r in simhash.near_copies(documents(*rows)).collect()}
+
+
+def test_near_copies_cut_extended_and_moved(documents, prose):
+    """Copies that lost or gained their ends, or had blocks moved, around the bound, short and long."""
+    rows = []
+    for k in range(60):
+        n, chance = (12, 30, 90, 400, 1500)[k % 5], random.Random(k)
+        own, part = prose(n, 5000 + k), chance.uniform(0.74, 0.9)
+        ws, cut = own.split(), int(n * part)
+        at = chance.randrange(n)
+        rows += [(10 * k, own), (10 * k + 1, " ".join(ws[:cut])), (10 * k + 2, own + " " + prose(int(n / part) - n, 7000 + k)), (10 * k + 3, " ".join(ws[at:] + ws[:at])), (10 * k + 4, " ".join(ws[n - cut :]).upper())]
+    want = similar_classes(rows)
+    assert found_classes(documents, rows) == want
+    assert len(set(want.values())) < len(rows) * 0.8
