@@ -229,3 +229,17 @@ def test_near_copies_cut_extended_and_moved(documents, prose):
     want = similar_classes(rows)
     assert found_classes(documents, rows) == want
     assert len(set(want.values())) < len(rows) * 0.8
+
+
+def test_near_copies_in_crowds(documents, prose):
+    """Texts of the same words, so with equal fingerprints, and texts that are near one another but not to the one between them."""
+    parts, chance, rows = [prose(20, 9000 + k) for k in range(12)], random.Random(8), []
+    for k in range(40):
+        order = chance.sample(parts, 12)
+        words = [w for p in order for w in chance.sample(p.split(), 20)]
+        swapped = words[:]
+        swapped[3], swapped[4], swapped[150], swapped[151] = swapped[4], swapped[3], swapped[151], swapped[150]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(swapped))]
+    want = similar_classes(rows)
+    assert all(want[2 * k + 1] == want[2 * k] == 2 * k for k in range(40))
+    assert found_classes(documents, rows) == want
