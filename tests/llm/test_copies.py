@@ -243,3 +243,19 @@ def test_near_copies_in_crowds(documents, prose):
     want = similar_classes(rows)
     assert all(want[2 * k + 1] == want[2 * k] == 2 * k for k in range(40))
     assert found_classes(documents, rows) == want
+
+
+def test_near_copies_at_the_bound(documents, prose, words):
+    """Long texts just under and over four fifths, which a sample of their shingles can't tell apart."""
+    rows = []
+    for k in range(40):
+        chance, n = random.Random(k), 1500
+        ws = prose(n, 11000 + k).split()
+        # A replaced word far from the others changes five shingles, of which both texts then have five of their own.
+        replaced = chance.sample(range(0, n, 10), 33 + k % 2)
+        for p in replaced:
+            ws[p] = "new" + str(p)
+        rows += [(2 * k, prose(n, 11000 + k)), (2 * k + 1, " ".join(ws))]
+    want = similar_classes(rows)
+    assert {want[2 * k + 1] == 2 * k for k in range(40)} == {True, False}
+    assert found_classes(documents, rows) == want
