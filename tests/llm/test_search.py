@@ -135,3 +135,16 @@ def test_language_id(documents, spark):
     nothing = langid.identify(documents(*rows).withColumn("lang", F.lit(None).cast("string"))).select("lang_pred").distinct().collect()
     assert [r[0] for r in nothing] == ["und"]
     assert langid.identify(documents(*rows).limit(0)).count() == 0
+
+
+def test_no_language(documents):
+    """Random letters and other languages' sounds are rejected, clean texts down to a few words are not."""
+    chance = random.Random(6)
+    sound = {"xx": ["ka", "to", "mi", "ru", "sel", "nan"], "yy": ["den", "ich", "und", "ost", "wer", "bal"], "zz": ["cio", "nas", "los", "que", "por", "ial"]}
+    text = lambda lang, n: " ".join("".join(chance.choice(sound[lang]) for _ in range(chance.randint(1, 4))) for _ in range(n))
+    noise = lambda letters: " ".join("".join(chance.choice(letters) for _ in range(chance.randint(2, 10))) for _ in range(60))
+    rows = [(k, text(lang := [*sound][k % 3], 20 + k % 60), lang) for k in range(300)]
+    rows += [(1000 + k, noise("abcdefghijklmnopqrstuvwxyz"), None) for k in range(20)] + [(1100 + k, noise("bcdfghjkpqvwxz"), None) for k in range(20)]
+    rows += [(2000 + k, text([*sound][k % 3], 8), None) for k in range(30)]
+    got = langid.identify(documents(*rows), F.col("doc_id") < 300).toPandas().set_index("doc_id")["rejected"]
+    assert got.loc[1000:1199].all() and not got.loc[2000:].any() and got.loc[:299].mean() < 0.02
