@@ -24,7 +24,7 @@ from .passages import _by_key, _starts
 
 #: Elements that are put last at most, and sets counted at once; an element is counted where OFTEN of those have it.
 HEAVY = 1 << 17
-COUNTED, OFTEN = 4000, 4
+COUNTED, OFTEN = 2000, 4
 #: Columns with the parities of 64 buckets each.
 PARITIES = ("odd0", "odd1", "odd2", "odd3")
 #: Slack for products of similarities and sizes that are whole numbers.
@@ -95,14 +95,14 @@ def prefixes(sets: DataFrame, elements, similarity: float) -> DataFrame:
             if key in seen or not own.size:
                 continue
             seen.add(key)
-            if len(seen) > 1 << 17:
+            if len(seen) > 1 << 15:
                 seen = {key}
             at = np.minimum(np.searchsorted(value, own), max(0, value.size - 1))
             rank = np.where(value[at] == own, count[at], 0) if value.size else np.zeros(own.size, np.int64)
             first = own[np.argsort(rank, kind="stable")[: int(prefix_size(own.size, similarity))]]
             rows.append((key, own.size, first))
             held += first.size
-            if held > 1 << 17:
+            if held > 1 << 15:
                 yield _prefix_batch(rows)
                 rows, held = [], 0
         if rows:
@@ -151,13 +151,13 @@ def pairs(met: DataFrame, similarity: float) -> DataFrame:
             upto = np.minimum(ends, np.searchsorted(number * (2 * most + 2) + n, number * (2 * most + 2) + np.minimum(np.floor(n / similarity + _SLACK).astype(np.int64), 2 * most), side="right"))
             width = upto - np.arange(n.size) - 1
             found = []
-            cuts = np.append(np.arange(0, n.size, 4096), n.size)
+            cuts = np.append(np.arange(0, n.size, 1024), n.size)
             for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 own = np.arange(low, high)
                 # Rows with very many partners are taken in steps of bounded size.
-                for step in range(0, int(width[low:high].max()), 256):
+                for step in range(0, int(width[low:high].max()), 64):
                     left = own[width[low:high] > step]
-                    w = np.minimum(width[left] - step, 256)
+                    w = np.minimum(width[left] - step, 64)
                     i = np.repeat(left, w)
                     j = i + 1 + step + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
                     may = root[i] != root[j]

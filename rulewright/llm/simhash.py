@@ -296,7 +296,9 @@ def _similar_pairs(docs: DataFrame, keys: DataFrame, pairs: DataFrame, width: in
     """(a, b): those of `pairs` (x, y) whose whole shingle sets are similar; `keys` (key, least) names a document of each text."""
     pairs = common.settle(pairs, "candidates")
     named = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(keys, "key")
-    wanted = docs.join(named.select(F.col("least").alias("doc_id"), "key"), "doc_id").select("key", "text")
+    # Written first, so that Spark knows how few they are before it moves texts.
+    named = common.settle(named.select(F.col("least").alias("doc_id"), "key"), "named")
+    wanted = docs.join(named, "doc_id").select("key", "text")
 
     def sets(batches):
         for batch in batches:
@@ -314,7 +316,7 @@ def _similar_pairs(docs: DataFrame, keys: DataFrame, pairs: DataFrame, width: in
 
     def decide(batches):
         for batch in batches:
-            x, y = (map(lambda b: np.frombuffer(b, np.uint64), batch.column(k).to_pylist()) for k in (2, 3))
+            x, y = ((np.frombuffer(own.as_buffer(), np.uint64) for own in batch.column(k)) for k in (2, 3))
             keep = pa.array([prefixjoin.similar(a, b, similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
@@ -338,8 +340,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     def run(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for k in range(0, len(texts), 2000):
-                key, fps, n, odd = zip(*(describe(x, width) for x in texts[k : k + 2000]), strict=True)
+            for k in range(0, len(texts), 500):
+                key, fps, n, odd = zip(*(describe(x, width) for x in texts[k : k + 500]), strict=True)
                 signed = np.array(fps, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), _signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(n, pa.int32()), *map(pa.array, np.array(odd).T.copy())], ["doc_id", "key", "fps", "n", *prefixjoin.PARITIES])
 
