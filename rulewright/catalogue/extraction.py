@@ -212,71 +212,112 @@ def q35(spark, d):
     return enrich.with_parents(rows).select("doc_id", "rule_id", "proviso", "exception_to")
 
 
-_CLASSES = {"eligibility": (" the ", " of ", " that "), "disclosure": (" de ", " la ", " et "), "pricing": (" und ", " der "), "lock_in": (" el ", " los ", " que ")}
+#: (text, chapter, rule type, actor, condition type, scope): what the classes give for texts on which plainer rules would differ.
+_CLAUSES = (
+    ("An issuer shall not be eligible to make a public offer", "II", "eligibility", "issuer", "prohibition", "IPO"),
+    ("The promoter group shall disclose the price band", "III", "pricing", "promoter", "positive_requirement", "rights_issue"),
+    ("The issuer shall see that promoters' contribution of the promoter group is locked-in", "IV", "promoter_contribution", "promoter", "positive_requirement", "FPO"),
+    ("Provided that the lead manager shall furnish a certificate", "V", "procedural", "lead_manager", "carve_out", "preferential_issue"),
+    ("Nothing contained herein shall not apply", "VI", "prohibition", "issuer", "prohibition", "QIP"),
+    ("Basis of allotment is fixed with the merchant banker", "VII", "allotment", "lead_manager", "positive_requirement", "IDR_IPO"),
+    ("Selling shareholder and the board of directors of the issuer", "VIII", "general", "issuer", "positive_requirement", "IDR_rights"),
+    ("Securities under lock-in and not be transferable by debarred persons", "IX", "lock_in", "issuer", "prohibition", "SME_IPO"),
+    ("Board of the issuer, board of directors", "XII", "general", "board_of_directors", "positive_requirement", "general"),
+    (None, None, "general", "issuer", "positive_requirement", "general"),
+)
+
+
+def _sql(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
 
-def _hits_sql(words) -> str:
-    return "(" + " + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in words) + ")"
+def _case(values, by: str) -> str:
+    """One of `values` by the remainder of `by`, in SQL that both engines read."""
+    return f"CASE {by} % {len(values)} " + " ".join(f"WHEN {k} THEN {_sql(v)}" for k, v in enumerate(values)) + " END"
+
+
+def _rows(cases) -> str:
+    return "(VALUES " + ", ".join(f"({k}, " + ", ".join(map(_sql, c)) + ")" for k, c in enumerate(cases)) + ")"
 
 
 @query(
     "q36_keyword_classification",
-    "WITH s AS (SELECT doc_id, source, lang, "
-    + ", ".join(f"{_hits_sql(w)} AS {n}" for n, w in _CLASSES.items())
-    + " FROM documents) SELECT doc_id, CASE WHEN greatest(eligibility, disclosure, pricing, lock_in) = 0 THEN 'general' WHEN eligibility = greatest(eligibility, disclosure, pricing, lock_in) THEN 'eligibility' WHEN disclosure = greatest(eligibility, disclosure, pricing, lock_in) THEN 'disclosure' WHEN pricing = greatest(eligibility, disclosure, pricing, lock_in) THEN 'pricing' ELSE 'lock_in' END AS rule_type, "
-    + "CASE "
-    + " ".join(f"WHEN {n} > 0 THEN '{n}'" for n in reversed(_CLASSES))
-    + " ELSE 'issuer' END AS actor, CASE lang WHEN 'en' THEN 'public_issue' WHEN 'de' THEN 'rights_issue' ELSE 'general' END AS scope FROM s",
+    f"SELECT doc_id, rule_type, actor, condition, scope FROM documents JOIN {_rows([c[2:] for c in _CLAUSES])} v(k, rule_type, actor, condition, scope) ON doc_id % {len(_CLAUSES)} = k",
 )
 def q36(spark, d):
-    text = F.col("text")
+    pick = lambda at: F.expr(_case([c[at] for c in _CLAUSES], "doc_id").replace("''", "\\'"))
+    text = F.concat(pick(0), F.lit(" ("), F.col("doc_id").cast("string"), F.lit(")"))
     return table(spark, d, "documents").select(
-        "doc_id",
-        enrich.best_class(text, _CLASSES, "general").alias("rule_type"),
-        enrich.first_class(text, dict(reversed(_CLASSES.items())), "issuer").alias("actor"),
-        enrich.lookup(F.col("lang"), {"en": "public_issue", "de": "rights_issue"}, "general").alias("scope"),
+        "doc_id", enrich.rule_type(text).alias("rule_type"), enrich.actor(text).alias("actor"), enrich.condition_type(text).alias("condition"), F.array_join(enrich.scopes(pick(1)), ",").alias("scope")
     )
 
 
-_REFERRING = "concat(substring(text, 1, 20), ' under regulation ', CAST(doc_id % 30 AS VARCHAR(9)), ' and Regulations ', CAST(doc_id % 7 AS VARCHAR(9)), 'A(2), regulation ', CAST(doc_id % 30 AS VARCHAR(9)), ' with Schedule ', CASE doc_id % 3 WHEN 0 THEN 'IV' WHEN 1 THEN 'XII' ELSE 'I' END, CASE WHEN doc_id % 4 = 0 THEN ' of the Companies Act, 2013' WHEN doc_id % 4 = 1 THEN ' and the SEBI Act 1992 or Companies Act, 1956' ELSE '' END)"
+#: (text, regulations, schedules, acts): what the references of each text are, in order.
+_REFERRING = (
+    ("and sub-regulation 4(3), regulation 6(1)(2), Regulation 6(1)(2) and regulations 9 with Schedule IV, schedule vi and Schedule IV", "4(3),6(1)(2)", "IV,vi", ""),
+    ("of the Companies Act, 2013, the Securities and Exchange Board of India Act,1992, Companies Act 1956 and the Companies Act, 2013", "", "", "Companies Act:2013,SEBI Act:1992,Companies Act:1956"),
+    ("or regulation 8A and REGULATION 8a(1), the SEBI Act 1992 and the reserve bank of india act 1934", "8A,8a(1)", "", "RBI Act:1934"),
+    ("under Schedules XI and Schedule XI, the Securities Contracts (Regulation) Act, 1956 or the Depositories Act 1996", "", "XI", "Depositories Act:1996"),
+)
 
 
 @query(
     "q37_cross_reference_extract",
-    r"""SELECT doc_id, array_to_string(list_sort(list_distinct([CAST(doc_id % 30 AS VARCHAR), CAST(doc_id % 7 AS VARCHAR) || 'A(2)'])), ',') AS regulations, CASE doc_id % 3 WHEN 0 THEN 'IV' WHEN 1 THEN 'XII' ELSE 'I' END AS schedules,
-    CASE WHEN doc_id % 4 = 0 THEN 'Companies Act:2013' WHEN doc_id % 4 = 1 THEN 'Companies Act:1956,SEBI Act:1992' ELSE '' END AS acts FROM documents""",
+    f"SELECT doc_id, CAST(100 + doc_id % 30 AS VARCHAR) || CASE WHEN r = '' THEN '' ELSE ',' || r END AS regulations, schedules, acts FROM documents JOIN {_rows([c[1:] for c in _REFERRING])} v(k, r, schedules, acts) ON doc_id % {len(_REFERRING)} = k",
 )
 def q37(spark, d):
-    text = F.expr(_REFERRING)
+    text = F.concat(F.lit("under regulation "), (100 + F.col("doc_id") % 30).cast("string"), F.lit(" "), F.expr(_case([c[0] for c in _REFERRING], "doc_id")))
     acts = F.transform(T.act_references(text), lambda a: F.concat(a["act"], F.lit(":"), a["year"].cast("string")))
-    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(T.regulation_references(text)), ",").alias("regulations"), F.array_join(T.schedule_references(text), ",").alias("schedules"), F.array_join(acts, ",").alias("acts"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(T.regulation_references(text), ",").alias("regulations"), F.array_join(T.schedule_references(text), ",").alias("schedules"), F.array_join(acts, ",").alias("acts"))
 
 
 _RAW_ID = "concat('ICDR_', CAST(doc_id % 50 AS VARCHAR(9)), CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END, '_1_', CASE doc_id % 6 WHEN 0 THEN 'Provided further' WHEN 1 THEN 'Provided that' WHEN 2 THEN 'Explanation' WHEN 3 THEN 'Category II' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END)"
+#: (number, guarded number): sentences where a number was asked for.
+_NUMBERS = (
+    ("6(1)(Provided that such equity shares stay locked in)", "6(1)_proviso"),
+    ("8A(1)(2) Provided that such equity shares stay locked in", "8A(1)(2)_proviso"),
+    ("Provided that such equity shares stay locked in for a year", "Provided that such equity shares stay locked in for a year"),
+    ("6(3)(a)", "6(3)(a)"),
+)
 
 
 @query(
     "q38_rule_id_canonicalise",
-    """WITH b AS (SELECT doc_id, CAST(doc_id % 50 AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END AS n, doc_id % 6 AS k FROM documents),
+    f"""WITH b AS (SELECT doc_id, CAST(doc_id % 50 AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END AS n, doc_id % 6 AS k FROM documents),
     c AS (SELECT doc_id, n, k, n || '_1_' || CASE k WHEN 0 THEN 'proviso2' WHEN 1 THEN 'proviso' WHEN 2 THEN 'explanation' WHEN 3 THEN 'category' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END AS id FROM b)
-    SELECT doc_id, id AS canonical, CASE WHEN k = 5 THEN n || '_1_very_long_tail' ELSE id END AS guarded, CASE WHEN k = 5 THEN 'truncated_long_id' END AS note, CASE WHEN k = 5 THEN CAST(doc_id % 50 AS VARCHAR) || '_proviso' ELSE id END AS number, regexp_matches(n, '^[0-9]+[A-Za-z]?$') AS is_token FROM c""",
+    SELECT doc_id, id AS canonical, 'ICDR_' || CASE WHEN k = 5 THEN n || '_1_very_long' ELSE id END AS guarded, CASE WHEN k = 5 THEN 'rule_id_truncated_from_15_tokens' END AS note, number, regexp_matches(n, '^[0-9]+[A-Za-z]?$') AS is_token
+    FROM c JOIN {_rows([c[1:] for c in _NUMBERS])} v(m, number) ON doc_id % {len(_NUMBERS)} = m""",
 )
 def q38(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.explode(F.array(T.canonical_id(F.expr(_RAW_ID)))).alias("c"))
-    guarded, note = T.guarded_id(F.col("c"))
-    return rows.select("doc_id", F.col("c").alias("canonical"), guarded.alias("guarded"), note.alias("note"), T.guarded_number(F.col("c")).alias("number"), T.is_regulation_token(F.element_at(F.split("c", "_"), 1)).alias("is_token"))
-
-
-_YEARLY = "concat(substring(text, 1, 20), CASE doc_id % 6 WHEN 0 THEN ' in the last three financial years' WHEN 1 THEN ' of the preceding 5 years' WHEN 2 THEN ' for Seven full years' WHEN 3 THEN ' in a year' ELSE '' END)"
+    guarded, note = T.guarded_id(F.concat(F.lit("ICDR_"), "c"))
+    number = F.expr(_case([c[0] for c in _NUMBERS], "doc_id"))
+    return rows.select("doc_id", F.col("c").alias("canonical"), guarded.alias("guarded"), note.alias("note"), T.guarded_number(number).alias("number"), T.is_regulation_token(F.element_at(F.split("c", "_"), 1)).alias("is_token"))
+
+
+#: (text, years): only phrases about past years name a number, and only the first such phrase counts.
+_YEARLY = (
+    ("in the last three financial years", "3"),
+    ("of the preceding 5 years", "5"),
+    ("for Seven full years", None),
+    ("for a lock-in period of three years", None),
+    ("in each of the Previous seven years", "7"),
+    ("in the last few years and the preceding two years", None),
+    ("", None),
+    ("in the previous 12 financial year", "12"),
+)
 
 
 @query(
     "q39_multi_year_type_override",
-    """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 7 END AS years, CASE WHEN doc_id % 6 < 3 AND doc_id % 2 = 0 THEN 'List Nat' WHEN doc_id % 2 = 0 THEN 'Nat' ELSE 'Bool' END AS type_hint,
-    CASE WHEN doc_id % 6 < 3 AND doc_id % 2 = 0 THEN 'length=' || CASE doc_id % 6 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 7 END || '; ' ELSE '' END || '>= 1' AS constraints FROM documents""",
+    f"""WITH t AS (SELECT doc_id, CAST(y AS INTEGER) AS years, y, doc_id // 8 % 2 = 0 AS nat, CASE doc_id % 3 WHEN 0 THEN '>= 1' WHEN 1 THEN '' ELSE 'length=3' END AS had FROM documents JOIN {_rows([c[1:] for c in _YEARLY])} v(k, y) ON doc_id % {len(_YEARLY)} = k)
+    SELECT doc_id, years, CASE WHEN NOT nat THEN 'Bool' WHEN y IS NULL THEN 'Nat' ELSE 'List Nat' END AS type_hint,
+    CASE WHEN NOT nat OR y IS NULL OR (had = 'length=3' AND y = '3') THEN had WHEN had = '' THEN 'length=' || y ELSE 'length=' || y || '; ' || had END AS constraints,
+    CASE WHEN nat AND y IS NOT NULL THEN 'type_override:Nat->ListNat(n=' || y || ')_for_profits' ELSE '' END AS notes FROM t""",
 )
 def q39(spark, d):
-    text = F.expr(_YEARLY)
-    maps_to = F.array(F.struct(F.lit("profits").alias("field"), F.when(F.col("doc_id") % 2 == 0, "Nat").otherwise("Bool").alias("type_hint"), F.lit(">= 1").alias("constraints_text")))
-    rows = table(spark, d, "documents").select("doc_id", T.years_named(text).alias("years"), enrich.yearly_types(maps_to, text).alias("m"))
-    return rows.select("doc_id", "years", F.col("m")[0]["type_hint"].alias("type_hint"), F.col("m")[0]["constraints_text"].alias("constraints"))
+    text = F.concat(F.lit("profits "), F.expr(_case([c[0] for c in _YEARLY], "doc_id")))
+    had = F.expr("CASE doc_id % 3 WHEN 0 THEN '>= 1' WHEN 1 THEN '' ELSE 'length=3' END")
+    maps_to = F.array(F.struct(F.lit("profits").alias("field"), F.when(F.expr("doc_id div 8") % 2 == 0, "Nat").otherwise("Bool").alias("type_hint"), had.alias("constraints_text")))
+    rows = table(spark, d, "documents").select("doc_id", T.years_named(text).alias("years"), enrich.yearly_types(maps_to, text).alias("m"), F.array_join(enrich.yearly_notes(maps_to, text), ",").alias("notes"))
+    return rows.select("doc_id", "years", F.col("m")[0]["type_hint"].alias("type_hint"), F.col("m")[0]["constraints_text"].alias("constraints"), "notes")

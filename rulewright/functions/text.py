@@ -85,15 +85,17 @@ def canonical_id(rule_id: Column) -> Column:
 
 
 def guarded_id(rule_id: Column, most: int = 50, tokens: int = 5) -> tuple[Column, Column]:
-    """(id, note): ids that are too long and of too many tokens keep the first few."""
+    """(id, note): ids (prefix included) that are too long and of too many tokens keep the first few, and the note counts them."""
     parts = F.split(rule_id, "_")
     long = (F.length(rule_id) > most) & (F.size(parts) > tokens)
-    return F.when(long, F.array_join(F.slice(parts, 1, tokens), "_")).otherwise(rule_id), F.when(long, F.lit("truncated_long_id"))
+    note = F.concat(F.lit("rule_id_truncated_from_"), F.size(parts).cast("string"), F.lit("_tokens"))
+    return F.when(long, F.array_join(F.slice(parts, 1, tokens), "_")).otherwise(rule_id), F.when(long, note)
 
 
 def guarded_number(number: Column, most: int = 40) -> Column:
-    """A regulation number that is a sentence becomes its leading number with ``_proviso``."""
-    return F.when(F.length(number) > most, F.concat(F.regexp_extract(number, r"^(\d*)", 1), F.lit("_proviso"))).otherwise(number)
+    """A regulation number that is a sentence becomes the number it begins with, as ``8A(1)_proviso``; without one it stays."""
+    found = F.regexp_extract(number, r"^(\d+[A-Z]?(?:\(\d+\))*)", 1)
+    return F.when((F.length(number) > most) & (found != ""), F.concat(found, F.lit("_proviso"))).otherwise(number)
 
 
 def is_regulation_token(token: Column) -> Column:
@@ -113,34 +115,39 @@ def is_proviso(text: Column) -> Column:
 
 # -- references and numbers ------------------------------------------------------
 
-#: Acts that texts refer to.
-ACTS = ("Companies Act", "SEBI Act", "Securities Contracts (Regulation) Act", "Depositories Act")
+#: Acts that texts refer to, as written there and as reported.
+ACTS = (
+    ("Companies Act", "Companies Act"),
+    ("Securities and Exchange Board of India Act", "SEBI Act"),
+    ("Depositories Act", "Depositories Act"),
+    ("Reserve Bank of India Act", "RBI Act"),
+)
 
 
 def regulation_references(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)\bregulations?\s+(\d+[A-Za-z]?(?:\(\d+\))?)"), 1))
+    """Numbers after ``regulation`` or ``sub-regulation`` with all their brackets, each once, in order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?iU)regulation\s+(\d+[A-Z]?(?:\(\d+\))*)"), 1))
 
 
 def schedule_references(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)\bschedule\s+([IVXLC]+)\b"), 1))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?iU)schedule\s+([IVXLC]+)"), 1))
 
 
 def act_references(text: Column) -> Column:
-    """Array of struct(act, year) in the order of ACTS, the first year given for each."""
-    found = []
-    for act in ACTS:
-        year = F.regexp_extract(text, rf"(?i){act.replace('(', '[(]').replace(')', '[)]')},?\s+(\d{{4}})", 1)
-        found.append(F.when(year != "", F.struct(F.lit(act).alias("act"), F.expr("0").cast("int").alias("year")).withField("year", year.try_cast("int"))))
-    return F.array_compact(F.array(*found))
+    """Array of struct(act, year): each act with each year once, in order of appearance."""
+    named = "|".join(written for written, _ in ACTS)
+    found = F.regexp_extract_all(text, F.lit(rf"(?iU)(?:{named}),?\s*\d{{4}}"), 0)
+    act = lambda x: F.coalesce(*[F.when(F.lower(x).startswith(written.lower()), F.lit(name)) for written, name in ACTS])
+    return F.array_distinct(F.transform(found, lambda x: F.struct(act(x).alias("act"), F.right(x, F.lit(4)).try_cast("int").alias("year"))))
 
 
-#: Number words of phrases like "three years".
+#: Number words of phrases like "preceding three years".
 NUMBER_WORDS = {"two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7}
 
 
 def years_named(text: Column) -> Column:
-    """The number of years a phrase like ``preceding three years`` or ``last 3 financial years`` names, else null."""
-    word = F.lower(F.regexp_extract(text, r"(?i)\b(two|three|four|five|six|seven|\d+)\s+(?:(?:full|financial|preceding|consecutive)\s+)*years", 1))
+    """The number that the first phrase like ``preceding three years`` or ``last 3 financial years`` names, else null."""
+    word = F.lower(F.regexp_extract(text, r"(?iU)(?:preceding|last|previous)\s+(\w+)\s+(?:financial\s+)?years?", 1))
     table = F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
     return F.coalesce(F.try_element_at(table, word), word.try_cast("int"))
 

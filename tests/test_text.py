@@ -54,13 +54,38 @@ def test_text_functions(spark):
     assert one(spark, ["no"], T.between_markers(F.col("t"), "Defs", ["END"], quirk=True)) == ["o"]
     assert one(spark, ["ICDR_6_1_a", "ICDR_8A"], T.dotted_number(F.col("t"))) == ["6(1)(a)", "8A"]
     assert one(spark, ["1,44,445.3", "18 months", "x", None], T.whole_number(F.col("t"))) == [144445, 18, None, None]
-    assert one(spark, ["the last Three full years", "2 years", "years"], T.years_named(F.col("t"))) == [3, 2, None]
+    assert one(spark, ["the last Three financial years", "preceding 2 year", "last Three full years", "three years", "last few years, previous six years", None], T.years_named(F.col("t"))) == [3, 2, None, None, None, None]
     assert one(spark, [' x {"a": 1} y', "[1] {", "{"], jsonl.first_json_block(F.col("t"))) == ['{"a": 1}', "[1]", None]
 
 
+def test_identifier_guards(spark):
+    long = "ICDR_17_that_such_equity_shares_shall_be_locked_in_for_a_year"
+    got, note = T.guarded_id(F.col("t"))
+    assert one(spark, [long, "ICDR_6_1_" + "a" * 60, "ICDR_6_1_a_b_c", None], got) == ["ICDR_17_that_such_equity", "ICDR_6_1_" + "a" * 60, "ICDR_6_1_a_b_c", None]
+    assert one(spark, [long, "ICDR_6"], note) == ["rule_id_truncated_from_13_tokens", None]
+    tail = " Provided that such equity shares stay locked in"
+    assert one(spark, ["8A(1)(2)" + tail, "17" + tail, tail, "6(1)", None], T.guarded_number(F.col("t"))) == ["8A(1)(2)_proviso", "17_proviso", tail, "6(1)", None]
+
+
+def test_references(spark):
+    assert one(spark, ["sub-regulation 6(1)(2), regulation 4, Regulation 6(1)(2); regulations 9", "", None], T.regulation_references(F.col("t"))) == [["6(1)(2)", "4"], [], None]
+    got = one(spark, ["Companies Act, 2013, reserve bank of india act 1934, Companies Act 1956, Companies Act,2013, SEBI Act 1992"], T.act_references(F.col("t")))
+    assert [tuple(x) for x in got[0]] == [("Companies Act", 2013), ("RBI Act", 1934), ("Companies Act", 1956)]
+
+
+def test_yearly_types(spark):
+    data = spark.createDataFrame([("last three years", "length=3"), ("last three years", None), ("last three years", "x"), ("three years", "x")], "t string, c string")
+    maps_to = F.array(F.struct(F.lit("f").alias("field"), F.lit("Nat").alias("type_hint"), F.col("c").alias("constraints_text")))
+    got = data.select(enrich.yearly_types(maps_to, F.col("t"))[0].alias("m"), enrich.yearly_notes(maps_to, F.col("t")).alias("n")).collect()
+    assert [(r["m"]["type_hint"], r["m"]["constraints_text"], len(r["n"])) for r in got] == [("List Nat", "length=3", 1), ("List Nat", "length=3", 1), ("List Nat", "length=3; x", 1), ("Nat", "x", 0)]
+
+
 def test_parents(spark):
     ids = spark.createDataFrame([("ICDR_1", "x"), ("ICDR_1_proviso", "Provided that"), ("ICDR_1_z", " Explanation: "), ("ICDR_9_proviso", "provided that")], "rule_id string, text string")
-    got = {r["rule_id"]: r["exception_to"] for r in enrich.with_parents(ids).collect()}
+    ids = ids.withColumns({c: F.lit(1) for c in ("first", "second", "bare", "short", "known")})
+    found = enrich.with_parents(ids)
+    assert found.columns == [*ids.columns, "proviso", "exception_to"]
+    got = {r["rule_id"]: r["exception_to"] for r in found.collect()}
     assert got == {"ICDR_1": None, "ICDR_1_proviso": "ICDR_1", "ICDR_1_z": "ICDR_1", "ICDR_9_proviso": None}
 
 
