@@ -3,12 +3,14 @@
 Documents are encoded, closed with an end id and cut into pieces of at most
 `capacity` tokens; pieces go to sequences so that, after each placement, the
 sum over all gaps of (number of open sequences with that gap) squared is
-smallest.  The state of a packer is one count and one list of open sequences
-per gap, whatever the number of documents.
-
-Packing runs on independent shards of bounded size.  A shard loses less than
-one sequence's fill per distinct gap that is still open at its end, a share
-that vanishes as shards fill up, and no row ever waits for another shard.
+smallest.  Pieces come longest first, and a new sequence is opened only where no
+open one has room, which the plain rule does more often.  The state of a packer
+is one count and one list of open sequences per gap, whatever the number of
+documents.
+
+Packing runs on independent shards of about SHARD_PIECES pieces, as many as the
+count of the pieces asks for.  Open gaps at the end cost a shard a few
+sequences; no row ever waits for another shard.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 from .wordcoder import chunks, coder
 
-#: Text bytes on disk that make one shard; about 30,000 documents of 2 KB.
-SHARD_BYTES = 64 << 20
+#: Pieces of one shard.
+SHARD_PIECES = 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
@@ -41,15 +43,14 @@ class SumOfSquares:
         self.sequences = 0
 
     def place(self, size: int) -> tuple[int, int]:
-        """Ties go to the smallest gap, an open sequence before a new one.  `size` is 1 to `capacity`."""
+        """Ties go to the smallest gap.  `size` is 1 to `capacity`."""
         gaps, count = self.capacity - size, self.count
-        # Leaving r of gap g = size + r makes the sum 2 N[r] + 1 larger (nothing for a sequence that closes) and 2 N[g] - 1 smaller (nothing for a new sequence).
-        change = 2 * count[: gaps + 1] + 2
-        change[gaps] -= 1
-        change[0] = 1
+        # Leaving r of gap g = size + r makes the sum 2 N[r] + 1 larger (nothing for a sequence that closes) and 2 N[g] - 1 smaller.
+        change = 2 * count[:gaps] + 2
+        change[:1] = 1
         fall = count[size : self.capacity]
-        change[:gaps] -= np.where(fall > 0, 2 * fall, -(1 << 40))
-        rest = int(change.argmin())
+        change -= np.where(fall > 0, 2 * fall, -(1 << 40))
+        rest = int(change.argmin()) if fall.any() else gaps
         if rest == gaps:
             sequence, self.sequences = self.sequences, self.sequences + 1
         else:
@@ -106,4 +107,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
     rows are packed each on its own.  An empty table gives no rows.  Result:
     doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     """
-    return place(pieces(docs, tokenizer, capacity, end_id), shards or common.shards(docs, SHARD_BYTES), capacity)
+    cuts = common.settle(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    return place(cuts, shards or max(1, -(-cuts.count() // SHARD_PIECES)), capacity)

@@ -1,5 +1,6 @@
 """Word coder, packing, wavelet matrices."""
 
+import bisect
 import zlib
 
 import numpy as np
@@ -49,13 +50,42 @@ def test_sum_of_squares_rule():
                     counts[v] = counts.get(v, 0) + 1
             return sum(c * c for c in counts.values())
 
-        best = min(total(gaps | {k: gaps.get(k, 20) - size}) for k in [*(k for k, g in gaps.items() if g >= size), len(gaps)])
+        best = min(total(gaps | {k: gaps.get(k, 20) - size}) for k in [k for k, g in gaps.items() if g >= size] or [len(gaps)])
         sequence, offset = packer.place(size)
         assert offset == 20 - gaps.get(sequence, 20)
         gaps[sequence] = gaps.get(sequence, 20) - size
         assert gaps[sequence] >= 0 and total(gaps) == best
 
 
+def best_fit_decreasing(sizes, capacity):
+    gaps, n = [], 0
+    for size in sorted(sizes, reverse=True):
+        at = bisect.bisect_left(gaps, size)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        n += gap == capacity
+        bisect.insort(gaps, gap - size)
+    return n
+
+
+@pytest.mark.parametrize("shape", [(1.1, 300), (3.0, 120), (0.7, 900)])
+def test_as_few_sequences_as_best_fit(shape):
+    sizes = np.minimum(1024, 1 + np.random.default_rng(4).gamma(*shape, 5000).astype(int)).tolist()
+    packer = packing.SumOfSquares(1024)
+    for size in sorted(sizes, reverse=True):
+        packer.place(size)
+    assert packer.sequences <= best_fit_decreasing(sizes, 1024) * 1.003 + 1
+
+
+def test_shards_by_pieces(spark, documents, vocabulary, monkeypatch):
+    """As many shards as pieces ask for, whatever Catalyst believes about a table's size."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 100)
+    docs = documents(*[(k, f"a few words {k}") for k in range(250)])
+    joined = docs.join(docs.select("doc_id"), "doc_id")
+    for table in (docs, joined):
+        got = packing.pack(table, vocabulary("byte_bpe_50k.json")).toPandas()
+        assert (got["sequence_id"] // (1 << 40)).nunique() == 3 and got["sequence_id"].nunique() <= 6
+
+
 def test_cut():
     assert packing.cut(5, 8) == [(0, 5)] and packing.cut(8, 8) == [(0, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
     assert packing.cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
