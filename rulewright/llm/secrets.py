@@ -4,7 +4,8 @@ A byte-pair vocabulary spells words of natural text with few tokens; a random
 string needs about one token for every two characters.  Candidate strings
 (runs of the usual characters of keys) with few characters per token are
 secrets, unless they are of a known harmless kind: digests of usual lengths,
-UUIDs, numbers, paths and the like.
+UUIDs, numbers, and identifiers, that is words between separators or changes of
+case which the vocabulary spells well by themselves.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ _DIGEST_CHARS = re.compile(r"[0-9a-fA-F]+")
 #: Lengths of hexadecimal CRC-64, MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests.
 DIGEST_CHARS = (16, 32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_IDENTIFIER = re.compile(r"[A-Za-z]+(?:[_/=+-]+[A-Za-z]+)*[0-9]{0,4}|[0-9=/+_-]+|[=/+_-]+.{0,4}")
+#: An identifier has letters between separators, and a short number at its end at most; what counts are its words.
+_SHAPE = re.compile(r"[/_=+-]*[A-Za-z]+(?:[/_=+-]+[A-Za-z]+)*[/_=+-]*[0-9]{0,4}[/_=+-]*")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_NUMBER = re.compile(r"[0-9=/+_-]+")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -52,8 +56,24 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def known_kind(candidate: str) -> bool:
-    """Digests, UUIDs and identifiers that people wrote: words, numbers, or words closed with a short number."""
-    return bool((len(candidate) in DIGEST_CHARS and _DIGEST_CHARS.fullmatch(candidate)) or _UUID.fullmatch(candidate) or _IDENTIFIER.fullmatch(candidate))
+    """Digests of usual lengths, UUIDs and numbers."""
+    return bool((len(candidate) in DIGEST_CHARS and _DIGEST_CHARS.fullmatch(candidate)) or _UUID.fullmatch(candidate) or _NUMBER.fullmatch(candidate))
+
+
+def outside(spans: list[tuple[int, int, str]], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those of `spans` that no stretch of `taken` covers; both by start."""
+    out, k, start, end = [], 0, 0, 0
+    for span in spans:
+        while k < len(taken) and taken[k][0] <= span[0]:
+            # Stretches that touch or overlap cover as one.
+            start, end = (start, max(end, taken[k][1])) if taken[k][0] <= end else taken[k][:2]
+            k += 1
+        reach, j = end, k
+        while j < len(taken) and taken[j][0] <= reach < span[1]:
+            reach, j = max(reach, taken[j][1]), j + 1
+        if not (start <= span[0] and span[1] <= reach):
+            out.append(span)
+    return out
 
 
 class Scanner:
@@ -69,20 +89,23 @@ class Scanner:
         self.candidate = _CANDIDATE if min_chars == MIN_CHARS else re.compile(rf"[A-Za-z0-9+/_=-]{{{min_chars},}}")
         self.max_ratio = max_ratio
 
+    def inefficient(self, candidate: str) -> bool:
+        return len(candidate) < self.max_ratio * len(self.encoding.encode_ordinary(candidate))
+
+    def identifier(self, candidate: str) -> bool:
+        """Whether a candidate's words, each by itself, have enough characters per token."""
+        words = _WORD.findall(candidate) if _SHAPE.fullmatch(candidate) else []
+        return bool(words) and sum(map(len, words)) >= self.max_ratio * sum(len(self.encoding.encode_ordinary(w)) for w in words)
+
     def random_spans(self, text: str) -> list[tuple[int, int, str]]:
-        found = []
-        for m in self.candidate.finditer(text):
-            if not known_kind(m[0]) and len(m[0]) < self.max_ratio * len(self.encoding.encode_ordinary(m[0])):
-                found.append((m.start(), m.end(), RANDOM))
-        return found
+        """Candidates that the vocabulary spells badly and that are of no known kind."""
+        return [(m.start(), m.end(), RANDOM) for m in self.candidate.finditer(text) if self.inefficient(m[0]) and not known_kind(m[0]) and not self.identifier(m[0])]
 
     def scan(self, text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-        """(base spans, all spans), each by start, then kind."""
+        """(base spans, all spans), each by start, then kind; a random string that base spans cover whole is no span of its own."""
         order = (*KINDS, RANDOM).index
         base = sorted(base_spans(text), key=lambda s: (s[0], order(s[2])))
-        taken = [(a, b) for a, b, _ in base]
-        more = [s for s in self.random_spans(text) if not any(s[0] < b and a < s[1] for a, b in taken)]
-        return base, sorted(base + more, key=lambda s: (s[0], order(s[2])))
+        return base, sorted(base + outside(self.random_spans(text), base), key=lambda s: (s[0], order(s[2])))
 
 
 def written(spans: list[tuple[int, int, str]]) -> str:
