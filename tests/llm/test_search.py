@@ -1,5 +1,6 @@
 """Secrets, decontamination, fingerprints, URL filters, language ID."""
 
+import hashlib
 import random
 import re
 
@@ -42,9 +43,64 @@ def test_secrets(documents, vocabulary):
     assert clean["n_chars"][2] == len(clean["text"][2]) and len(clean.columns) == 11
 
 
+def plainly(text):
+    """The base spans by the contract's own words, kind for kind."""
+    kinds = (
+        ("assign", r"""(?P<k>[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?[ ]*[:=][ ]*["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", 6),
+        ("access", r"(?P<v>AKIA[A-Z0-9]+)", 20),
+        ("hex", r"(?P<v>[0-9a-f]+)", 24),
+    )
+    found = []
+    for order, (kind, pattern, least) in enumerate(kinds):
+        at = 0
+        while m := re.compile(pattern).search(text, at):
+            at = m.end()
+            if len(m["v"]) >= least:
+                found.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for _, _, s in sorted(found)]
+
+
+def test_base_spans_by_hand(documents, vocabulary):
+    chance = random.Random(12)
+    bits = ["password", "Token", "api_key", "apikey", "SECRET", "passwd", ":", "=", " ", "  ", '"', "'", "abc", "hunter2", "é", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "ff", "\n", "-", "😀", "Q7", "ſ"]
+    texts = ["".join(chance.choice(bits) for _ in range(chance.randint(0, 60))) for _ in range(400)]
+    got = secrets.scan(documents(*enumerate(texts)), vocabulary("byte_bpe_50k.tiktoken")).orderBy("doc_id").collect()
+    for text, r in zip(texts, got, strict=True):
+        want = plainly(text)
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in secrets.KINDS] == [sum(s.startswith(k) for s in want) for k in secrets.KINDS]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == want
+
+
+def test_random_strings(vocabulary):
+    """Random letters, digits and base64 are found, identifiers and long words are not; time grows with the number of secrets."""
+    find, chance = secrets.scanner(vocabulary("byte_bpe_50k.tiktoken")), random.Random(7)
+    low, high, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters in (low, high, low + high, low + high + digits, low + high + digits + "+/"):
+        for n in (20, 24, 32, 40):
+            assert sum(bool(find.random_spans("".join(chance.choice(letters) for _ in range(n)))) for _ in range(200)) > 190
+    known = "antidisestablishmentarianism some_long_identifier_name_here getHTTPResponseCodeForUser XMLHttpRequestEventTarget path/to/some/file/name MAX_BUFFER_SIZE_LIMIT_42 ---------------------------- 12345678901234567890 ABCDEF0123456789ABCDEF0123456789"
+    assert find.random_spans(known) == []
+    base, every = find.scan("x token=aa11bb22 " * 20_000)
+    assert len(base) == 20_000 and base == every
+    # A key that only in part is hexadecimal is reported besides that part; one that lies inside a span is not.
+    key = "Zq8Kx2Lw9Pv4Rt7Ym3Nc6B"
+    base, every = find.scan(f"{key}0123456789abcdef01234567 password={key}")
+    assert [k for _, _, k in base] == ["hex", "assign"] and [k for _, _, k in every] == ["random", "hex", "assign"]
+
+
+def test_outside():
+    chance = random.Random(3)
+    for _ in range(300):
+        taken = sorted((a := chance.randrange(40), a + chance.randint(1, 8), "t") for _ in range(chance.randrange(6)))
+        spans = sorted({(a := chance.randrange(40), a + chance.randint(1, 8), "s") for _ in range(chance.randrange(6))})
+        covered = {p for a, b, _ in taken for p in range(a, b)}
+        assert secrets.outside(spans, taken) == [s for s in spans if not set(range(s[0], s[1])) <= covered]
+
+
 def test_decontamination(documents, spark, prose):
     items = [(k, prose(30 + k, 900 + k)) for k in range(20)]
-    benchmark = spark.createDataFrame([*items, (90, "too short"), (91, None), (92, "")], "item_id long, text string")
+    benchmark = spark.createDataFrame([*items, (90, "not in here"), (91, None), (92, "")], "item_id long, text string")
     rows, want = [(1000, None), (1001, ""), (1002, prose(4000, 77))], set()
     for k, text in items:
         rows.append((k, f"{prose(50, k)} {edited(text, len(text) // 30, k)} {prose(40, k + 50)}"))
@@ -60,6 +116,77 @@ def test_decontamination(documents, spark, prose):
     assert decontaminate.matches(documents(*rows).limit(0), benchmark).count() == 0
 
 
+def fewest_edits(window, text):
+    """Of turning `window` into some stretch of `text`: the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(window, 1):
+        now = [i]
+        for j, b in enumerate(text, 1):
+            now.append(min(row[j - 1] + (a != b), row[j] + 1, now[-1] + 1))
+        row = now
+    return min(row)
+
+
+def by_hand(rows, items):
+    found = set()
+    for item, raw in items:
+        text = decontaminate.normal(raw)
+        n, short = len(text), len(text) < 24
+        windows = {text} if n <= 80 else {text[s : s + 80] for s in [*range(0, n - 80, 40), n - 80]}
+        for doc, t in rows:
+            own = decontaminate.normal(t)
+            edits = [0 if short and f" {text} " in f" {own} " else 99 if short else fewest_edits(w, f" {own} ") for w in windows]
+            good = [e for w, e in zip(windows, edits, strict=True) if e <= int(0.075 * len(w))]
+            if text and own and good:
+                found.add((doc, item, min(good), len(good)))
+    return found
+
+
+def test_decontamination_is_complete(documents, spark, prose):
+    """All windows within the edits allowed, and no others, repeats and borders included."""
+    ruler, steps = "-" * 400, "=-" * 90
+    items = [(k, prose(12 + 5 * k, 400 + k)) for k in range(6)] + [(20, f"{prose(6, 1)} {ruler} {prose(5, 2)}"), (21, steps), (22, "yes"), (23, "two words"), (24, "just a few words"), (25, "\U0010ffff" * 30), (25, "yes")]
+    rows = [(0, None), (1, ""), (2, "Yes"), (3, "yesterday two  WORDS"), (4, "and just a few words more"), (5, "\U0010ffff" * 40), (6, "-" * 900), (7, f"{prose(6, 1)} {'-' * 500} {prose(9, 3)}"), (8, "=-" * 30 + "=" * 20), (9, "-=" * 200)]
+    for k in range(24):
+        text = items[k % 6][1]
+        rows.append((100 + k, f"{prose(4, k)} {edited(text, max(1, len(text) * (k + 2) // 250), k)} {prose(4, 90 + k)}"))
+    benchmark = spark.createDataFrame([*items, (None, "no id"), (30, " ")], "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.matches(documents(*rows), benchmark).collect()}
+    want = by_hand(rows, items)
+    merged = {}
+    for doc, item, e, n in want:  # an id with two texts counts together
+        had = merged.get((doc, item), (e, 0))
+        merged[doc, item] = min(e, had[0]), had[1] + n
+    assert got == {(d, i, e, n) for (d, i), (e, n) in merged.items()}
+    assert {i for _, i, _, _ in got} == {*range(6), *range(20, 26)}
+
+
+def test_decontamination_in_portions(documents, spark, prose, monkeypatch):
+    items = [(k, f"{prose(8, k)} {'-' * (60 + k)} {prose(8, 50 + k)} {'ab' * 50}") for k in range(12)]
+    texts = [f"{prose(20, k)} {edited(t, k % 5, k)} {'-' * 70} x {'ab' * 90}" for k, t in items]
+    index = decontaminate.Index([(k, decontaminate.normal(t)) for k, t in items])
+    whole = index.search([decontaminate.normal(t) for t in texts])
+    monkeypatch.setattr(decontaminate, "PORTION", 300)
+    assert whole and index.search([decontaminate.normal(t) for t in texts]) == whole
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 500)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.matches(documents(*enumerate(texts)), benchmark).collect())
+    assert decontaminate.blocks(benchmark) > 2 and got == whole
+
+
+def test_rulers_take_little_memory():
+    """A megabyte of dashes, and one of table borders, against items full of them."""
+    import tracemalloc
+
+    index = decontaminate.Index([(1, "-" * 400), (2, "+---" * 100), (3, "x" * 40 + "-" * 300 + "y" * 40)])
+    texts = ["-" * 1_000_000, "+---" * 250_000, ("-" * 200 + "|" + "-" * 37 + "+") * 2000]
+    tracemalloc.start()
+    got = index.search(texts)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    assert {(d, i) for d, i, _, _ in got} == {(0, 1), (0, 3), (1, 2), (2, 1), (2, 3)}
+
+
 def test_prefix_hashes(prose):
     a, b = prefixhash.PrefixHashes("zz" + prose(60, 1)), prefixhash.PrefixHashes("y" + prose(60, 1) + "k")
     assert a.extension(2, b, 1) == len(prose(60, 1)) and a.extension(0, b, 0) == 0
