@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 import pyarrow as pa
@@ -52,6 +55,20 @@ def merged(batches, rows: int = 1 << 14):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def tidily(run):
+    """`run`, a function of Arrow batches, that gives freed memory back to the system at its end: workers go on to other stages."""
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # not in every C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidy
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text (null: empty) and the columns named; whatever else a table holds is left behind here, whatever its name."""
     small_batches(docs.sparkSession)
@@ -59,10 +76,16 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares, as ``spark.checkpoint.dir`` names it; one of our own where it is unset, as in tests."""
+    """The folder that the cluster shares, as ``spark.checkpoint.dir`` names it.
+
+    Where it is unset, one of our own if all of Spark runs on this machine, as
+    in tests; elsewhere an error, as executors would write to disks of their own.
+    """
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not at:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(at)
     return at.rstrip("/")
@@ -76,7 +99,32 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     """The rows of `df`, written to the shared folder and read again: a cut of the lineage that outlives executors."""
     spark, at = df.sparkSession, new_dir(df.sparkSession, name)
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._settled_at = at
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the folders of settled tables that nothing reads any more, and lets Spark drop the shuffles behind them."""
+    for df in tables:
+        if at := getattr(df, "_settled_at", None):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
+
+
+@contextmanager
+def split_finely(spark: SparkSession, parts: int):
+    """Lets scans planned inside make `parts` tasks or more, where small files would go to one task for each core."""
+    name = "spark.sql.files.minPartitionNum"
+    had = spark.conf.get(name, None)
+    spark.conf.set(name, max(parts, spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if had is None else spark.conf.set(name, had)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -1,5 +1,6 @@
 """Components, SimHash, near copies, passages, the language model, the pipeline."""
 
+import itertools
 import math
 import random
 import re
@@ -133,47 +134,109 @@ def test_passages(documents, prose, words):
     assert passages.repeats(documents(*rows).limit(0)).count() == 0
 
 
-def test_seating():
-    rng = np.random.default_rng(0)
-    counts = np.array([0, 1, 2, 50, 5000])
-    tables = seatings = np.stack([pitmanyor.seat(counts, np.full(5, 0.5), 0.6, rng) for _ in range(200)])
-    assert (tables[:, 0] == 0).all() and (tables[:, 1] == 1).all() and (seatings <= counts).all() and (np.diff(tables.mean(0)) > 0).all()
-    # A second customer opens a table with odds 0.5 to 1 - 0.6.
-    assert abs((tables[:, 2] == 2).mean() - 0.5 / 0.9) < 0.12
-
-
-def test_spelling_is_a_distribution():
-    words = [b"abc", b"abd", b"", b"\xc3\xa9"]
-    keys, _ = pitmanyor.grams(words, 4)
-    distinct, counts = np.unique(keys, return_counts=True)
-    model = pitmanyor.Spelling.seated(distinct, counts.astype(np.int64), 4, pitmanyor.Spelling([]), np.random.default_rng(1))
-    for context in (0, (ord("a") << 9) | ord("b")):
-        every = np.arange(257, dtype=np.int64) | context << 9
-        assert abs(model.probability(every).sum() - 1) < 1e-9
-
-
-def test_language_model(documents, words):
+def seatings(n, d):
+    """For each number of tables, the sum over all seatings of n customers of the products that sizes contribute."""
+    row = {1: 1.0}
+    for k in range(1, n):
+        row = {t: row.get(t - 1, 0.0) + (k - d * t) * row.get(t, 0.0) for t in range(1, k + 2)}
+    return row
+
+
+def rising(strength, d, n):
+    return math.prod(strength + k * d for k in range(n))
+
+
+def test_gibbs_samples_the_posterior():
+    """Tables per context and of the parent, against all seatings of three words in two contexts."""
+    counts, chains = [[3, 1], [2, 0], [1, 2]], 4000
+    ways = [[seatings(n, pitmanyor.CONTEXT_D) if n else {0: 1.0} for n in row] for row in counts]
+    total, sums = 0.0, np.zeros(3)
+    for a, b, c, e, f in itertools.product(*(ways[i][z] for i, z in ((0, 0), (0, 1), (1, 0), (2, 0), (2, 1)))):
+        tables = (a + c + e, b + f)
+        of_words = (a + b, c, e + f)
+        inner = math.prod(w[t] for w, t in zip((ways[0][0], ways[0][1], ways[1][0], ways[2][0], ways[2][1]), (a, b, c, e, f), strict=True))
+        inner *= math.prod(rising(pitmanyor.CONTEXT_S, pitmanyor.CONTEXT_D, t) for t in tables) / rising(pitmanyor.WORD_S, 1, sum(tables))
+        for own in itertools.product(*(seatings(t, pitmanyor.WORD_D) for t in of_words)):
+            weight = inner * rising(pitmanyor.WORD_S, pitmanyor.WORD_D, sum(own)) * math.prod(seatings(t, pitmanyor.WORD_D)[k] / 4**k for t, k in zip(of_words, own, strict=True))
+            total += weight
+            sums += weight * np.array([*tables, sum(own)])
+    cells = np.tile([2, 1, 2], chains)
+    z, customers = np.tile([0, 1, 0, 0, 1], chains), np.tile([3, 1, 2, 1, 2], chains)
+    chain, seats = np.repeat(np.arange(chains), 3), pitmanyor.seated_first(cells, customers)
+    rng, found = np.random.default_rng(5), []
+    for k in range(40):
+        of_cell = np.repeat(chain, seats.cells)
+        tables = np.stack([np.bincount(of_cell[z == j], seats.tables[z == j], chains) for j in (0, 1)])
+        own = np.bincount(chain, seats.own, chains)
+        if k >= 15:
+            found.append(np.vstack([tables, own]))
+        drawn = [pitmanyor.Totals(np.array([6, 3]), tables[:, c].astype(int), int(own[c]), 3).weights(rng) for c in range(chains)]
+        opening, fresh = np.stack([o for o, _ in drawn]), np.array([f for _, f in drawn])
+        seats, order, which = pitmanyor.sweep(seats, opening[of_cell, z], fresh[chain], rng.integers(0, 1 << 63, chain.size).astype(np.uint64))
+        chain, z = chain[order], z[which]
+        assert (np.add.reduceat(seats.sizes, np.cumsum(seats.tables) - seats.tables) == seats.customers).all()
+        assert (np.add.reduceat(seats.parents, np.cumsum(seats.own) - seats.own) == np.add.reduceat(seats.tables, np.cumsum(seats.cells) - seats.cells)).all()
+    got = np.stack(found)
+    error = got.mean(0).std(1) / chains**0.5
+    assert (abs(got.mean((0, 2)) - sums / total) < 5 * error).all()
+
+
+def test_first_seats():
+    customers = np.array([1, 2, 7, 8, 100, 123_456])
+    tables, sizes = pitmanyor.first_seats(customers)
+    assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(tables) - tables) == customers).all()
+
+
+def test_language_model(spark, documents, words):
     # Two languages, and few words that make up most of each text.
     chance = random.Random(3)
     own = [sorted(words, key=lambda w: sum(map(ord, w)) % 7 * (1 if k else -1)) for k in (0, 1)]
     text = lambda k: " ".join(own[k % 2][min(399, int(chance.expovariate(0.05)))] for _ in range(80)).title()
-    rows = [(k, text(k)) for k in range(60)] + [(100, None), (101, ""), (102, "unseen words only"), (3, "twice")]
+    rows = [(k, text(k)) for k in range(60)] + [(100, None), (101, ""), (102, "unseen words only"), (3, "twice"), (104, text(1) * 300), (None, "no id")]
     training = F.col("doc_id") % 5 != 2
     got = pitmanyor.score(documents(*rows), training).toPandas()
     tokens = [(d, [*(t or "").encode().lower().split(), b""]) for d, t in rows]
-    counts = Counter(w for d, ws in tokens if d % 5 != 2 for w in ws)
+    counts = Counter(w for d, ws in tokens if d is not None and d % 5 != 2 for w in ws)
     n, v = sum(counts.values()), len(counts)
     base = lambda ws: sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws)
-    want = sorted((d, d % 5 == 2, len(ws), sum(counts[w] > 0 for w in ws), n, round(base(ws), 6)) for d, ws in tokens)
-    assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got.itertuples()) == want
-    assert (got["score"] < 0).all() and (got["spelt_score"] <= got["score"] + 1e-9).all()
+    want = sorted((d or -1, d is None or d % 5 == 2, len(ws), sum(counts[w] > 0 for w in ws), n, round(base(ws), 6)) for d, ws in tokens)
+    assert sorted((int(r.doc_id) if r.doc_id == r.doc_id and r.doc_id else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got.itertuples()) == want
+    assert (got["score"] < 0).all()
     held = got[got["held_out"] & (got["doc_id"] < 60)]
     assert held["score"].sum() > held["base_score"].sum()
+    # The same scores whatever the number of partitions, and by the model's own probabilities.
+    had = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    again = pitmanyor.score(documents(*rows).repartition(5), training).toPandas()
+    spark.conf.set("spark.sql.shuffle.partitions", had)
+    key = ["doc_id", "n_tokens", "score"]
+    assert np.allclose(got.sort_values(key)["score"], again.sort_values(key)["score"], atol=1e-9)
     none = pitmanyor.score(documents(*rows), F.lit(False)).toPandas()
-    assert (none["n_known"] == 0).all() and (none["train_tokens"] == 0).all() and np.isfinite(none["score"]).all()
+    assert (none["n_known"] == 0).all() and (none["train_tokens"] == 0).all() and (none["score"] == 0).all()
     assert pitmanyor.score(documents(*rows).limit(0), training).count() == 0
 
 
+def test_contexts_are_distributions(documents, prose, monkeypatch):
+    monkeypatch.setattr(pitmanyor, "HOT_WORDS", 30)
+    rows = [(k, prose(60, k)) for k in range(50)]
+    docs = documents(*rows).select("doc_id", "text")
+    model = pitmanyor.fit(docs)
+    table = model.table.collect()
+    assert sum(r["c"] for r in table) == model.tokens == 50 * 61
+    cells, z = np.array([len(r["z"]) for r in table]), np.concatenate([r["z"] for r in table])
+    dense = pitmanyor.probabilities(model.left(), np.array([r["pw"] for r in table]), cells, z, np.concatenate([r["part"] for r in table]))
+    assert (dense > 0).all() and abs(dense.sum(0) + model.unknown() - 1).max() < 1e-9
+    # Scores of texts are the products of these, for broadcast and other words alike.
+    row = {bytes(r["word"]): k for k, r in enumerate(table)}
+    got = {r["doc_id"]: r["score"] for r in pitmanyor.score(documents(*rows, (99, prose(9, 3) + " Never seen")), F.col("doc_id") < 50).collect()}
+    for d, text in [*rows[:5], (99, prose(9, 3) + " Never seen")]:
+        at, total = 0, 0.0
+        for w in [*text.encode().lower().split(), b""]:
+            total += math.log10(dense[row[w], at] if w in row else model.unknown()[at])
+            at = model.classes.get(w, at)
+        assert abs(got[d] - total) < 1e-9
+
+
 def test_pipeline(spark, tmp_path, prose, words, vocabulary):
     import corpus_pipeline
 
