@@ -47,6 +47,23 @@ FACTS = {
     "monetary_asset_ratio": "c_custkey % 90",
     "percent_revenue_from_new_name": "c_custkey % 100",
     "general_corp_purpose_ratio": "c_custkey % 40",
+    "uses_book_building": "c_custkey % 2 = 1",
+    "qib_allocation_done": "c_custkey % 5 <> 0",
+    "is_tech_firm": "c_mktsegment <> 'FURNITURE'",
+    "sr_net_worth": "CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey END",
+    "sr_holder_exec": "c_custkey % 4 <> 0",
+    "sr_voting_ratio": "c_custkey % 12",
+    "sr_class_count": "1 + CASE WHEN c_custkey % 9 = 1 THEN 1 ELSE 0 END",
+    "sr_same_face_value": "c_custkey % 7 <> 2",
+    "sr_issued_3mo_prior": "c_custkey % 8 <> 5",
+    "finance_75_percent_done": "c_acctbal > 0",
+    "shares_fully_paid": "c_custkey % 31 <> 0",
+    "shares_held_duration_months": "c_custkey % 24",
+    "is_govt_entity": "c_nationkey = 7",
+    "via_merger_scheme": "c_custkey % 37 = 0",
+    "is_bonus_from_free_reserve": "c_custkey % 6 = 0",
+    "underlying_held_1y": "c_custkey % 6 <> 1",
+    "bonus_not_from_revaluation": "c_custkey % 41 <> 0",
 }
 #: Yearly amounts of a filing, from the status of its orders, newest year first.
 LISTS = {"net_tangible_assets": "F", "operating_profits": "O", "net_worths": "P"}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import enrich, evidence, quality
+from ..operators import evidence, quality
 from . import base
 from .base import table
 
@@ -25,11 +25,8 @@ def words(spark, d):
     SELECT field, n, md5(rule_ids) AS rule_ids, CASE WHEN n > 1 THEN field || '_reg' || reg ELSE field END AS first_name, CASE WHEN n > 1 THEN 'renamed_colliding_field' END AS note FROM g""",
 )
 def q12(spark, d):
-    fields = words(spark, d).select("field", F.concat(F.lit("R_"), F.col("doc_id") % 50).alias("rule_id"), (F.col("doc_id") % 50).alias("reg")).distinct()
-    listed = evidence.inverted(fields.select("rule_id", F.array("field").alias("fields")))
-    firsts = fields.groupBy("field").agg(F.min("reg").alias("reg"))
-    named = enrich.disambiguated(fields).join(firsts, ["field", "reg"]).select("field", F.col("new_field").alias("first_name"), "note")
-    return listed.join(named, "field").select("field", "n", F.md5("rule_ids").alias("rule_ids"), "first_name", "note")
+    fields = words(spark, d).select("field", F.concat(F.lit("R_"), F.col("doc_id") % 50).alias("rule_id"), (F.col("doc_id") % 50).alias("reg"))
+    return evidence.field_index(fields).withColumn("rule_ids", F.md5("rule_ids"))
 
 
 _RAW = """CASE doc_id % 7 WHEN 0 THEN 'yes' WHEN 1 THEN '1,44,445.3, 22,10,000 and 5' WHEN 2 THEN concat(CAST(n_chars AS VARCHAR(9)), ' months') WHEN 3 THEN 'not mentioned' WHEN 4 THEN CAST(NULL AS VARCHAR(9)) WHEN 5 THEN 'as stated' ELSE CAST(doc_id AS VARCHAR(9)) END"""
@@ -73,19 +70,21 @@ def q14(spark, d):
 
 @query(
     "q15_table_parse_latest3",
-    """WITH y AS (SELECT o_orderpriority AS label, year(o_orderdate) AS yr, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS v FROM orders GROUP BY ALL),
+    """WITH y AS (SELECT o_orderpriority AS label, year(o_orderdate) AS yr, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS v, avg(o_custkey % 3) * 10 AS pct FROM orders GROUP BY ALL),
     k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY yr DESC) AS n FROM y)
-    SELECT label, 'million' AS unit, string_agg(CAST(v AS VARCHAR), '|' ORDER BY yr DESC) FILTER (n <= 3) AS newest, count(*) AS years FROM k GROUP BY label""",
+    SELECT label, CASE WHEN label LIKE '1%' THEN 'million' WHEN label LIKE '2%' THEN 'crore' WHEN label LIKE '3%' THEN '%' END AS unit, string_agg(CAST(v AS VARCHAR), '|' ORDER BY yr DESC) FILTER (n <= 3) AS newest, count(*) AS years,
+    CASE WHEN label LIKE '3%' THEN 12.5 END AS share FROM k GROUP BY label""",
 )
 def q15(spark, d):
     yearly = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("label"), F.year("o_orderdate").alias("yr")).agg(F.sum(F.floor("o_totalprice").cast("bigint")).alias("v"))
-    # One extracted table: a row per label, a column per year, amounts written with digit groups and decimals.
-    row = F.struct("label", F.array(F.concat(F.format_number("v", 0), F.lit(".50"))).alias("values"), F.lit("million").alias("unit"))
-    tables = yearly.select("yr", F.array(row).alias("rows"))
+    # One extracted table: a row per label, a column per year, amounts written with digit groups and decimals; labels name their unit.
+    said = F.concat("label", F.expr("CASE substring(label, 1, 1) WHEN '1' THEN ' (Rs. in Million)' WHEN '2' THEN ' in crores' WHEN '3' THEN ' 12.5 %' ELSE '' END"))
+    row = F.struct("label", F.array(F.concat(F.format_number("v", 0), F.lit(".50"))).alias("values"), evidence.unit(said).alias("unit"))
+    tables = yearly.select("yr", evidence.percent_value(said).alias("share"), F.array(row).alias("rows"))
     cells = evidence.table_cells(tables)
-    listed = evidence.newest(cells, ["label", "unit"], "yr")
+    listed = evidence.newest(cells, ["label", "unit", "share"], "yr")
     years = cells.groupBy("label").agg(F.count("*").alias("years"))
-    return listed.join(years, "label").select("label", "unit", F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("newest"), "years")
+    return listed.join(years, "label").select("label", "unit", F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("newest"), "years", "share")
 
 
 _GENERIC = ["tionth", "theand", "pouran"]
@@ -93,12 +92,16 @@ _GENERIC = ["tionth", "theand", "pouran"]
 
 @query(
     "q17_promotion_scoring",
-    f"""WITH {_WORDS_SQL}, g AS (SELECT field, count(*) AS occurrences, bool_or(doc_id % 97 = 0) AS comparator_context FROM w GROUP BY field),
-    s AS (SELECT *, 2 * CAST(occurrences >= 2 AS INTEGER) + 2 * CAST(comparator_context AS INTEGER) - 3 * CAST(field IN ({", ".join(f"'{g}'" for g in _GENERIC)}) AS INTEGER) AS score FROM g)
-    SELECT field, occurrences, comparator_context, score, score >= 2 AS promoted FROM s""",
+    rf"""WITH p AS (SELECT doc_id, false AS inside, regexp_replace(lower(text), '\([^()]*\)', ' ', 'g') AS part FROM documents UNION ALL SELECT doc_id, true, array_to_string(regexp_extract_all(lower(text), '\(([^()]*)\)', 1), ' ') FROM documents),
+    t AS (SELECT inside, list_filter(string_split_regex(part, '\s+'), lambda x: x <> '') AS tokens FROM p), k AS (SELECT inside, tokens, unnest(range(1, len(tokens) + 1)) AS k FROM t),
+    m AS (SELECT inside, regexp_extract(tokens[k], '[a-z]{{6,}}') AS field, len(list_filter(tokens[greatest(k - 3, 1) : k + 3], lambda x: regexp_matches(x, '[0-9]'))) > 0 AS near_number FROM k),
+    g AS (SELECT field, count(*) AS occurrences, bool_or(near_number) AS comparator_context, bool_and(inside) AS only_in_parens FROM m WHERE field <> '' GROUP BY field),
+    s AS (SELECT *, field IN ({", ".join(f"'{g}'" for g in _GENERIC)}) AS generic FROM g), n AS (SELECT *, 2 * CAST(occurrences >= 2 AS INTEGER) + 2 * CAST(comparator_context AS INTEGER) - 3 * CAST(generic AS INTEGER) AS score FROM s)
+    SELECT field, occurrences, comparator_context, only_in_parens, concat_ws(',', CASE WHEN occurrences >= 2 THEN 'reusable_2plus_rules' END, CASE WHEN comparator_context THEN 'numeric_threshold_nearby' END, CASE WHEN generic THEN 'generic_token' END) AS details, score, score >= 2 AS promoted FROM n""",
 )
 def q17(spark, d):
-    return quality.promotion(words(spark, d).select("field", (F.col("doc_id") % 97 == 0).alias("near_number")), _GENERIC)
+    found = table(spark, d, "documents").select(F.inline(evidence.mentions(F.lower("text"), "[a-z]{6,}")))
+    return quality.promotion(found, _GENERIC).withColumn("details", F.array_join("details", ","))
 
 
 def gold(spark, d):
@@ -144,41 +147,69 @@ def q42(spark, d):
     return n.select(F.col("fn").alias("only_left"), F.col("fp").alias("only_right"), (F.col("fn") + F.col("fp") == 0).alias("equal"))
 
 
+_MAPPED_SQL = "b AS (SELECT id, g.maps AS in_gold, e.maps AS in_found FROM (SELECT p_partkey AS id, p_size % 2 = 0 AS maps FROM part WHERE p_partkey % 3 <> 0) g JOIN (SELECT p_partkey AS id, p_size % 3 = 0 AS maps FROM part WHERE p_partkey % 4 <> 1) e USING (id))"
+
+
+def mapped(spark, d):
+    fields = lambda when: F.when(when, F.array("p_brand")).otherwise(F.expr("cast(array() as array<string>)")).alias("maps_to")
+    part = table(spark, d, "part").withColumn("id", F.col("p_partkey"))
+    return quality.mapped(part.where("id % 3 <> 0").select("id", fields(F.col("p_size") % 2 == 0)), part.where("id % 4 <> 1").select("id", fields(F.col("p_size") % 3 == 0)), "id")
+
+
 @query(
     "q43_maps_to_coverage",
-    """WITH g AS (SELECT p_partkey AS id, p_size % 2 = 0 AS maps FROM part WHERE p_partkey % 3 <> 0), e AS (SELECT p_partkey AS id, p_size % 3 = 0 AS maps FROM part WHERE p_partkey % 4 <> 1)
-    SELECT count(*) AS shared, count(*) FILTER (g.maps) AS gold_has, count(*) FILTER (e.maps) AS extracted_has, count(*) FILTER (g.maps AND e.maps) AS both_have, md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY CAST(id AS VARCHAR)) FILTER (g.maps AND NOT e.maps)) AS gold_only FROM g JOIN e USING (id)""",
+    f"WITH {_MAPPED_SQL} SELECT count(*) AS shared, count(*) FILTER (in_gold) AS gold_has, count(*) FILTER (in_found) AS extracted_has, count(*) FILTER (in_gold AND in_found) AS both_have FROM b",
 )
 def q43(spark, d):
-    part = table(spark, d, "part")
-    want = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 2 == 0).alias("g"))
-    have = part.where("p_partkey % 4 <> 1").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 3 == 0).alias("e"))
-    ids = F.array_join(F.array_sort(F.collect_list(F.when(F.col("g") & ~F.col("e"), F.col("id").cast("string")))), ",")
-    return want.join(have, "id").agg(F.count("*").alias("shared"), F.count_if("g").alias("gold_has"), F.count_if("e").alias("extracted_has"), F.count_if(F.col("g") & F.col("e")).alias("both_have"), F.md5(ids).alias("gold_only"))
+    return mapped(spark, d).agg(F.count("*").alias("shared"), F.count_if("in_gold").alias("gold_has"), F.count_if("in_found").alias("extracted_has"), F.count_if(F.col("in_gold") & F.col("in_found")).alias("both_have"))
+
+
+@query("q43b_maps_to_delta", f"WITH {_MAPPED_SQL} SELECT id, in_gold FROM b WHERE in_gold <> in_found")
+def q43b(spark, d):
+    return mapped(spark, d).where("in_gold <> in_found").select("id", "in_gold")
 
 
 @query(
     "q44_pipeline_counters",
     """WITH r AS (SELECT d.doc_id, source, lang, CASE WHEN toxic = 1 THEN 'quarantined' WHEN quality = 1 THEN 'accepted' WHEN quality = 0 THEN 'fixed' ELSE 'none' END AS status FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
-    SELECT status, count(*) AS rules, count(DISTINCT source) AS regs, string_agg(DISTINCT source, ',' ORDER BY source) AS reg_list, array_to_string(list_sort([x for x in ['en', 'de', 'fr', 'es', 'it'] if NOT list_contains(list(lang), x)]), ',') AS absent, count(*) FILTER (doc_id % 4 = 0) AS unmapped, count(*) FILTER (doc_id % 5 = 0) AS stubbed FROM r GROUP BY status""",
+    SELECT status, count(*) AS rules, count(DISTINCT lang) AS regs, string_agg(DISTINCT lang, ',' ORDER BY lang) AS reg_list, array_to_string(list_sort([x for x in ['en', 'de', 'fr', 'es', 'it'] if NOT list_contains(list(lang), x)]), ',') AS absent, count(*) FILTER (doc_id % 4 = 0) AS unmapped, count(*) FILTER (doc_id % 5 = 0) AS stubbed FROM r GROUP BY status""",
 )
 def q44(spark, d):
     rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     status = F.when(F.col("toxic") == 1, "quarantined").when(F.col("quality") == 1, "accepted").when(F.col("quality") == 0, "fixed").otherwise("none")
-    expected = F.lit(["en", "de", "fr", "es", "it"])
+    maps_to = F.when(F.col("doc_id") % 4 == 0, F.expr("cast(array() as array<string>)")).otherwise(F.array("source"))
     fixes = F.array_compact(F.array(F.when(F.col("doc_id") % 5 == 0, "stubbed_check")))
-    return (
-        rows.select(status.alias("status"), "doc_id", "source", "lang", fixes.alias("fixes"))
-        .groupBy("status")
-        .agg(
-            F.count("*").alias("rules"),
-            F.count_distinct("source").alias("regs"),
-            F.array_join(F.array_sort(F.collect_set("source")), ",").alias("reg_list"),
-            F.array_join(F.array_sort(F.array_except(expected, F.collect_set("lang"))), ",").alias("absent"),
-            F.count_if(F.col("doc_id") % 4 == 0).alias("unmapped"),
-            F.sum(F.size("fixes")).alias("stubbed"),
-        )
-    )
+    each = rows.select(status.alias("status"), "lang", maps_to.alias("maps_to"), fixes.alias("fixes"))
+    more = each.groupBy("status").agg(F.count_if(F.size("maps_to") == 0).alias("unmapped"), F.count_if(F.array_contains("fixes", "stubbed_check")).alias("stubbed"))
+    return quality.counters(each, "status", "lang", ["en", "de", "fr", "es", "it"]).join(more, "status")
+
+
+#: A judge's report of each turn of a conversation, in SQL that both engines read.
+_REPORT = """concat('{"pdf": "', CAST(conv_id AS VARCHAR(20)), '", "pages": [', CAST(turn AS VARCHAR(20)), '], "window_start": ', CAST(turn AS VARCHAR(20)), ', "validation": {"R_', CAST(conv_id % 5 AS VARCHAR(20)), '": {"hard_fail_reasons": [', CASE WHEN turn % 2 = 0 THEN '"span", "id"' ELSE '' END,
+ '], "soft_fail_reasons": [', CASE WHEN conv_id % 3 = 0 THEN '"anchor"' ELSE '' END, ']}, "R_x": {"hard_fail_reasons": [], "soft_fail_reasons": []}}, "judge_report": {"judgments": [{"rule_id": "R_', CAST(conv_id % 5 AS VARCHAR(20)), '", "scores": {"atomicity": 1.0, "fidelity": 0.', CAST(turn % 10 AS VARCHAR(20)),
+ ', "completeness": 0.5, "maps_to_quality": 0.25, "source_alignment": 0.75}, "overall": 0.5, "failure_modes": [', CASE WHEN turn % 10 < 5 THEN '"LOSES_THRESHOLD"' ELSE '"NOT_ATOMIC", "HALLUCINATION"' END, '], "feedback_for_refinement": "see turn ', CAST(turn AS VARCHAR(20)), '"}]}}')"""
+
+
+def reports(spark, d):
+    return table(spark, d, "conversations").select("conv_id", F.from_json(F.expr(_REPORT), quality.JUDGE_REPORT).alias("r")).select("conv_id", "r.*")
+
+
+@query(
+    "q49_judge_failures",
+    """SELECT conv_id, CAST(turn AS INTEGER) AS window_start, 'R_' || (conv_id % 5) AS rule_id, kind, reason FROM conversations, (VALUES ('hard', 'span'), ('hard', 'id'), ('soft', 'anchor')) v(kind, reason) WHERE CASE kind WHEN 'hard' THEN turn % 2 = 0 ELSE conv_id % 3 = 0 END""",
+)
+def q49(spark, d):
+    return quality.failures(reports(spark, d), "conv_id")
+
+
+@query(
+    "q49b_judgments",
+    """SELECT conv_id, CAST(turn AS INTEGER) AS window_start, 'R_' || (conv_id % 5) AS rule_id, 1.0::DOUBLE AS atomicity, (turn % 10) / 10.0 AS fidelity, 0.5::DOUBLE AS completeness, 0.25::DOUBLE AS maps_to_quality, 0.75::DOUBLE AS source_alignment, 0.5::DOUBLE AS overall,
+    CASE WHEN turn % 10 < 5 THEN 'LOSES_THRESHOLD' ELSE 'NOT_ATOMIC,HALLUCINATION' END AS failure_modes, 'see turn ' || turn AS feedback, round((1.0 + (turn % 10) / 10.0 + 0.5 + 0.25 + 0.75) / 5, 6) AS mean FROM conversations""",
+)
+def q49b(spark, d):
+    found = quality.judgments(reports(spark, d), "conv_id")
+    return found.withColumn("failure_modes", F.array_join("failure_modes", ",")).withColumn("mean", F.round(quality.weighted(dict.fromkeys(quality.CRITERIA, 1.0)), 6))
 
 
 @query(
@@ -194,7 +225,11 @@ def q45(spark, d):
     return last.select("conv_id", "turn", score.alias("score"), quality.status(score, F.col("complete") < 0.03, F.col("repaired")).alias("status"))
 
 
-@query("q50_stream_rule_eval")
+@query(
+    "q50_stream_rule_eval",
+    """WITH k AS (SELECT strftime(ts, '%Y-%m-%d') AS day, coalesce(CAST(json_extract(props, '$.k') AS BIGINT), 0) AS k FROM events), r AS (SELECT day, 'small' AS id, k <= 50 AS passed FROM k UNION ALL SELECT day, 'even', k % 2 = 0 FROM k)
+    SELECT day, id, count(*) FILTER (passed) AS passed, count(*) AS results FROM r GROUP BY ALL""",
+)
 def q50(spark, d):
     from ..streaming.evaluate import demonstration
 

@@ -13,6 +13,19 @@ from .base import table
 query = base.Registry()
 QUERIES, ORACLES = query.queries, query.oracles
 
+def _sql(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def _case(values, by: str) -> str:
+    """One of `values` by the remainder of `by`, in SQL that both engines read."""
+    return f"CASE {by} % {len(values)} " + " ".join(f"WHEN {k} THEN {_sql(v)}" for k, v in enumerate(values)) + " END"
+
+
+def _rows(cases) -> str:
+    return "(VALUES " + ", ".join(f"({k}, " + ", ".join(map(_sql, c)) + ")" for k, c in enumerate(cases)) + ")"
+
+
 _LINES_SQL = """lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 body AS (SELECT doc_id, CAST(i AS INTEGER) i, trim('item ' || regexp_replace(x, '[^A-Za-z]+', ' ', 'g')) x, CAST(doc_id % 20 + i // 4 + 1 AS INTEGER) n FROM lines),
 rules AS (SELECT doc_id, i // 4 AS section, n, i % 4 AS k, x, 'ICDR_' || n || CASE i % 4 WHEN 1 THEN '_1' WHEN 2 THEN '_2_a' WHEN 3 THEN '_2_b' ELSE '' END AS rule_id,
@@ -93,16 +106,17 @@ def q24(spark, d):
 
 @query(
     "q30_rule_store_dedupe",
-    """WITH r AS (SELECT 'R_' || (doc_id % 300) AS rule_id, doc_id, n_chars, source FROM documents), n AS (SELECT * FROM r WHERE rule_id NOT IN (SELECT rule_id FROM r WHERE doc_id % 7 = 0 AND doc_id < 200)),
-    k AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY doc_id) a, row_number() OVER (PARTITION BY rule_id ORDER BY n_chars DESC, doc_id) b FROM n)
+    """WITH r AS (SELECT 'R_' || (doc_id % 300) AS rule_id, doc_id, text, n_chars % 7 AS confidence, source FROM documents), n AS (SELECT * FROM r WHERE rule_id NOT IN (SELECT rule_id FROM r WHERE doc_id % 7 = 0 AND doc_id < 200)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY doc_id) a, row_number() OVER (PARTITION BY rule_id ORDER BY confidence DESC, length(text) NULLS FIRST, doc_id) b FROM n)
     SELECT rule_id, max(doc_id) FILTER (a = 1) AS first_doc, max(doc_id) FILTER (b = 1) AS best_doc, max(source) FILTER (a = 1) AS source FROM k GROUP BY rule_id""",
 )
 def q30(spark, d):
-    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", "n_chars", "source", F.lit("x").alias("_internal"))
-    store = records.where("doc_id % 7 = 0 and doc_id < 200")
-    first = quality.new_records(records, store, "rule_id", "doc_id")
-    best = quality.new_records(records, store, "rule_id", F.desc("n_chars"), "doc_id")
-    return first.select("rule_id", F.col("doc_id").alias("first_doc"), "source").join(best.select("rule_id", F.col("doc_id").alias("best_doc")), "rule_id")
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", "text", (F.col("n_chars") % 7).alias("confidence"), "source")
+    new = records.join(records.where("doc_id % 7 = 0 and doc_id < 200").select("rule_id").distinct(), "rule_id", "left_anti")
+    # The first and the best record of each id, in one aggregate.
+    first = F.min_by(F.struct("doc_id", "source"), "doc_id").alias("first")
+    best = F.min_by("doc_id", quality.best_record("confidence", "text", "doc_id")).alias("best_doc")
+    return new.groupBy("rule_id").agg(first, best).select("rule_id", F.col("first.doc_id").alias("first_doc"), "best_doc", "first.source")
 
 
 @query(
@@ -118,8 +132,18 @@ def q31(spark, d):
         F.expr("CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '' ELSE source END").alias("domain"),
         F.expr("CASE WHEN doc_id % 11 = 0 THEN '' ELSE lang END").alias("title"),
     )
-    twice = validate.repeated(records, "rule_id", "doc_id").select("doc_id", "first_seen")
-    return records.join(twice, "doc_id", "left").select("doc_id", "rule_id", F.array_join(validate.missing(["domain", "title"]), ",").alias("missing"), "first_seen")
+    return records.select("doc_id", "rule_id", F.array_join(validate.missing(["domain", "title"]), ",").alias("missing"), validate.first_seen("rule_id", "doc_id").alias("first_seen"))
+
+
+@query(
+    "q31b_validation_summary",
+    """WITH r AS (SELECT 'R_' || (doc_id % 400) AS rule_id, doc_id % 9 = 0 OR doc_id % 10 = 0 AS d, doc_id % 11 = 0 AS t FROM documents)
+    SELECT 'records' AS what, count(*) AS n FROM r UNION ALL SELECT 'duplicates', count(*) - count(DISTINCT rule_id) FROM r UNION ALL SELECT 'incomplete', count(*) FILTER (d OR t) FROM r UNION ALL SELECT 'domain', count(*) FILTER (d) FROM r UNION ALL SELECT 'title', count(*) FILTER (t) FROM r""",
+)
+def q31b(spark, d):
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 400).alias("rule_id"), F.expr("IF(doc_id % 9 = 0 OR doc_id % 10 = 0, '', 'd')").alias("domain"), F.expr("IF(doc_id % 11 = 0, NULL, 't')").alias("title"))
+    total = validate.summary(records, "rule_id", ["domain", "title"]).select(F.expr("stack(3, 'records', records, 'duplicates', duplicates, 'incomplete', incomplete) AS (what, n)"))
+    return total.unionByName(validate.missing_counts(records, ["domain", "title"]).select(F.col("member").alias("what"), F.col("records").alias("n")))
 
 
 #: A JSON Schema in the manner of the one for rule records.
@@ -136,13 +160,25 @@ RECORD_SCHEMA = {
 }
 
 
+#: Its types and members, for records as JSON texts; texts, and what is wrong with them.
+RAW_SCHEMA = {"type": "object", "additionalProperties": False, "properties": {"rule_id": {"type": "string"}, "confidence": {"type": "number"}, "pages": {"type": "array"}, "status": {"type": ["string", "null"]}}}
+_RAW_RECORDS = (
+    ('{"rule_id": 1, "extra": 2}', "record: additionalProperties extra|rule_id: type"),
+    ('{"rule_id": "a", "confidence": 0.5, "pages": []}', ""),
+    ('{"rule_id": "a", "confidence": "x", "pages": {"a": 1}, "status": null}', "confidence: type|pages: type"),
+    ("[1]", "record: type"),
+    ("no record", ""),
+)
+
+
 @query(
     "q32_schema_validation_errors",
     r"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN NULL ELSE source || CASE WHEN doc_id % 6 = 0 THEN '-x' ELSE '' END END AS rule_id, CASE doc_id % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'open' WHEN 2 THEN 'fixed' ELSE 'quarantined' END AS status,
     (n_chars % 150) / 100.0 AS confidence, doc_id % 4 AS pages, substr(text, 1, CAST(n_chars % 200 AS INTEGER)) AS span_hint, regexp_extract(text, '(\w+)', 1) AS field FROM documents)
     SELECT doc_id, concat_ws('|', CASE WHEN rule_id IS NULL THEN 'record: missing rule_id' END, CASE WHEN NOT regexp_matches(rule_id, '^[A-Za-z_][A-Za-z0-9_]*$') THEN 'rule_id: pattern' END, CASE WHEN status = 'open' THEN 'status: enum' END,
     CASE WHEN confidence > 1 THEN 'confidence: maximum' END, CASE WHEN pages = 0 THEN 'pages: minItems' END, CASE WHEN pages = 3 THEN 'pages: uniqueItems' END, CASE WHEN length(span_hint) > 120 THEN 'span_hint: maxLength' END,
-    CASE WHEN NOT regexp_matches(field, '^[a-z][a-z0-9_]*$') THEN 'fields[]: pattern' END) AS errors, CASE WHEN doc_id % 3 = 0 THEN 'extra' ELSE '' END AS unknown FROM r""",
+    CASE WHEN NOT regexp_matches(field, '^[a-z][a-z0-9_]*$') THEN 'fields[]: pattern' END) AS errors, """
+    + f"{_case([e for _, e in _RAW_RECORDS], 'doc_id')} AS raw_errors FROM r",
 )
 def q32(spark, d):
     docs = table(spark, d, "documents")
@@ -155,10 +191,9 @@ def q32(spark, d):
         F.expr("substring(text, 1, cast(n_chars % 200 as int))").alias("span_hint"),
         F.array(F.regexp_extract("text", r"(\w+)", 1)).alias("fields"),
     )
-    text = F.when(F.col("doc_id") % 3 == 0, '{"rule_id": 1, "extra": 2}').otherwise('{"rule_id": 1}')
-    rows = docs.select("doc_id", record.alias("r"), text.alias("raw"))
+    rows = docs.select("doc_id", record.alias("r"), F.expr(_case([t for t, _ in _RAW_RECORDS], "doc_id")).alias("raw"))
     found = validate.errors(RECORD_SCHEMA, F.col("r"))
-    return rows.select("doc_id", F.concat_ws("|", *found).alias("errors"), F.array_join(validate.unknown_members(F.col("raw"), [*RECORD_SCHEMA["properties"]]), ",").alias("unknown"))
+    return rows.select("doc_id", F.concat_ws("|", *found).alias("errors"), F.concat_ws("|", *validate.raw_errors(RAW_SCHEMA, F.col("raw"))).alias("raw_errors"))
 
 
 @query(
@@ -166,8 +201,8 @@ def q32(spark, d):
     r"""WITH m AS (SELECT max(item_id) + 1 AS n FROM benchmark), j AS (SELECT doc_id, d.text, CASE WHEN doc_id % 3 = 0 THEN substr(d.text, 5, 40) WHEN doc_id % 3 = 1 THEN replace(substr(d.text, 3, 30), ' ', '  ') ELSE b.text END AS hint FROM documents d, m JOIN benchmark b ON b.item_id = d.doc_id % m.n),
     f AS (SELECT *, regexp_replace(lower(trim(text, ' ')), '\s+', ' ', 'g') AS t, regexp_replace(lower(trim(hint, ' ')), '\s+', ' ', 'g') AS h FROM j),
     s AS (SELECT doc_id, CASE WHEN contains(text, hint) THEN 'strict' WHEN contains(t, h) THEN 'lenient' WHEN len([w for w in list_distinct(string_split(h, ' ')) if NOT list_contains(string_split(t, ' '), w)]) <= 0 THEN 'fuzzy' ELSE 'none' END AS span FROM f)
-    SELECT doc_id, span, list_contains([1, 3, 5, 8], doc_id % 10) AS anchored, CAST(CASE WHEN list_contains([1, 3, 5, 8], doc_id % 10) THEN 90 ELSE 70 END AS BIGINT) AS confidence_pct,
-    concat_ws(',', CASE WHEN span = 'none' THEN 'hard:span' END, CASE WHEN NOT list_contains([1, 3, 5, 8], doc_id % 10) THEN 'soft:anchor' END) AS failures FROM s""",
+    SELECT doc_id, span, doc_id % 7 IN (doc_id % 10, doc_id * 3 % 10) AS anchored, CAST(CASE WHEN doc_id % 7 IN (doc_id % 10, doc_id * 3 % 10) THEN 90 ELSE 70 END AS BIGINT) AS confidence_pct,
+    concat_ws(',', CASE WHEN span = 'none' THEN 'hard:span' END, CASE WHEN doc_id % 7 NOT IN (doc_id % 10, doc_id * 3 % 10) THEN 'soft:anchor' END) AS failures FROM s""",
 )
 def q33(spark, d):
     items = table(spark, d, "benchmark")
@@ -175,7 +210,7 @@ def q33(spark, d):
     docs = table(spark, d, "documents").join(F.broadcast(n)).withColumn("item_id", F.col("doc_id") % F.col("n"))
     both = docs.join(items.select("item_id", F.col("text").alias("item")), "item_id")
     hint = F.when(F.col("doc_id") % 3 == 0, F.substring("text", 5, 40)).when(F.col("doc_id") % 3 == 1, F.replace(F.substring("text", 3, 30), F.lit(" "), F.lit("  "))).otherwise(F.col("item"))
-    rows = both.select("doc_id", "text", hint.alias("hint"), (F.col("doc_id") % 10).alias("reg"), F.lit([1, 3, 5, 8]).cast("array<bigint>").alias("visible"))
+    rows = both.select("doc_id", "text", hint.alias("hint"), (F.col("doc_id") % 7).cast("string").alias("reg"), sections.visible(F.concat(F.lit("Regulation "), (F.col("doc_id") % 10).cast("string"), F.lit(": Scope\n\tregulation "), (F.col("doc_id") * 3 % 10).cast("string"), F.lit(" - Bars\nregulations 4"))).alias("visible"))
     span, anchored = validate.span_match(F.col("text"), F.col("hint")), F.array_contains("visible", F.col("reg"))
     found = rows.select("doc_id", span.alias("span"), anchored.alias("anchored"))
     return found.select("doc_id", "span", "anchored", F.when(F.col("anchored"), 90).otherwise(70).cast("bigint").alias("confidence_pct"), F.concat_ws(",", F.when(F.col("span") == "none", "hard:span"), F.when(~F.col("anchored"), "soft:anchor")).alias("failures"))
@@ -227,19 +262,6 @@ _CLAUSES = (
 )
 
 
-def _sql(value: str | None) -> str:
-    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
-
-
-def _case(values, by: str) -> str:
-    """One of `values` by the remainder of `by`, in SQL that both engines read."""
-    return f"CASE {by} % {len(values)} " + " ".join(f"WHEN {k} THEN {_sql(v)}" for k, v in enumerate(values)) + " END"
-
-
-def _rows(cases) -> str:
-    return "(VALUES " + ", ".join(f"({k}, " + ", ".join(map(_sql, c)) + ")" for k, c in enumerate(cases)) + ")"
-
-
 @query(
     "q36_keyword_classification",
     f"SELECT doc_id, rule_type, actor, condition, scope FROM documents JOIN {_rows([c[2:] for c in _CLAUSES])} v(k, rule_type, actor, condition, scope) ON doc_id % {len(_CLAUSES)} = k",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
+from ..operators import quality
 from ..plans import rules as R
 from ..plans.schema import Schema
 from . import base
@@ -55,7 +56,8 @@ def q02(spark, d):
     NOT has_outstanding_convertibles OR has_esop_exemption OR has_sar_exemption OR has_mandatory_convertibles AS disjunction,
     NOT changed_name_recently OR percent_revenue_from_new_name >= 50 AS implication, general_corp_purpose_ratio <= 25 AS at_most, monetary_asset_ratio >= 10 AS at_least,
     general_corp_purpose_ratio BETWEEN 2 AND 10 AS in_range, monetary_asset_ratio = 7 AS equal,
-    monetary_asset_ratio = 0 OR (is_offer_for_sale_only AND general_corp_purpose_ratio >= 2 AND general_corp_purpose_ratio <= 10 AND has_demat_agreement) AS conditional FROM filings""",
+    monetary_asset_ratio = 0 OR (is_offer_for_sale_only AND general_corp_purpose_ratio >= 2 AND general_corp_purpose_ratio <= 10 AND has_demat_agreement) AS conditional,
+    sr_net_worth = 0 OR (is_tech_firm AND sr_holder_exec AND sr_voting_ratio BETWEEN 2 AND 10 AND sr_class_count = 1 AND sr_same_face_value AND sr_issued_3mo_prior) AS superior_shares FROM filings""",
 )
 def q03(spark, d):
     checks = {
@@ -67,6 +69,7 @@ def q03(spark, d):
         "in_range": "fun i => i.general_corp_purpose_ratio ≥ 2 && i.general_corp_purpose_ratio ≤ 10",
         "equal": "fun i => i.monetary_asset_ratio == 7",
         "conditional": "fun i => (i.monetary_asset_ratio == 0) ∨ (i.is_offer_for_sale_only ∧ (i.general_corp_purpose_ratio ≥ 2 ∧ i.general_corp_purpose_ratio ≤ 10) ∧ i.has_demat_agreement)",
+        "superior_shares": "fun i => i.sr_net_worth == 0 ∨ (i.is_tech_firm ∧ i.sr_holder_exec ∧ i.sr_voting_ratio ≥ 2 ∧ i.sr_voting_ratio ≤ 10 ∧ i.sr_class_count == 1 ∧ i.sr_same_face_value ∧ i.sr_issued_3mo_prior)",
     }
     return base.filings(spark, d).select("issuer_id", *[F.expr(R.compile_predicate(c, R.CORE)[0]).alias(n) for n, c in checks.items()])
 
@@ -152,17 +155,24 @@ def q06b(spark, d):
     return E.regroup(E.evaluate(base.filings(spark, d), CORE))
 
 
+#: A supplier as a filing with three directors; a director is an entry with a list of debarred companies, which some have none of.
+_BOARD = Schema.of(directors="array<struct<other_debarred_companies:array<bigint>>>")
+_DIRECTORS = "transform(sequence(0, 2), j -> named_struct('other_debarred_companies', IF((s_suppkey + j) % 4 = 0, array(s_suppkey % 10, cast(j as bigint)), cast(array() as array<bigint>))))"
+
+
 @query(
     "q07_nested_struct_exists",
-    """SELECT n_nationkey, coalesce(bool_or(s_acctbal < 0), false) AS any_debarred, count(s_suppkey) AS n_directors FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey""",
+    "SELECT s_suppkey, s_suppkey % 4 <> 1 AND s_suppkey % 10 > 5 AS any_high, s_suppkey % 4 = 1 AS all_clean, 3::BIGINT AS n_directors FROM supplier",
 )
 def q07(spark, d):
-    # A director is a struct with the list of companies that are debarred, here none or one.
-    director = F.struct(F.expr("IF(s_acctbal < 0, array(s_suppkey), cast(array() as array<bigint>))").alias("other_debarred_companies"))
-    boards = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(director).alias("directors"))
-    rows = table(spark, d, "nation").join(boards, F.col("n_nationkey") == F.col("s_nationkey"), "left")
-    board = F.coalesce("directors", F.expr("cast(array() as array<struct<other_debarred_companies:array<bigint>>>)"))
-    return rows.select("n_nationkey", F.exists(board, lambda x: F.size(x["other_debarred_companies"]) > 0).alias("any_debarred"), F.size(board).cast("bigint").alias("n_directors"))
+    filings = _BOARD.normalise(table(spark, d, "supplier").select("s_suppkey", F.expr(_DIRECTORS).alias("directors")), "s_suppkey")
+    checks = {
+        "any_high": "fun i => i.directors.any (fun d => d.other_debarred_companies.any (fun c => c > 5))",
+        "all_clean": "fun i => i.directors.all (fun d => d.other_debarred_companies.isEmpty)",
+        "n_directors": "fun i => i.directors.length",
+    }
+    compiled = [F.expr(R.compile_predicate(c, _BOARD)[0]).alias(n) for n, c in checks.items()]
+    return filings.select("s_suppkey", *compiled).withColumn("n_directors", F.col("n_directors").cast("bigint"))
 
 
 @query(
@@ -182,7 +192,7 @@ def q08(spark, d):
         "is_none": "fun i => i.m.isNone",
         "equals_some": "fun i => i.m.getD 0 == 18",
         "or_default": "fun i => i.m.getD 0",
-        "matched": "fun i => if i.m.isSome then i.m == some 78 else false",
+        "matched": "fun i => match i.m with | some 78 => true | _ => false",
         "text_equal": 'fun i => i.c_mktsegment == "BUILDING"',
         "text_not_empty": 'fun i => i.c_mktsegment ≠ ""',
         "ratio": "fun i => i.n.getD 0 ≥ 5 * (i.m.getD 0 / 60)",
@@ -199,8 +209,7 @@ def q08(spark, d):
 def q09(spark, d):
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     ok = E.gate(F.col("c_acctbal") >= 0, F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey") % 3 != 0))
-    long = rows.select("r_name", "n_name", ok.alias("ok"))
-    return long.rollup("r_name", "n_name").agg(F.coalesce(F.every("ok"), F.lit(True)).alias("passed"), F.count("*").alias("members"), F.count_if(F.col("ok").isNull()).alias("unknown"), F.grouping_id().alias("level"))
+    return E.roll_up(rows.select("r_name", "n_name", ok.alias("ok")), ["r_name", "n_name"], "ok")
 
 
 @query("q10_failure_reasons", f"WITH {_LONG_SQL}, {_META_SQL} SELECT issuer_id, id, bare AS reason, reason AS with_remedy FROM full_ WHERE NOT passed")
@@ -242,6 +251,32 @@ def q16(spark, d):
     return rows.select("p_partkey", F.coalesce(F.col("low") < F.col("issue"), F.lit(False)).alias("any_below"), F.coalesce(F.col("low_r") < F.col("issue"), F.lit(False)).alias("nested"), inside.alias("contained"))
 
 
+#: Securities and payments of a supplier as entries of one filing.
+_TRADES = Schema.of(securities="array<struct<id:bigint,price:bigint>>", payments="array<struct<id:bigint,price:bigint>>", held="List Nat", known="List Nat")
+_TRADES_SQL = {
+    "securities": ("transform(sequence(0, 2), j -> named_struct('id', cast(j as bigint), 'price', (s_suppkey * 7 + j * 3) % 20))", "[{'id': j, 'price': (s_suppkey * 7 + j * 3) % 20} for j in [0, 1, 2]]"),
+    "payments": ("transform(sequence(0, 3), j -> named_struct('id', (s_suppkey + j) % 4, 'price', (s_suppkey * 5 + j) % 20))", "[{'id': (s_suppkey + j) % 4, 'price': (s_suppkey * 5 + j) % 20} for j in [0, 1, 2, 3]]"),
+    "held": ("array(s_suppkey % 5, s_suppkey % 3)", "[s_suppkey % 5, s_suppkey % 3]"),
+    "known": ("array(0L, 1L, s_suppkey % 4)", "[0, 1, s_suppkey % 4]"),
+}
+
+
+@query(
+    "q16b_theta_exists_in_rules",
+    "WITH t AS (SELECT s_suppkey, " + ", ".join(f"{sql} AS {n}" for n, (_, sql) in _TRADES_SQL.items()) + """ FROM supplier),
+    s AS (SELECT s_suppkey, unnest(securities) AS s, payments, held, known FROM t), b AS (SELECT s_suppkey, len([p for p in payments if p.id = s.id AND p.price < s.price]) > 0 AS below, len([h for h in held if h = s.id AND len([p for p in payments if p.id = h]) > 0]) > 0 AS two FROM s)
+    SELECT t.s_suppkey, bool_and(below) AS all_below, bool_or(two) AS two_levels, any_value(len([h for h in held if NOT list_contains(known, h)]) = 0) AS contained FROM t JOIN b USING (s_suppkey) GROUP BY t.s_suppkey""",
+)
+def q16b(spark, d):
+    filings = _TRADES.normalise(table(spark, d, "supplier").select("s_suppkey", *[F.expr(e).alias(n) for n, (e, _) in _TRADES_SQL.items()]), "s_suppkey")
+    checks = {
+        "all_below": "fun i => i.securities.all (fun s => i.payments.any (fun p => p.id == s.id && p.price < s.price))",
+        "two_levels": "fun i => i.securities.any (fun s => i.held.any (fun h => h == s.id && i.payments.any (fun p => p.id == h)))",
+        "contained": "fun i => i.held.all (fun h => i.known.contains h)",
+    }
+    return filings.select("s_suppkey", *[F.expr(R.compile_predicate(c, _TRADES)[0]).alias(n) for n, c in checks.items()])
+
+
 @query(
     "q46_questionnaire_union_all",
     """SELECT r_name AS field, 'Is ' || r_name || ' covered?' AS question, 'Bool' AS type FROM region UNION ALL SELECT n_name, 'How many filings in ' || n_name || '?', 'Nat' FROM nation UNION ALL SELECT r_name, 'List the years of ' || r_name, 'List Nat' FROM region""",
@@ -276,17 +311,38 @@ def generatedRuleset : List ComplianceRule := [
   , reference := "3"
   , check := fun i => i.monetary_asset_ratio >= 0
   , failReason := fun _ => "never" },
-{ id := "R_4"
+{ id := " R  4 "
   , title := "Nothing"
   , reference := "4"
-  , failReason := fun _ => "none" }
+  , failReason := "none" },
+{ id := "R_5"
+  , title := ""
+  , reference := "5"
+  , check := fun i => i.is_debarred i && i.nowhere
+  , failReason := fun _ => "function" }
 ]
 """
+#: (ordinal, id, finding) of its rules.
+_FINDINGS = (
+    (1, "R_2", "stubbed_check"),
+    (2, "R_2_2", "not_evaluable: unknown field no_such_field"), (2, "R_2_2", "stubbed_check"), (2, "R_2_2", "normalized_rule_id"), (2, "R_2_2", "missing_fields:no_such_field"),
+    (3, "R_3", "tautology"),
+    (4, "R 4", "not_evaluable: missing check"), (4, "R 4", "stubbed_check"), (4, "R 4", "wrapped_failReason"), (4, "R 4", "normalized_rule_id"),
+    (5, "R_5", "not_evaluable: left over: i"), (5, "R_5", "missing_fields:title"), (5, "R_5", "stubbed_check"), (5, "R_5", "missing_fields:nowhere"), (5, "R_5", "suspected_function_field_usage"),
+)
 
 
-@query("q47_ruleset_lint")
+@query("q47_ruleset_lint", "SELECT ordinal, id, finding, (SELECT count(*) FROM customer) AS passing FROM (VALUES " + ", ".join(f"({k}, '{i}', '{f}')" for k, i, f in _FINDINGS) + ") v(ordinal, id, finding)")
 def q47(spark, d):
     faulty = R.load("faulty", FAULTY, R.CORE)
     found = R.lint(faulty, faulty.metadata(spark))
     passed = E.evaluate(base.filings(spark, d), faulty).groupBy("ordinal").agg(F.count_if("passed").alias("passing"))
     return found.join(passed, "ordinal").select("ordinal", "id", "finding", "passing")
+
+
+@query(
+    "q48_stub_and_fix_histogram",
+    "SELECT fix, count(*) AS rules FROM (VALUES " + ", ".join(f"('{f}')" for _, _, f in _FINDINGS if ": " not in f and f not in ("tautology", "missing_fields:title")) + ") v(fix) GROUP BY fix",
+)
+def q48(spark, d):
+    return quality.histogram(R.load("faulty", FAULTY, R.CORE).metadata(spark), "fixes", "fix")

@@ -84,5 +84,5 @@ def gate(*members: Column) -> Column:
 
 
 def roll_up(long: DataFrame, levels: list[str], passed: str = "passed") -> DataFrame:
-    """Gates of a hierarchy: for each prefix of `levels`, whether all below pass, and how many there are."""
-    return long.rollup(*levels).agg(F.coalesce(F.every(passed), F.lit(True)).alias("passed"), F.count("*").alias("members"), F.grouping_id().alias("level"))
+    """Gates of a hierarchy: for each prefix of `levels`, whether all below pass (those that are unknown aside), how many there are, and how many are unknown."""
+    return long.rollup(*levels).agg(F.coalesce(F.every(passed), F.lit(True)).alias("passed"), F.count("*").alias("members"), F.count_if(F.col(passed).isNull()).alias("unknown"), F.grouping_id().alias("level"))

@@ -55,6 +55,21 @@ def coverage(fields: DataFrame, found: DataFrame, inactive: Column) -> DataFrame
     return both.withColumn("status", F.when(inactive, F.lit("inactive")).when(F.col("value").isNotNull(), F.lit("present")).otherwise(F.lit("missing")))
 
 
+#: Units that amounts are written in, as texts name them.
+UNITS = ("million", "crore", "lakh", "%")
+
+
+def unit(label: Column) -> Column:
+    """The unit that a table's label or heading names, else null."""
+    low = F.lower(label)
+    return F.coalesce(*[F.when(F.contains(low, F.lit(u)), F.lit(u)) for u in UNITS])
+
+
+def percent_value(text: Column) -> Column:
+    """The number before a per cent sign, decimals kept, else null."""
+    return F.regexp_extract(F.regexp_replace(text, ",", ""), r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double")
+
+
 def table_cells(tables: DataFrame) -> DataFrame:
     """Cells (keys…, label, unit, k, value) of tables with rows (array of struct(label, values, unit)); numbers in Indian or western groups, decimals dropped."""
     keys = [c for c in tables.columns if c != "rows"]
@@ -69,6 +84,37 @@ def newest(cells: DataFrame, key: list[str], year: str, n: int = 3) -> DataFrame
     return cells.groupBy(*key).agg(listed.alias("v")).select(*key, F.col("v.value").alias("values"))
 
 
+def field_index(fields: DataFrame) -> DataFrame:
+    """Of fields (field, rule_id, reg): field, rule_ids (sorted), n, the name where it is first used, and a note if it was renamed.
+
+    One aggregate; a field of several rules gets its least regulation as a suffix.
+    """
+    each = fields.groupBy("field").agg(F.array_sort(F.collect_set("rule_id")).alias("ids"), F.min("reg").alias("reg"))
+    shared = F.size("ids") > 1
+    return each.select("field", F.array_join("ids", ",").alias("rule_ids"), F.size("ids").cast("bigint").alias("n"), F.when(shared, F.concat("field", F.lit("_reg"), "reg")).otherwise(F.col("field")).alias("first_name"), F.when(shared, F.lit("renamed_colliding_field")).alias("note"))
+
+
+def mentions(text: Column, field: str, reach: int = 3) -> Column:
+    """Array of struct(field, near_number, in_parens): words of a text that `field` (a pattern) finds, one for each blank-separated token.
+
+    A number is near if it is among the `reach` tokens before or after; what
+    stands in round brackets is read apart from the rest.
+    """
+    inside = F.array_join(F.regexp_extract_all(text, F.lit(r"\(([^()]*)\)"), 1), " ")
+    outside = F.regexp_replace(text, r"\([^()]*\)", " ")
+
+    def found(part: Column, brackets: bool) -> Column:
+        tokens = F.filter(F.split(part, r"\s+"), lambda t: t != "")
+        near = lambda t, k: F.struct(
+            F.regexp_extract(t, field, 0).alias("field"),
+            F.exists(F.slice(tokens, F.greatest(k + 1 - reach, F.lit(1)), k + 2 + reach - F.greatest(k + 1 - reach, F.lit(1))), lambda x: x.rlike(r"\d")).alias("near_number"),
+            F.lit(brackets).alias("in_parens"),
+        )
+        return F.filter(F.transform(tokens, near), lambda m: m["field"] != "")
+
+    return F.concat(found(outside, False), found(inside, True))
+
+
 def inverted(maps_to: DataFrame) -> DataFrame:
     """field and rule_ids (sorted, joined by commas) of rules (rule_id, fields)."""
     return maps_to.select("rule_id", F.explode("fields").alias("field")).groupBy("field").agg(F.array_join(F.array_sort(F.collect_set("rule_id")), ",").alias("rule_ids"), F.count_distinct("rule_id").alias("n"))

@@ -39,14 +39,59 @@ def by_group(both: DataFrame, group: str, key: str = "rule_id") -> DataFrame:
 
 
 def promotion(fields: DataFrame, generic: list[str], threshold: int = 2) -> DataFrame:
-    """Of fields (field, rule_id, near_number): occurrences, score and whether promoted.
+    """Of mentions (field, near_number, in_parens): occurrences, context, details, score and whether promoted.
 
-    Two points for two occurrences, two for a number next to one, three off
-    for a generic name.
+    Two points for two occurrences, two for a number near one, three off for a
+    generic name; `details` lists what gave points.
     """
-    n = fields.groupBy("field").agg(F.count("*").alias("occurrences"), F.coalesce(F.some("near_number"), F.lit(False)).alias("comparator_context"))
-    score = 2 * (F.col("occurrences") >= 2).cast("int") + 2 * F.col("comparator_context").cast("int") - 3 * F.col("field").isin(generic).cast("int")
-    return n.withColumn("score", score).withColumn("promoted", F.col("score") >= threshold)
+    yes = lambda c: F.coalesce(F.some(c), F.lit(False))
+    n = fields.groupBy("field").agg(F.count("*").alias("occurrences"), yes("near_number").alias("comparator_context"), F.every("in_parens").alias("only_in_parens"))
+    marks = {"reusable_2plus_rules": (F.col("occurrences") >= 2, 2), "numeric_threshold_nearby": (F.col("comparator_context"), 2), "generic_token": (F.col("field").isin(generic), -3)}
+    score = sum((F.when(when, points).otherwise(0) for when, points in marks.values()), F.lit(0))
+    details = F.array_compact(F.array(*[F.when(when, F.lit(name)) for name, (when, _) in marks.items()]))
+    return n.withColumns({"details": details, "score": score}).withColumn("promoted", F.col("score") >= threshold)
+
+
+def histogram(rows: DataFrame, lists: str, name: str) -> DataFrame:
+    """How many rows have each entry of a list column; null and empty lists have none."""
+    return rows.select(F.explode(F.array_distinct(lists)).alias(name)).groupBy(name).agg(F.count("*").alias("rules"))
+
+
+def mapped(gold: DataFrame, found: DataFrame, key: str = "rule_id", fields: str = "maps_to") -> DataFrame:
+    """key, in_gold and in_found of the ids that both have: whether a rule maps to fields there."""
+    some = lambda rows, name: rows.select(key, (F.coalesce(F.size(fields), F.lit(0)) > 0).alias(name))
+    return some(gold, "in_gold").join(some(found, "in_found"), key)
+
+
+def counters(rows: DataFrame, by: str, reg: str, expected: list[str]) -> DataFrame:
+    """Rules, regulations (count and list) and expected ones that are absent, for each status; a null regulation counts as none."""
+    regs = F.array_sort(F.collect_set(reg))
+    return rows.groupBy(by).agg(F.count("*").alias("rules"), F.count_distinct(reg).alias("regs"), F.array_join(regs, ",").alias("reg_list"), F.array_join(F.array_except(F.lit(sorted(expected)), regs), ",").alias("absent"))
+
+
+#: Members of a judge's report.
+CRITERIA = ("atomicity", "fidelity", "completeness", "maps_to_quality", "source_alignment")
+JUDGE_REPORT = (
+    "pdf string, pages array<int>, window_start int, validation map<string, struct<hard_fail_reasons: array<string>, soft_fail_reasons: array<string>>>, "
+    "judge_report struct<judgments: array<struct<rule_id: string, scores: struct<" + ", ".join(f"{c}: double" for c in CRITERIA) + ">, overall: double, failure_modes: array<string>, feedback_for_refinement: string>>>"
+)
+
+
+def failures(reports: DataFrame, *keys: str) -> DataFrame:
+    """keys, window_start, rule_id, kind (hard or soft) and reason: a row for each reason of a report's map; rules without reasons have none."""
+    rules = reports.select(*keys, "window_start", F.explode("validation").alias("rule_id", "v"))
+
+    def told(kind: str) -> Column:
+        reasons = F.coalesce(F.col(f"v.{kind}_fail_reasons"), F.expr("cast(array() as array<string>)"))
+        return F.transform(reasons, lambda r: F.struct(F.lit(kind).alias("kind"), r.alias("reason")))
+
+    return rules.select(*keys, "window_start", "rule_id", F.inline(F.concat(told("hard"), told("soft"))))
+
+
+def judgments(reports: DataFrame, *keys: str) -> DataFrame:
+    """keys, window_start, rule_id, the five criteria, overall, failure_modes and feedback of each judgment."""
+    rows = reports.select(*keys, "window_start", F.explode("judge_report.judgments").alias("j"))
+    return rows.select(*keys, "window_start", "j.rule_id", "j.scores.*", "j.overall", "j.failure_modes", F.col("j.feedback_for_refinement").alias("feedback"))
 
 
 def weighted(scores_: dict[str, float]) -> Column:
@@ -65,6 +110,11 @@ def last_iteration(reports: DataFrame, key: list[str], iteration: str) -> DataFr
     return reports.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(iteration)).alias("r")).select(*key, "r.*")
 
 
+def best_record(confidence: str, text: str, *last: str) -> Column:
+    """What orders the records of a signature, best first: the highest confidence, then the shortest text, then `last`."""
+    return F.struct((-F.col(confidence)).alias("a"), F.length(text).alias("b"), *last)
+
+
 def new_records(records: DataFrame, store: DataFrame | None, key: str = "rule_id", *order: Column | str) -> DataFrame:
     """Records whose key isn't stored, the first of each key (in `order`, or any one without), without members named ``_…``."""
     out = records if store is None else records.join(store.select(key).distinct(), key, "left_anti")

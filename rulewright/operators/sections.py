@@ -52,6 +52,11 @@ def clauses(found: DataFrame, key: str, low: int | None = None, high: int | None
     return rows.select(key, "section", F.concat_ws("_", F.lit("ICDR"), *parts).alias("rule_id"), F.concat_ws("_", F.lit("rule"), *parts).alias("lean_id"), F.concat(base, F.when(label != "", F.concat(F.lit(" — "), label)).otherwise("")).alias("title"), "text")
 
 
+def visible(text: Column) -> Column:
+    """The numbers of the regulations whose headings a page shows, each once, in order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(HEADER), 1))
+
+
 def page_windows(pages: DataFrame, doc: str, page: str, width: int = 2, overlap: int = 1, first: int | None = None) -> DataFrame:
     """doc, start, page: the pages of each window of `width` pages, `overlap` of them shared; windows begin at pages that are there.
 

@@ -16,9 +16,24 @@ def missing(columns: list[str]) -> Column:
 
 def repeated(records: DataFrame, key: str, order: str) -> DataFrame:
     """Rows whose key an earlier row has, with the place of the first."""
+    return records.withColumn("first_seen", first_seen(key, order)).where("first_seen is not null")
+
+
+def first_seen(key: str, order: str) -> Column:
+    """The place of the first row with the key of a row that isn't the first itself; a null key is a key like any other."""
     w = Window.partitionBy(key).orderBy(order)
-    numbered = records.withColumn("n", F.row_number().over(w)).withColumn("first_seen", F.first(order).over(w))
-    return numbered.where("n > 1").drop("n")
+    return F.when(F.row_number().over(w) > 1, F.first(order).over(w))
+
+
+def summary(records: DataFrame, key: str, required: list[str]) -> DataFrame:
+    """One row: records, ids that repeat another record's, and records with members missing."""
+    each = records.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.size(missing(required)) > 0).alias("m"))
+    return each.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in ((F.col("n"), "records"), (F.col("n") - 1, "duplicates"), (F.col("m"), "incomplete"))])
+
+
+def missing_counts(records: DataFrame, required: list[str]) -> DataFrame:
+    """member and records: how many records miss each required member; members that none misses aren't there."""
+    return records.select(F.explode(missing(required)).alias("member")).groupBy("member").agg(F.count("*").alias("records"))
 
 
 def kept_first(records: DataFrame, key: str, *order: Column | str) -> DataFrame:
@@ -28,10 +43,11 @@ def kept_first(records: DataFrame, key: str, *order: Column | str) -> DataFrame:
 
 
 def errors(schema: dict, value: Column, path: str = "") -> list[Column]:
-    """JSON Schema (type aside, which the reader settles) as columns that are null or a message.
+    """JSON Schema as columns that are null or a message; type and additionalProperties are of JSON texts, by `raw_errors`.
 
     Known: required, enum, const, pattern, minimum, maximum, minLength,
-    maxLength, minItems, uniqueItems, properties, items (of objects' members).
+    maxLength, minItems, uniqueItems, properties, items (of objects' members);
+    a list's entries tell all their messages.
     """
     out, name = [], path or "record"
     for member in schema.get("required", []):
@@ -54,7 +70,27 @@ def errors(schema: dict, value: Column, path: str = "") -> list[Column]:
             out.append(F.when(value.isNotNull() & wrong(schema[key]), F.lit(f"{name}: {key}")))
     if "items" in schema:
         found = lambda x: F.array_compact(F.array(*errors(schema["items"], x, f"{name}[]"), F.lit(None).cast("string")))
-        out.append(F.when(value.isNotNull(), F.get(F.flatten(F.transform(value, found)), 0)))
+        out.append(F.nullif(F.array_join(F.flatten(F.transform(value, found)), "|"), F.lit("")))
+    return out
+
+
+#: What a variant calls the types of JSON Schema.
+_KINDS = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DOUBLE|FLOAT|DECIMAL.*", "boolean": "BOOLEAN", "array": "ARRAY<.*", "object": "OBJECT<.*", "null": "VOID"}
+
+
+def raw_errors(schema: dict, text: Column, path: str = "$") -> list[Column]:
+    """The types and closed objects of a JSON Schema, of JSON texts: columns that are null or a message; texts that don't parse have none."""
+    value = F.try_variant_get(F.try_parse_json(text), path, "variant")
+    name, out = path[2:] or "record", []
+    if "type" in schema:
+        kinds = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
+        out.append(F.when(~F.schema_of_variant(value).rlike(f"^(?:{'|'.join(_KINDS[k] for k in kinds)})$"), F.lit(f"{name}: type")))
+    if schema.get("additionalProperties") is False:
+        there = F.json_object_keys(F.to_json(value))
+        more = F.array_except(there, F.lit([*schema.get("properties", {})]).cast("array<string>"))
+        out.append(F.when(F.size(more) > 0, F.concat(F.lit(f"{name}: additionalProperties "), F.array_join(more, ","))))
+    for member, sub in schema.get("properties", {}).items():
+        out += raw_errors(sub, text, f"{path}.{member}")
     return out
 
 

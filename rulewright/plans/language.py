@@ -3,8 +3,8 @@
 A predicate is a function of one filing, ``fun i => <expression>``, over its
 fields.  Literals, comparison, Boolean and whole-number operators (division
 rounds down), list members (``length``, ``sum``, ``isEmpty``, ``all``, ``any``,
-``contains``, ``filter``, ``map``), options (``isSome``, ``isNone``,
-``getD``), local ``let`` names and ``if`` are understood.  What isn't, or
+``contains``, ``filter``, ``map``, ``find?``, ``partition``, ``zip``,
+``zipIdx``), options (``isSome``, ``isNone``, ``getD``), local ``let`` names and ``if`` are understood.  What isn't, or
 names an unknown field, raises `Unsupported`; the linter makes a stub of it.
 """
 
@@ -138,6 +138,9 @@ class _Parser:
         if got in ("allGeNat", "lengthIs"):
             listed, n = self.argument(), self.argument()
             return f"(size({listed}) = {n})" if got == "lengthIs" else f"forall({listed}, x -> x >= {n})"
+        if got == "List.range":
+            n = self.argument()
+            return f"filter(sequence(0L, greatest({n}, 1L) - 1), k -> k < {n})"
         if got == "some":
             return self.argument()
         if got == "none":
@@ -193,6 +196,16 @@ class _Parser:
         if name in ("all", "any", "filter", "map"):
             v, body = self.function()
             return f"{ {'all': 'forall', 'any': 'exists', 'map': 'transform'}.get(name, name)}({of}, {v} -> {body})"
+        if name in ("find?", "partition"):
+            v, body = self.function()
+            yes = f"filter({of}, {v} -> {body})"
+            return f"try_element_at({yes}, 1)" if name == "find?" else f"named_struct('_1', {yes}, '_2', filter({of}, {v} -> NOT ({body})))"
+        if name == "zip":  # as long as the shorter list
+            other = self.argument()
+            n = f"least(size({of}), size({other}))"
+            return f"zip_with(slice({of}, 1, {n}), slice({other}, 1, {n}), (x, y) -> named_struct('_1', x, '_2', y))"
+        if name == "zipIdx":
+            return f"transform({of}, (x, k) -> named_struct('_1', x, '_2', CAST(k AS bigint)))"
         if name == "contains":
             return f"array_contains({of}, {self.argument()})"
         if name == "isSome":

@@ -29,6 +29,7 @@ class Rule:
     status: str = "ok"  # ok, stub, tautology or not_evaluable
     fields: frozenset[str] = frozenset()
     note: str = ""
+    fixes: tuple[str, ...] = ()  # what reading the rule had to repair
 
     def reason_column(self) -> Column:
         made = self.reason() if callable(self.reason) and not isinstance(self.reason, Column) else self.reason
@@ -47,8 +48,8 @@ class Ruleset:
         return set().union(*(r.fields for r in self.rules)) if self.rules else set()
 
     def metadata(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.name, k, r.id, r.title, r.reference, r.remedy, r.status, sorted(r.fields), r.note) for k, r in enumerate(self.rules)]
-        return spark.createDataFrame(rows, "ruleset string, ordinal int, id string, title string, reference string, remedy string, status string, fields array<string>, note string")
+        rows = [(self.name, k, r.id, r.title, r.reference, r.remedy, r.status, sorted(r.fields), r.note, list(r.fixes)) for k, r in enumerate(self.rules)]
+        return spark.createDataFrame(rows, "ruleset string, ordinal int, id string, title string, reference string, remedy string, status string, fields array<string>, note string, fixes array<string>")
 
 
 def _literal(text: str | None) -> str | None:
@@ -60,15 +61,38 @@ _CONSTANT = re.compile(r"fun\s+\w+\s*=>\s*(?:True|true)")
 _TAUTOLOGY = re.compile(r"(?:>=\s*0\)|size\([a-z_]+\) >= 0)")
 
 
+def repairs(record: dict[str, str], own: str, stubbed: bool, known: set[str]) -> tuple[str, ...]:
+    """What is wrong with a rule record as written, in the order of the report."""
+    check, reason, out = record.get("check", ""), record.get("failReason", ""), []
+    if stubbed:
+        out.append("stubbed_check")
+    if reason and not reason.startswith("fun"):
+        out.append("wrapped_failReason")
+    if own != record["id"]:
+        out.append("normalized_rule_id")
+    if head := re.match(r"fun\s+(\w+)\s*=>", check):
+        named = re.findall(rf"\b{head[1]}\.([A-Za-z_]\w*)", check)
+        out += [f"missing_fields:{f}" for f in dict.fromkeys(named) if f not in known]
+        if re.search(rf"\b{head[1]}\.(?:{'|'.join(sorted(known)) or '(?!)'})\s+(?:{head[1]}\b|\d|\()", check):
+            out.append("suspected_function_field_usage")
+    return tuple(out)
+
+
+def normal_id(rule_id: str) -> str:
+    """An id without blanks at its ends and with single blanks inside."""
+    return re.sub(r"\s+", " ", rule_id).strip()
+
+
 def from_records(name: str, records: list[dict[str, str]], schema: Schema) -> Ruleset:
     """A ruleset of rule records; what can't be evaluated becomes a passing stub that says why.
 
     Repeated ids get ``_2``, ``_3`` and so on.
     """
-    rules, seen = [], Counter()
+    rules, seen, known = [], Counter(), {f.name for f in schema.fields}
     for r in records:
-        seen[r["id"]] += 1
-        own = r["id"] if seen[r["id"]] == 1 else f"{r['id']}_{seen[r['id']]}"
+        base = normal_id(r["id"])
+        seen[base] += 1
+        own = base if seen[base] == 1 else f"{base}_{seen[base]}"
         check, status, fields, note = r.get("check", ""), "ok", frozenset(), ""
         reason = _literal(r.get("failReason")) or "(no detail)"
         if not check:
@@ -83,7 +107,7 @@ def from_records(name: str, records: list[dict[str, str]], schema: Schema) -> Ru
                 status = "tautology" if _TAUTOLOGY.search(sql) and " AND " not in sql and " OR " not in sql else "ok"
             except Unsupported as e:
                 sql, status, note, reason = "true", "not_evaluable", str(e), STUB_REASON.format(own)
-        rules.append(Rule(own, _literal(r.get("title")) or "", _literal(r.get("reference")) or "", sql, reason, _literal(r.get("remedy")), status, fields, note))
+        rules.append(Rule(own, _literal(r.get("title")) or "", _literal(r.get("reference")) or "", sql, reason, _literal(r.get("remedy")), status, fields, note, repairs(r, own, status in ("stub", "not_evaluable"), known)))
     return Ruleset(name, schema, tuple(rules))
 
 
@@ -92,6 +116,24 @@ def load(name: str, text: str, schema: Schema) -> Ruleset:
     return from_records(name, read_records(text), schema)
 
 
+_REGISTRY: dict[str, Callable[[], Ruleset]] = {}
+
+
+def register(name: str, make: Callable[[], Ruleset]) -> None:
+    """Makes a ruleset known by name; `make` runs when it is asked for, and a later one of the name takes its place."""
+    _REGISTRY[name] = make
+
+
+def registered() -> list[str]:
+    return sorted(_REGISTRY)
+
+
+def named(name: str) -> Ruleset:
+    if name not in _REGISTRY:
+        raise KeyError(f"no ruleset {name}; there are {', '.join(registered())}")
+    return _REGISTRY[name]()
+
+
 def lint(ruleset: Ruleset, metadata: DataFrame) -> DataFrame:
     """Findings about a ruleset's metadata: ordinal, id, finding."""
     known = [f.name for f in ruleset.schema.fields]
@@ -105,7 +147,7 @@ def lint(ruleset: Ruleset, metadata: DataFrame) -> DataFrame:
             F.when(F.col("title") == "", F.lit("missing_fields:title")),
         )
     )
-    return metadata.select("ordinal", "id", F.explode(found).alias("finding"))
+    return metadata.select("ordinal", "id", F.explode(F.array_distinct(F.concat(found, "fixes"))).alias("finding"))
 
 
 # -- the core ruleset -----------------------------------------------------------
@@ -179,3 +221,6 @@ def core(nta: int = 30_000_000, profit: int = 150_000_000, worth: int = 10_000_0
     )
     names = {f.name for f in CORE.fields}
     return Ruleset("core", CORE, tuple(Rule(**{**r.__dict__, "fields": frozenset(w for w in re.findall(r"[a-z_]+", r.check) if w in names)}) for r in rules))
+
+
+register("core", core)

@@ -17,6 +17,8 @@ _DEFAULTS = {"boolean": "false", "bigint": "0L", "string": "''"}
 
 def spark_type(written: str) -> tuple[str, bool]:
     """(Spark type, optional) of a written type; blanks, brackets and the place of ``Option`` vary between sources."""
+    if re.match(r"array<|struct<", written):  # of entries with members of their own
+        return written, False
     bare = re.sub(r"[\s()]", "", written)
     optional = "Option" in bare
     bare = bare.replace("Option", "")
@@ -90,9 +92,15 @@ CORE = Schema.of(
             "is_debarred", "has_debarred_directors", "is_fraudulent", "is_fugitive", "has_outstanding_convertibles", "has_esop_exemption",
             "has_sar_exemption", "has_mandatory_convertibles", "used_monetary_assets", "is_offer_for_sale_only", "changed_name_recently",
             "applied_to_stock_exchange", "has_demat_agreement", "promoter_securities_demat", "no_partly_paid_shares",
+            "uses_book_building", "qib_allocation_done", "is_tech_firm", "sr_holder_exec", "sr_same_face_value", "sr_issued_3mo_prior",
+            "finance_75_percent_done", "shares_fully_paid", "is_govt_entity", "via_merger_scheme", "is_bonus_from_free_reserve",
+            "underlying_held_1y", "bonus_not_from_revaluation",
         ),
         "Bool",
     ),
     **dict.fromkeys(("net_tangible_assets", "operating_profits", "net_worths"), "List Nat"),
-    **dict.fromkeys(("monetary_asset_ratio", "percent_revenue_from_new_name", "general_corp_purpose_ratio"), "Nat"),
+    **dict.fromkeys(
+        ("monetary_asset_ratio", "percent_revenue_from_new_name", "general_corp_purpose_ratio", "sr_net_worth", "sr_voting_ratio", "sr_class_count", "shares_held_duration_months"),
+        "Nat",
+    ),
 )

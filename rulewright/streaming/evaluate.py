@@ -7,6 +7,7 @@ pass rates are sums over tumbling windows.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,16 @@ def demonstration(spark: SparkSession, path: str) -> DataFrame:
     rules = Ruleset("events", Schema.of(k="Nat"), (Rule("small", "k at most 50", "1", "k <= 50", "large"), Rule("even", "k is even", "2", "k % 2 = 0", "odd")))
     filings = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0)).alias("k"))
     long = filings.select("ts", F.inline(F.array(*[F.struct(F.lit(r.id).alias("id"), F.expr(r.check).alias("passed")) for r in rules.rules])))
-    out = f"rates_{uuid.uuid4().hex}"
-    run = pass_rates(long, width="1 day").writeStream.outputMode("complete").format("memory").queryName(out).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(out)
+    out = f"{scratch(spark)}/rates-{uuid.uuid4().hex}"
+    # Rates of all windows each time; the last batch leaves the whole result.
+    rates = pass_rates(long, width="1 day").writeStream.outputMode("complete")
+    rates.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select(F.date_format("from", "yyyy-MM-dd").alias("day"), "id", "passed", "results")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder that all of the cluster reaches: ``spark.checkpoint.dir``, or one of this machine where all of Spark runs on it."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (at or tempfile.mkdtemp(prefix="stream-")).rstrip("/")

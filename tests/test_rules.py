@@ -91,10 +91,11 @@ def test_ruleset_file_and_linter(spark):
     from rulewright.catalogue.rules import FAULTY
 
     rules = R.load("faulty", FAULTY, CORE)
-    assert [r.id for r in rules.rules] == ["R_1", "R_2", "R_2_2", "R_3", "R_4"]
-    assert [r.status for r in rules.rules] == ["ok", "stub", "not_evaluable", "tautology", "not_evaluable"]
+    assert [r.id for r in rules.rules] == ["R_1", "R_2", "R_2_2", "R_3", "R 4", "R_5"]
+    assert [r.status for r in rules.rules] == ["ok", "stub", "not_evaluable", "tautology", "not_evaluable", "not_evaluable"]
     found = {(r["id"], r["finding"].split(":")[0]) for r in R.lint(rules, rules.metadata(spark)).collect()}
-    assert found == {("R_2", "stubbed_check"), ("R_2_2", "not_evaluable"), ("R_3", "tautology"), ("R_4", "not_evaluable")}
+    assert found >= {("R_2", "stubbed_check"), ("R_2_2", "not_evaluable"), ("R_3", "tautology"), ("R 4", "wrapped_failReason"), ("R_5", "suspected_function_field_usage")}
+    assert not any(i == "R_1" for i, _ in found)
     assert rules.fields == {"is_debarred", "monetary_asset_ratio"}
 
 
@@ -115,3 +116,35 @@ def test_types_and_envelopes(spark):
     assert [r["r"] and r["r"]["k"] for r in got] == [3, 4, 0, None, None, None, -1]
     assert [r["p"] for r in got] == [None, None, "invalid filing", "invalid JSON", "invalid JSON", "invalid JSON", "invalid filing"]
     assert spark.range(1).select(coverage(form, lambda _: F.lit(None)).alias("n")).first()["n"] == 0
+
+
+def test_list_functions(spark):
+    form = Schema.of(a="List Nat", b="List Nat", n="Nat")
+    checks = {
+        "(i.a.zip i.b).any (fun p => p.1 > p.2)": [True, False],
+        "(i.a.zip i.b).length": [2, 0],
+        "(i.a.zipIdx).all (fun p => p.1 >= p.2)": [True, True],
+        "(i.a.find? (fun x => x > 2)).getD 0": [3, 0],
+        "(i.a.find? (fun x => x > 9)).isNone": [True, True],
+        "(i.a.partition (fun x => x > 2)).1.length": [1, 0],
+        "(i.a.partition (fun x => x > 2)).2.sum": [3, 0],
+        "(List.range i.n).sum": [3, 0],
+    }
+    rows = spark.createDataFrame([([1, 2, 3], [0, 5], 3), ([], [1], 0)], "a array<bigint>, b array<bigint>, n bigint").coalesce(1)
+    for check, want in checks.items():
+        sql, _ = R.compile_predicate("fun i => " + check, form)
+        assert [r[0] for r in rows.select(F.expr(sql)).collect()] == want, check
+
+
+def test_registry():
+    R.register("mine", lambda: R.load("mine", '{ id := "A  1"\n, title := "t"\n, check := fun i => i.is_debarred }', R.CORE))
+    assert R.registered() == ["core", "mine"] and [r.id for r in R.named("core").rules] == [r.id for r in R.core().rules]
+    assert R.named("mine").rules[0].id == "A 1" and R.named("mine").rules[0].fixes == ("normalized_rule_id",)
+    with pytest.raises(KeyError, match="core, mine"):
+        R.named("other")
+
+
+def test_the_core_form_is_whole():
+    assert len(R.CORE.fields) == 38
+    sr = "fun i => i.sr_net_worth == 0 ∨ (i.is_tech_firm ∧ i.sr_voting_ratio ≥ 2 ∧ i.sr_class_count == 1)"
+    assert R.compile_predicate(sr, R.CORE)[1] == {"sr_net_worth", "is_tech_firm", "sr_voting_ratio", "sr_class_count"}
