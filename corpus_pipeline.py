@@ -6,7 +6,7 @@ Each stage takes the documents that its predecessor kept (same columns as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rulewright.llm import common, decontaminate, langid, packing, secrets, simhash
@@ -19,10 +19,23 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest doc_id, of each class of near copies (five-word shingles, similarity 0.8)."""
-    kept = simhash.near_copies(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    # Rows that repeat a kept document's id: one stays.
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    """Keeps one document of each class of near copies (five-word shingles, similarity 0.8): the one with the smallest doc_id.
+
+    Of rows with one doc_id and text the one stays whose other columns, as
+    JSON, come first; rows with one doc_id and different texts are documents of
+    their own, and a null doc_id comes after all others.
+    """
+    firsts = simhash.near_copies(docs).where("first").select(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("hash").alias("_hash"))
+    # Written first, so that Spark knows how few they are before it moves texts.
+    kept = common.settle(firsts.groupBy("_none", "_id", "_hash").agg(F.count("*").alias("_rows")), "kept")
+    key = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
+    left = docs.withColumns(key).join(kept.where("_rows = 1"), [*key], "left_semi").select(*docs.columns)
+    if kept.where("_rows > 1").isEmpty():
+        return left
+    again = docs.withColumns(key).join(kept.where("_rows > 1"), [*key], "left_semi")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    one = Window.partitionBy(*key).orderBy(F.to_json(F.struct(F.lit(0).alias("_none"), *rest)))
+    return left.unionByName(again.withColumn("_number", F.row_number().over(one)).where("_number = 1").select(*docs.columns))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
