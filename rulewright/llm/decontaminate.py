@@ -307,7 +307,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["doc_id", "item_id", "edits", "windows"])
 
-        own = common.texts(docs).where("text <> ''").mapInArrow(run, "doc_id long, item_id long, edits long, windows long")
+        own = common.texts(docs).where("text <> ''").mapInArrow(common.tidily(run), "doc_id long, item_id long, edits long, windows long")
         if n > 1:
             own = common.settle(own, "matches")
             index.destroy()

@@ -133,7 +133,7 @@ def fit(docs: DataFrame, training: Column, sample: int = SAMPLE) -> Model:
                     table = counts([texts[k] for k in some]).astype("<u4")
                     yield pa.RecordBatch.from_arrays([pa.array([langs[k] for k in some]), pa.array([_sparse(row) for row in table], pa.binary())], ["lang", "counts"])
 
-    found = common.settle(chosen.mapInArrow(count, "lang string, counts binary"), "langid")
+    found = common.settle(chosen.mapInArrow(common.tidily(count), "lang string, counts binary"), "langid")
 
     def frequencies(batches):
         total, n = np.zeros(BINS, np.int64), 0
@@ -191,4 +191,4 @@ def identify(docs: DataFrame, training: Column | None = None, sample: int = SAMP
 
     from pyspark.sql.types import StructType
 
-    return rest.mapInArrow(run, StructType.fromJson(schema).add("lang_pred", "string").add("score", "double").add("rejected", "boolean"))
+    return rest.mapInArrow(common.tidily(run), StructType.fromJson(schema).add("lang_pred", "string").add("score", "double").add("rejected", "boolean"))

@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
                     out += [(doc, k, s, n, zlib.crc32(coded[s : s + n])) for k, (s, n) in enumerate(cut(coded.size, capacity))]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return common.texts(docs).mapInArrow(encode, PIECES)
+    return common.texts(docs).mapInArrow(common.tidily(encode), PIECES)
 
 
 def place(cuts: DataFrame, shards: int, capacity: int = 1024) -> DataFrame:
@@ -97,7 +97,7 @@ def place(cuts: DataFrame, shards: int, capacity: int = 1024) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([base + s for s, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())], [*batch.schema.names, "sequence_id", "offset"])
 
     dealt = cuts.repartition(shards, F.xxhash64("doc_id", "piece", "ids_crc32"))
-    return dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32").mapInArrow(pack, PLACED)
+    return dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32").mapInArrow(common.tidily(pack), PLACED)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, shards: int | None = None) -> DataFrame:

@@ -8,15 +8,18 @@ elements alone, and sizes and places rule out pairs there that cannot reach t.
 Nothing else is left out: the order changes how many pairs are met, not which
 similar pairs are.
 
-Two sets differ in at least as many elements as the parities of their hash
-buckets differ; that bound, too, only rules out pairs that are not similar.
+Each set has a digest that rules out more pairs before whole sets are read.  A
+small one's are the parities of its hash buckets: two sets differ in at least
+as many elements as these differ.  A large one's are samples, a bit of the least
+element of each of as many parts: they rule out a pair only if its similarity
+would have to lie seven standard deviations off.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -24,9 +27,11 @@ from .passages import _by_key, _starts
 
 #: Elements that are put last at most, and sets counted at once; an element is counted where OFTEN of those have it.
 HEAVY = 1 << 17
-COUNTED, OFTEN = 2000, 4
-#: Columns with the parities of 64 buckets each.
-PARITIES = ("odd0", "odd1", "odd2", "odd3")
+COUNTED, OFTEN = 512, 3
+#: Columns of a digest, 64 bits each.
+DIGEST = ("digest0", "digest1", "digest2", "digest3")
+#: Its bits, and elements of a set that has samples as its digest.
+BITS, LARGE = 64 * len(DIGEST), 400
 #: Slack for products of similarities and sizes that are whole numbers.
 _SLACK = 1e-9
 
@@ -40,22 +45,44 @@ def similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     """Whether two sets, as sorted arrays, share `similarity` of what either has."""
     if min(x.size, y.size) < similarity * max(x.size, y.size) - _SLACK:
         return False
-    shared = np.intersect1d(x, y, assume_unique=True).size
+    shared = np.intersect1d(x, y).size
     return shared >= similarity * (x.size + y.size - shared) - _SLACK
 
 
-def parities(own: np.ndarray) -> np.ndarray:
-    """Whether each bucket, by the low bits of the elements, holds an odd number of them; 64 in an integer."""
-    n = 64 * len(PARITIES)
-    odd = np.bincount((own & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def digest(own: np.ndarray) -> np.ndarray:
+    """Of a sorted set, in 64-bit integers: the parities of its buckets, or if it is large, its samples."""
+    part = (own & np.uint64(BITS - 1)).astype(np.int64)
+    if own.size < LARGE:
+        bits = np.bincount(part, minlength=BITS) & 1
+    else:
+        some, first = np.unique(part, return_index=True)
+        bits = np.zeros(BITS, np.int64)
+        bits[some] = (own[first] >> np.uint64(16) & np.uint64(1)).astype(np.int64)
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def may_be_similar(similarity: float) -> Column:
-    """Of columns n and PARITIES of two sets, with _x and _y: whether sizes and parities leave room for `similarity`."""
-    least, most = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
-    differ = sum((F.bit_count(F.col(f"{p}_x").bitwiseXOR(F.col(f"{p}_y"))) for p in PARITIES[1:]), F.bit_count(F.col(f"{PARITIES[0]}_x").bitwiseXOR(F.col(f"{PARITIES[0]}_y"))))
-    return (least >= similarity * most - _SLACK) & (differ * (1 + similarity) <= (1 - similarity) * (least + most) + _SLACK)
+def digests_allow(x: list[np.ndarray], y: list[np.ndarray], n_x: np.ndarray, n_y: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs, by sizes and digests (columns), may be similar."""
+    may = np.minimum(n_x, n_y) >= similarity * np.maximum(n_x, n_y) - _SLACK
+    differ = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(x, y, strict=True))
+    small = np.maximum(n_x, n_y) < LARGE
+    may &= ~small | (differ * (1 + similarity) <= (1 - similarity) * (n_x + n_y) + _SLACK)
+    # The least elements of a part are the same with the similarity as odds, and else half of the bits are.
+    odds = (1 - similarity) / 2
+    large = np.minimum(n_x, n_y) >= LARGE
+    return may & (~large | (differ <= BITS * odds + 7 * np.sqrt(BITS * odds * (1 - odds))))
+
+
+def packed(own: np.ndarray) -> bytes:
+    """A sorted set in five bytes an element: the high 40 bits of each."""
+    return np.ascontiguousarray(own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+
+
+def unpacked(data) -> np.ndarray:
+    five = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    out = np.zeros((five.shape[0], 8), np.uint8)
+    out[:, 3:] = five
+    return out.view("<u8").ravel()
 
 
 def frequent(sets: DataFrame, elements) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +105,7 @@ def frequent(sets: DataFrame, elements) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield flush()
 
-    most = sets.mapInArrow(run, "element long, c long").groupBy("element").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "element").limit(HEAVY).toArrow()
+    most = sets.mapInArrow(common.tidily(run), "element long, c long").groupBy("element").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "element").limit(HEAVY).toArrow()
     value, count = most.column("element").to_numpy().view(np.uint64), most.column("c").to_numpy()
     order = np.argsort(value)
     return value[order], count[order]
@@ -108,7 +135,7 @@ def prefixes(sets: DataFrame, elements, similarity: float) -> DataFrame:
         if rows:
             yield _prefix_batch(rows)
 
-    return sets.mapInArrow(run, "element long, n int, key long, at int")
+    return sets.mapInArrow(common.tidily(run), "element long, n int, key long, at int")
 
 
 def _prefix_batch(rows) -> pa.RecordBatch:
@@ -134,48 +161,65 @@ def _shared(batches):
 def meeting(sets: DataFrame, elements, similarity: float) -> DataFrame:
     """The rows of `prefixes` whose element another set has as well, in the shared folder."""
     rows = prefixes(sets, elements, similarity).repartition("element").sortWithinPartitions("element", "n", "key")
-    return common.settle(rows.mapInArrow(_shared, "element long, n int, key long, at int"), "prefixes")
+    return common.settle(rows.mapInArrow(common.tidily(_shared), "element long, n int, key long, at int"), "prefixes")
+
+
+def _most_common(first: np.ndarray, root: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Which rows have the root that most rows of their element have."""
+    order = np.lexsort((root, number))
+    runs = _starts([number[order], root[order]])
+    size = np.diff(np.append(runs, root.size))
+    of = number[order][runs]
+    best = np.lexsort((size, of))[np.append(np.flatnonzero(np.diff(np.sort(of))), of.size - 1)]  # the longest run of each element
+    return root == root[order][runs[best]][number]
 
 
 def pairs(met: DataFrame, similarity: float) -> DataFrame:
-    """(x, y), x < y: pairs of `met` (element, n, key, at, root, PARITIES) with different roots that may be similar."""
+    """(x, y), x < y: pairs of `met` (element, n, key, at, root, DIGEST) with different roots that may be similar.
+
+    Of each element's rows, those with the root that most have are only
+    compared with the others, so a large group of known copies costs no pairs
+    within itself.
+    """
 
     def run(batches):
-        for element, n, key, at, root, *odd in _by_key(batches, 1):
+        for element, n, key, at, root, *digests in _by_key(batches, 1):
             n, at = n.astype(np.int64), at.astype(np.int64)
             first = _starts([element])
-            ends = np.repeat(np.append(first[1:], element.size), np.diff(np.append(first, element.size)))
-            # Rows of an element are by size, so those that one may be similar to follow it without a gap.
-            number = np.cumsum(np.diff(element, prepend=element[:1]) != 0)
+            number = np.repeat(np.arange(first.size), np.diff(np.append(first, element.size)))
+            rare = ~_most_common(first, root, number)
+            left = np.flatnonzero(rare)
+            if not left.size:
+                continue
+            # Rows of an element are by size, so those that one may be similar to lie around it without a gap.
             most = int(n.max()) + 1
-            upto = np.minimum(ends, np.searchsorted(number * (2 * most + 2) + n, number * (2 * most + 2) + np.minimum(np.floor(n / similarity + _SLACK).astype(np.int64), 2 * most), side="right"))
-            width = upto - np.arange(n.size) - 1
+            place = number * (2 * most + 2) + n
+            low = np.searchsorted(place, number[left] * (2 * most + 2) + np.ceil(similarity * n[left] - _SLACK).astype(np.int64), side="left")
+            high = np.searchsorted(place, number[left] * (2 * most + 2) + np.minimum(np.floor(n[left] / similarity + _SLACK).astype(np.int64), 2 * most), side="right")
             found = []
-            cuts = np.append(np.arange(0, n.size, 1024), n.size)
-            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                own = np.arange(low, high)
+            for cut in range(0, left.size, 1024):
+                own, start, width = left[cut : cut + 1024], low[cut : cut + 1024], (high - low)[cut : cut + 1024]
                 # Rows with very many partners are taken in steps of bounded size.
-                for step in range(0, int(width[low:high].max()), 64):
-                    left = own[width[low:high] > step]
-                    w = np.minimum(width[left] - step, 64)
-                    i = np.repeat(left, w)
-                    j = i + 1 + step + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
-                    may = root[i] != root[j]
+                for step in range(0, int(width.max()), 64):
+                    some = width > step
+                    w = np.minimum(width[some] - step, 64)
+                    i = np.repeat(own[some], w)
+                    j = np.repeat(start[some] + step, w) + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+                    may = (root[i] != root[j]) & (~rare[j] | (i < j))
                     i, j = i[may], j[may]
                     # All before a pair's first shared element is not shared; pairs are met there, if not here.
                     may = np.minimum(n[i] - at[i], n[j] - at[j]) * (1 + similarity) >= similarity * (n[i] + n[j]) - _SLACK
                     i, j = i[may], j[may]
-                    differ = sum(np.bitwise_count((o[i] ^ o[j]).view(np.uint64)).astype(np.int64) for o in odd)
-                    may = differ * (1 + similarity) <= (1 - similarity) * (n[i] + n[j]) + _SLACK
+                    may = digests_allow([d[i] for d in digests], [d[j] for d in digests], n[i], n[j], similarity)
                     i, j = i[may], j[may]
                     found.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])]))
-                if sum(f.shape[1] for f in found) > 1 << 18:
-                    yield _pair_batch(found)
-                    found = []
+                    if sum(f.shape[1] for f in found) > 1 << 18:
+                        yield _pair_batch(found)
+                        found = []
             if found:
                 yield _pair_batch(found)
 
-    return met.repartition("element").sortWithinPartitions("element", "n", "key").mapInArrow(run, "x long, y long").distinct()
+    return met.repartition("element").sortWithinPartitions("element", "n", "key").mapInArrow(common.tidily(run), "x long, y long").distinct()
 
 
 def _pair_batch(found) -> pa.RecordBatch:

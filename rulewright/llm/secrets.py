@@ -144,7 +144,7 @@ def scan(docs: DataFrame, vocabulary: str) -> DataFrame:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], [x.split()[0] for x in RESULT.split(", ")])
 
-    return common.texts(docs).mapInArrow(run, RESULT)
+    return common.texts(docs).mapInArrow(common.tidily(run), RESULT)
 
 
 def without_secrets(docs: DataFrame, vocabulary: str, mark: str = "<secret>") -> DataFrame:
@@ -173,4 +173,4 @@ def without_secrets(docs: DataFrame, vocabulary: str, mark: str = "<secret>") ->
                 columns[n] = pa.array([None if x is None else len(x) for x in clean], batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidily(run), schema)

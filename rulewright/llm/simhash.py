@@ -280,25 +280,44 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def describe(text: str, width: int) -> tuple[int, list[int], int, np.ndarray]:
-    """(key, fingerprints, n, parities) of a text: a hash of all its words, majority bits over its distinct words, and number and parities of its shingles."""
+    """(key, fingerprints, n, digest) of a text: a hash of all its words, majority bits over its distinct words, and number and digest of its shingles."""
     words = _words(text)
     if not words.size:
-        return 0, [0] * FINGERPRINTS, 0, prefixjoin.parities(words)
+        return 0, [0] * FINGERPRINTS, 0, prefixjoin.digest(words)
     distinct, fps = np.unique(words), []
     for k in range(FINGERPRINTS):
         bits = np.unpackbits(_scramble(distinct + np.uint64(k * 0x9E3779B9)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         fps.append(int(np.packbits(2 * bits.sum(0, dtype=np.int64) > distinct.size, bitorder="little").view("<u8")[0]))
     own = shingles(words, width)
-    return _key(words), fps, int(own.size), prefixjoin.parities(own)
+    return _key(words), fps, int(own.size), prefixjoin.digest(own)
 
 
-def _similar_pairs(docs: DataFrame, keys: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(a, b): those of `pairs` (x, y) whose whole shingle sets are similar; `keys` (key, least) names a document of each text."""
+def _may_be_similar(pairs: DataFrame, classed: DataFrame, similarity: float) -> DataFrame:
+    """Those of `pairs` (x, y) that sizes and digests of `classed` allow."""
+
+    def allow(batches):
+        k = len(prefixjoin.DIGEST)
+        for batch in batches:
+            n_x, n_y, *digests = (c.to_numpy() for c in batch.columns[2:])
+            keep = prefixjoin.digests_allow(digests[:k], digests[k:], n_x.astype(np.int64), n_y.astype(np.int64), similarity)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep))
+
+    of = lambda side: classed.select(F.col("key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *prefixjoin.DIGEST)])
+    met = pairs.join(of("x"), "x").join(of("y"), "y")
+    return met.select("x", "y", "n_x", "n_y", *[f"{c}_{side}" for side in "xy" for c in prefixjoin.DIGEST]).mapInArrow(allow, "x long, y long")
+
+
+def _similar_pairs(docs: DataFrame, classed: DataFrame, pairs: DataFrame, width: int, similarity: float, once: bool) -> DataFrame:
+    """(a, b): those of `pairs` (x, y) whose whole shingle sets are similar.
+
+    `classed` (key, least) names a row of each text, `docs` has their hashes,
+    and `once` tells that no row is repeated there.
+    """
     pairs = common.settle(pairs, "candidates")
-    named = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(keys, "key")
+    named = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct().join(classed, "key")
     # Written first, so that Spark knows how few they are before it moves texts.
-    named = common.settle(named.select(F.col("least").alias("doc_id"), "key"), "named")
-    wanted = docs.join(named, "doc_id").select("key", "text")
+    named = common.settle(named.select(F.col("least.doc_id").alias("id"), F.col("least.hash").alias("of"), "key"), "named")
+    wanted = docs.join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("of"))).select("key", "text")
 
     def sets(batches):
         for batch in batches:
@@ -307,25 +326,28 @@ def _similar_pairs(docs: DataFrame, keys: DataFrame, pairs: DataFrame, width: in
                 out = []
                 for key, text in zip(keys[k : k + 500], texts[k : k + 500], strict=True):
                     words = _words(text)
-                    if _key(words) == key % (1 << 64):  # another row may have the same doc_id
-                        out.append((key, shingles(words, width).tobytes()))
+                    if _key(words) == key % (1 << 64):  # another row may have the same doc_id and hash
+                        out.append((key, prefixjoin.packed(shingles(words, width))))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["key", "own"])
 
-    own = common.settle(wanted.mapInArrow(sets, "key long, own binary").dropDuplicates(["key"]), "sets")
+    own = wanted.mapInArrow(common.tidily(sets), "key long, own binary")
+    own = common.settle(own if once else own.dropDuplicates(["key"]), "sets")
 
     def decide(batches):
         for batch in batches:
-            x, y = ((np.frombuffer(own.as_buffer(), np.uint64) for own in batch.column(k)) for k in (2, 3))
+            x, y = ((prefixjoin.unpacked(own.as_buffer()) for own in batch.column(k)) for k in (2, 3))
             keep = pa.array([prefixjoin.similar(a, b, similarity) for a, b in zip(x, y, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
     told = pairs.join(own.select(F.col("key").alias("x"), F.col("own").alias("of_x")), "x").join(own.select(F.col("key").alias("y"), F.col("own").alias("of_y")), "y")
-    return common.settle(told.select("x", "y", "of_x", "of_y").mapInArrow(decide, "a long, b long"), "near")
+    near = common.settle(told.select("x", "y", "of_x", "of_y").mapInArrow(common.tidily(decide), "a long, b long"), "near")
+    common.discard(pairs, named, own)
+    return near
 
 
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id of every row of `docs`: classes of documents that share `similarity` of their word shingles.
+    """doc_id, hash, component_id and first of every row of `docs`: classes of documents that share `similarity` of their word shingles.
 
     Most classes come from the grid: candidates are texts of which one of
     FINGERPRINTS fingerprints, taken over distinct words, is within its
@@ -333,17 +355,24 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     met through a third), so a prefix-filtered join of the shingles then finds
     every pair between different classes that may be similar.  The whole
     shingle sets of both texts decide each candidate.  Texts with the same
-    words are equal; all texts without words are.  component_id is the
-    smallest doc_id of the class.
+    words are equal; all texts without words are (null, empty and blank ones).
+
+    `hash` is the xxhash64 of the text (null: of the empty one), component_id
+    the smallest doc_id of the class, null if its rows have none, and `first`
+    marks the row of a class with that doc_id, of several the one with the
+    smallest hash.  Rows that repeat a doc_id are documents of their own;
+    whole repeated rows are all marked.  An empty table gives no rows, other
+    columns are ignored.
     """
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for k in range(0, len(texts), 500):
-                key, fps, n, odd = zip(*(describe(x, width) for x in texts[k : k + 500]), strict=True)
+                key, fps, n, digest = zip(*(describe(x, width) for x in texts[k : k + 500]), strict=True)
                 signed = np.array(fps, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), _signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(n, pa.int32()), *map(pa.array, np.array(odd).T.copy())], ["doc_id", "key", "fps", "n", *prefixjoin.PARITIES])
+                own = [_signed(key), pa.array(list(signed), pa.list_(pa.int64())), pa.array(n, pa.int32()), *map(pa.array, np.array(digest).T.copy())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, len(key)), batch.column(2).slice(k, len(key)), *own], ["doc_id", "hash", "key", "fps", "n", *prefixjoin.DIGEST])
 
     def elements(batches):
         for batch in batches:
@@ -351,26 +380,28 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
                 words = _words(text)
                 yield _key(words), shingles(words, width)
 
-    whole = common.texts(docs)
-    own = common.settle(whole.mapInArrow(run, "doc_id long, key long, fps array<long>, n int, " + ", ".join(f"{p} long" for p in prefixjoin.PARITIES)), "described")
-    classed = common.settle(own.groupBy("key").agg(F.min("doc_id").alias("least"), *[F.first(x).alias(x) for x in ("n", "fps", *prefixjoin.PARITIES)]), "distinct")
+    whole = common.texts(docs).withColumn("hash", F.xxhash64("text"))
+    own = common.settle(whole.mapInArrow(common.tidily(run), "doc_id long, hash long, key long, fps array<long>, n int, " + ", ".join(f"{c} long" for c in prefixjoin.DIGEST)), "described")
+    once = own.groupBy("doc_id", "hash").count().where("count > 1").isEmpty()
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    classed = common.settle(own.groupBy("key").agg(F.min(row).alias("least"), *[F.first(x).alias(x) for x in ("n", "fps", *prefixjoin.DIGEST)]), "distinct")
     at = classed.select("key", F.explode("fps").alias("fp")).distinct()
     speaks = at.groupBy("fp").agg(F.min("key").alias("rep"))
     found = links(speaks.select("fp"))
     between = found.join(speaks.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(speaks.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b").select("x", "y")
     equal = at.join(speaks, "fp").select(F.col("rep").alias("x"), F.col("key").alias("y"))
     pairs = between.unionByName(equal).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    of = lambda side: classed.select(*[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", *prefixjoin.PARITIES)]).withColumnRenamed(f"key_{side}", side)
-    alike = pairs.join(of("x"), "x").join(of("y"), "y").where(prefixjoin.may_be_similar(similarity)).select("x", "y")
-    odd = classed.select("key", *prefixjoin.PARITIES)
-    classed = classed.select("key", "least")
-    sure = _similar_pairs(whole, classed, alike, width, similarity)
+    sure = _similar_pairs(whole, classed, _may_be_similar(pairs, classed, similarity), width, similarity, once)
     # What the grid leaves apart meets at the first shingles of both.
     roots = common.settle(graph.components(sure).withColumnRenamed("node", "key"), "classes")
-    met = prefixjoin.meeting(whole.select("text"), elements, similarity).join(odd, "key").join(roots, "key", "left")
-    met = met.select("element", "n", "key", "at", F.coalesce("root", "key").alias("root"), *prefixjoin.PARITIES)
-    more = _similar_pairs(whole, classed, prefixjoin.pairs(met, similarity), width, similarity)
+    shared = prefixjoin.meeting(whole.select("text"), elements, similarity)
+    met = shared.join(classed.select("key", *prefixjoin.DIGEST), "key").join(roots, "key", "left")
+    met = met.select("element", "n", "key", "at", F.coalesce("root", "key").alias("root"), *prefixjoin.DIGEST)
+    more = _similar_pairs(whole, classed, prefixjoin.pairs(met, similarity), width, similarity, once)
+    common.discard(shared)
     roots = graph.components(sure.unionByName(more)).withColumnRenamed("node", "key")
-    classed = classed.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    first = classed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.select("doc_id", "key").join(classed.join(first, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
+    classed = classed.select("key", "least").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    firsts = classed.groupBy("root").agg(F.min("least").alias("first"))
+    told = own.select("doc_id", "hash", "key").join(classed.join(firsts, "root").select("key", "first"), "key")
+    mark = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
+    return told.select("doc_id", "hash", F.col("first.doc_id").alias("component_id"), mark.alias("first"))

@@ -17,7 +17,7 @@ import unicodedata
 import numpy as np
 
 #: Words kept before the table starts afresh; bounds a worker's memory.
-MAX_WORDS = 1 << 21
+MAX_WORDS = 1 << 20
 #: Characters handled at once.
 BATCH_CHARS = 1 << 20
 #: Longer words are never hashed.
