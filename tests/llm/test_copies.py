@@ -100,7 +100,7 @@ def test_chains():
     x = [0, 5, 10, 30, 36, 42, 200, 205]
     y = [100, 105, 110, 131, 137, 143, 20, 25]
     found = passages.chains(np.array(x), np.array(y))
-    assert found[0] == [(0, 10, 100), (30, 42, 101)] and len(found) == 1  # the last two are too short for a chain
+    assert found == [[(0, 10, 100), (30, 42, 101)], [(200, 205, -180)]]
 
 
 def test_fenwick():
@@ -134,6 +134,153 @@ def test_passages(documents, prose, words):
     assert passages.repeats(documents(*rows).limit(0)).count() == 0
 
 
+def crowd(prose, words):
+    """Texts with passages in common: boilerplate that most have, passages built of two pieces that others have alone, pairs, and edited copies in a group."""
+    common_line, left, right = prose(30, 1), prose(30, 2), prose(30, 3)
+    filler = lambda k, n=60: prose(n, 20_000 + k)
+    rows, planted = [], []
+
+    def add(doc, *pieces):
+        text, at = [], 0
+        for piece, name in pieces:
+            n = len(piece.split())
+            if name:
+                planted.append((name, doc, at, at + n))
+            text.append(piece)
+            at += n
+        rows.append((doc, " ".join(text)))
+
+    for k in range(120):
+        add(k, (filler(k), None), (common_line, None), (filler(1000 + k), None))
+    for k in range(40):
+        add(200 + k, (filler(2000 + k), None), (left, None), (filler(3000 + k), None))
+        add(300 + k, (filler(4000 + k), None), (right, None), (filler(5000 + k), None))
+    for k in range(3):  # 60 words, of which many texts have one half
+        add(400 + k, (filler(6000 + k), None), (f"{left} {right}", "built"), (filler(7000 + k), None))
+    for k in range(20):
+        shared = prose(50 + 3 * k, 8000 + k)
+        add(500 + 2 * k, (filler(9000 + k, 5 * k), None), (shared, f"pair{k}"), (filler(9100 + k), None))
+        add(501 + 2 * k, (filler(9200 + k, 90 - 4 * k), None), (shared, f"pair{k}"))
+    # Two passages with other words between them, in two texts: neither is lost by the other.
+    one, two = prose(55, 8101), prose(55, 8102)
+    for k in range(2):
+        add(600 + k, (filler(9300 + k), None), (one, "one"), (filler(9400 + k, 40), None), (two, "two"), (filler(9500 + k), None))
+    return rows, planted
+
+
+def found_spans(documents, rows):
+    spans = {}
+    for r in passages.repeats(documents(*rows)).collect():
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["passage"]))
+    return spans
+
+
+def misses(spans, planted, part=1.0):
+    """Planted places of which less than `part` lies in a span, and names whose places are in several classes."""
+    lost, classes = [], {}
+    for name, doc, start, end in planted:
+        best = max(((min(e, end) - max(s, start), c) for s, e, c in spans.get(doc, [])), default=(0, None))
+        if best[0] < part * (end - start):
+            lost.append((name, doc, best[0], end - start))
+        else:
+            classes.setdefault(name, set()).add(best[1])
+    return lost, [n for n, c in classes.items() if len(c) > 1]
+
+
+@pytest.mark.parametrize("hot", [passages.HOT, 4])
+def test_passages_in_a_crowd(documents, prose, words, monkeypatch, hot):
+    """All exact passages, with usual groups and with all larger ones divided."""
+    monkeypatch.setattr(passages, "HOT", hot)
+    rows, planted = crowd(prose, words)
+    spans = found_spans(documents, rows)
+    lost, torn = misses(spans, planted, 0.96)
+    assert not lost and not torn
+    assert set(spans) == {doc for _, doc, _, _ in planted}
+
+
+def test_all_exact_repeats_are_covered(documents, prose, words):
+    """Whatever run of 50 words two different texts share lies in spans of both."""
+    rows, _ = crowd(prose, words)
+    rows += [(900 + k, f"{prose(70, 11)} {prose(20 + k, 12)} {changed(prose(200, 13), words, 3 + k, k)}") for k in range(12)]
+    spans, seen = found_spans(documents, rows), {}
+    for doc, text in rows:
+        own = text.lower().split()
+        for at in range(len(own) - 49):
+            seen.setdefault(tuple(own[at : at + 50]), set()).add((doc, at))
+    shared = [place for places in seen.values() if len({d for d, _ in places}) > 1 for place in places]
+    assert len(shared) > 500
+    covered = lambda doc, at: any(s <= at + 2 and at + 48 <= e for s, e, _ in spans.get(doc, []))
+    assert all(covered(*place) for place in shared)
+
+
+def edited_words(text, words, share, seed):
+    """Words replaced, left out or put in."""
+    chance, out = random.Random(seed), []
+    for w in text.split():
+        if chance.random() >= share:
+            out.append(w)
+        else:
+            out += chance.choice(([chance.choice(words)], [], [w, chance.choice(words)]))
+    return " ".join(out)
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.05, 0.97), (0.1, 0.9)])
+def test_fuzzy_passages(documents, prose, words, share, least):
+    """Edited copies, in pairs and in a group: how many are found, and in one class."""
+    rows, planted = [], []
+    for k in range(60):
+        original = prose(60 + k, 30_000 + k)
+        for side in (0, 1):
+            copy, before = (edited_words(original, words, share, k) if side else original), prose(40, 31_000 + 2 * k + side)
+            rows.append((2 * k + side, f"{before} {copy} {prose(30, 32_000 + 2 * k + side)}"))
+            planted.append((f"pair{k}", 2 * k + side, 40, 40 + len(copy.split())))
+    original = prose(80, 33_000)
+    for k in range(80):
+        copy = edited_words(original, words, share / 2, 500 + k)
+        rows.append((1000 + k, f"{prose(30, 34_000 + k)} {copy} {prose(30, 35_000 + k)}"))
+        planted.append(("group", 1000 + k, 30, 30 + len(copy.split())))
+    lost, torn = misses(found_spans(documents, rows), planted, 0.75)
+    assert len(lost) <= (1 - least) * len(planted) and not torn
+
+
+def test_alignment_goes_on_beyond_the_slices(documents, prose, words, monkeypatch):
+    """Long copies whose seeds are few: ends far from any chain are still found."""
+    monkeypatch.setattr(passages, "MARGIN", 4)
+    shared = prose(400, 40_000)
+    rows = [(k, f"{prose(50, 41_000 + k)} {shared} {prose(50, 42_000 + k)}") for k in range(3)]
+    lost, torn = misses(found_spans(documents, rows), [("all", k, 50, 450) for k in range(3)], 0.99)
+    assert not lost and not torn
+
+
+def test_alike():
+    """Passages made of runs (place, place, words)."""
+    alike = lambda *runs: [(s, e, n) for s, e, _, _, n in passages.alike(*np.array(runs, np.int64).reshape(-1, 3).T)]
+    assert alike((0, 7, 55), (95, 102, 55)) == [(0, 55, 55), (95, 150, 55)]  # 110 of 150 words are too few, each part is enough
+    assert alike((0, 0, 45), *[(46 + 4 * k, 46 + 4 * k, 2) for k in range(5)]) == []  # half of the words after 45 are no reason to call them 50
+    assert alike((0, 0, 50)) == [(0, 50, 50)] and alike((0, 0, 49)) == [] and alike() == []
+    assert alike(*[(8 * k, 8 * k, 7) for k in range(15)]) == [(0, 119, 105)]
+    assert alike((0, 0, 30), (30, 32, 30)) == [(0, 60, 60)]  # two words more in the other text
+    assert alike((0, 0, 30), (28, 30, 30)) == [(0, 58, 58)]  # a run that begins again within the one before
+
+
+def test_runs():
+    chance = random.Random(1)
+    for _ in range(30):
+        a = np.array([chance.randrange(6) for _ in range(40)], np.uint64)
+        b = np.array([chance.randrange(6) for _ in range(45)], np.uint64)
+        want = set()
+        for d in range(2 - passages.SHIFT, 3 + passages.SHIFT):
+            x = 0
+            while x < a.size:
+                e = x
+                while e < a.size and 0 <= e + d < b.size and a[e] == b[e + d]:
+                    e += 1
+                if e - x >= (1 if d == 2 else passages.RUN):
+                    want.add((x, x + d, e - x))
+                x = max(e, x + 1)
+        assert {tuple(map(int, r)) for r in zip(*passages.runs(a, b, [(10, 12, 2)]), strict=True)} == want
+
+
 def seatings(n, d):
     """For each number of tables, the sum over all seatings of n customers of the products that sizes contribute."""
     row = {1: 1.0}
