@@ -128,7 +128,9 @@ def judge(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = Non
         nodes = graph.components(edges).withColumn("own", decide(rules, host(F.col("node")), path(F.col("node")))["action"])
         spoken = nodes.groupBy("root").agg(F.min("own").alias("said"))  # "allow" sorts before "block"
         nodes = nodes.join(spoken.where("said is not null"), "root").select("node", "said")
-        rows = rows.join(nodes, "node", "left")
+        # Urls that are no node would all meet in one task; they get keys that no node has.
+        apart = F.concat(F.lit("#"), F.pmod(F.xxhash64("page_id"), F.lit(4096)).cast("string"))
+        rows = rows.withColumn("node", F.coalesce("node", apart)).join(nodes, "node", "left")
         said = F.col("said")
     verdict = F.coalesce(F.col("own.action"), said, F.lit(ALLOW))
     reason = F.when(F.col("own").isNotNull(), "rule").when(said.isNotNull(), "alias").otherwise("default")

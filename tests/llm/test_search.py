@@ -245,6 +245,54 @@ def test_url_filters(spark):
     assert plain(urlfilter.judge(table, RULES).collect()) == plain(con.execute(urlsql.oracle(RULES)).fetchall())
 
 
+def test_url_filters_over_long_chains_and_hubs(spark):
+    """Redirect chains, a page that thousands name as canonical, cycles and urls that are none, against plain union-find."""
+    chance, pages, edges = random.Random(4), [], []
+    page = lambda url, html=None: pages.append((len(pages), url, html))
+    for c in range(60):  # chains of up to 60 steps; some end at a blocked or an allowed url
+        urls = [f"http://c{c}.com/p{k}" for k in range(chance.randint(1, 60))] + [f"http://x.{chance.choice(['net/y', 'example.net/en/z', 'org/fr/1', 'org/q'])}{c}"]
+        for a, b in zip(urls, urls[1:], strict=False):
+            page(a, f'<meta http-equiv="refresh" content="0; url={b}">')
+            edges.append((a, b))
+        page(urls[-1])
+        if c % 5 == 0:  # a cycle
+            page(urls[-1], f"<link rel='canonical' href='{urls[0]}'>")
+            edges.append((urls[-1], urls[0]))
+    for hub, n in (("http://hub.com/", 3000), ("http://free.com/", 800)):
+        for k in range(n):
+            page(f"{hub}{k}", f'<link rel="canonical" href="{hub}">')
+            edges.append((f"{hub}{k}", hub))
+    for a, b in (("http://hub.com/77", "http://b.net/x"), ("http://free.com/5", "http://b.net/y"), ("http://free.com/6", "http://a.example.net/en/")):
+        page(a, f'<link rel="canonical" href="{b}">')
+        edges.append((a, b))
+    for k in range(2000):
+        page(None if k % 2 else "no url", "<link rel=canonical href='http://b.net/'>")
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[find(a)] = find(b)
+
+    def own(url):
+        host, slash, path = url.split("://", 1)[1].partition("/")
+        fits = [x for x in RULES if (host == x.host or host.endswith("." + x.host)) and (slash + path).startswith(x.path)]
+        return max(fits, key=lambda x: len(x.host + x.path)).action if fits else None
+
+    said = {}
+    for x in [*parent]:
+        said.setdefault(find(x), set()).add(own(x))
+    verdict = lambda url: "allow" if not url or "://" not in url else own(url) or next((a for a in ("allow", "block") if a in said.get(find(url), ())), "allow")
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {x["page_id"]: x["verdict"] for x in urlfilter.judge(table, RULES).collect()}
+    assert got == {k: verdict(url) for k, url, _ in pages}
+    assert {got[k] for k, url, _ in pages if url and url.startswith("http://hub.com/")} == {"block"} and {got[k] for k, url, _ in pages if url and url.startswith("http://free.com/")} == {"allow"}
+
+
 def test_language_id(documents, spark):
     chance = random.Random(2)
     sound = {"xx": ["ka", "to", "mi", "ru"], "yy": ["ßen", "ich", "und", "ös"], "zz": ["ció", "ñas", "los", "que"]}
