@@ -70,8 +70,13 @@ def lookup(value: Column, table: dict[str, str], default: str) -> Column:
 
 
 def with_hierarchy(rules: DataFrame, places: DataFrame, rule_id: str = "rule_id") -> DataFrame:
-    """`rules` with number and the columns of `places` (reg, …); what isn't found has nulls.  The dimension is small; Spark broadcasts it by its size."""
-    placed = rules.withColumn("number", T.dotted_number(F.col(rule_id))).withColumn("reg", T.top_regulation(F.col(rule_id)))
+    """`rules` with number and the columns of `places` (reg, …); what isn't found, null ids included, has nulls.
+
+    Of clashing names, the new columns replace those of `rules`.  The
+    dimension is small; Spark broadcasts it by its size.
+    """
+    new = {"number", *places.columns}
+    placed = rules.select(*[F.col(f"`{c}`") for c in rules.columns if c not in new or c == rule_id], T.dotted_number(F.col(rule_id)).alias("number"), T.top_regulation(F.col(rule_id)).alias("reg"))
     return placed.join(places, "reg", "left")
 
 

@@ -31,13 +31,13 @@ def confidence(from_table: Column, quote: Column) -> Column:
 
 
 def chosen(evidence: DataFrame, key: str = "field") -> DataFrame:
-    """The piece of each field with the least source_priority, then the highest confidence, then the first."""
+    """The piece of each field with the least source_priority, then the highest confidence, then the first by `ordinal`; a null field is one like any other, null priorities come first."""
     w = Window.partitionBy(key).orderBy("source_priority", F.desc("confidence"), "ordinal")
     return evidence.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
 def parse_rates(evidence: DataFrame, key: str = "field") -> DataFrame:
-    """Of each field, the share of its evidence that parses as each type, and that is missing."""
+    """Of each field, the share of its evidence that parses as each type, and that is missing; fields without evidence aren't there."""
     c = F.col("candidate")
     rate = lambda cond: F.round(F.avg(cond.cast("double")), 6)
     return evidence.groupBy(key).agg(F.count("*").alias("n"), rate(c["bool"].isNotNull()).alias("bool_rate"), rate(c["nat"].isNotNull()).alias("nat_rate"), rate(c["nats"].isNotNull()).alias("list_rate"), rate(c["text"].isNull()).alias("missing_rate"))
@@ -79,7 +79,7 @@ def table_cells(tables: DataFrame) -> DataFrame:
 
 
 def newest(cells: DataFrame, key: list[str], year: str, n: int = 3) -> DataFrame:
-    """key and values of the newest `n` years, newest first."""
+    """key and values of the newest `n` years, newest first; a year that is there twice counts twice, larger value first, and a null year is the oldest."""
     listed = F.slice(F.sort_array(F.collect_list(F.struct(year, "value")), asc=False), 1, n)
     return cells.groupBy(*key).agg(listed.alias("v")).select(*key, F.col("v.value").alias("values"))
 

@@ -13,7 +13,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def compared(gold: DataFrame, found: DataFrame, key: str = "rule_id", *also: str) -> DataFrame:
-    """key, in_gold, in_found of the distinct ids of both."""
+    """key, in_gold, in_found of the distinct ids of both; a null id of one side never equals one of the other."""
     a = gold.select(key, *also).distinct().withColumn("in_gold", F.lit(True))
     b = found.select(key, *also).distinct().withColumn("in_found", F.lit(True))
     both = a.join(b, [key, *also], "full_outer")
@@ -33,7 +33,7 @@ def scores(both: DataFrame) -> DataFrame:
 
 
 def by_group(both: DataFrame, group: str, key: str = "rule_id") -> DataFrame:
-    """Counts and sorted id lists (as text) of each group."""
+    """Counts and sorted id lists (as text) of each group, which must be as small as a regulation's; lists are empty, not null."""
     listed = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col(key)))), ",")
     return both.groupBy(group).agg(F.count_if("in_gold").alias("gold"), *counts(), listed(F.col("in_gold") & ~F.col("in_found")).alias("missing"), listed(~F.col("in_gold") & F.col("in_found")).alias("extra"))
 
@@ -105,7 +105,7 @@ def status(score: Column, hard: Column, fixed: Column, accept: float = 0.8, fix:
 
 
 def last_iteration(reports: DataFrame, key: list[str], iteration: str) -> DataFrame:
-    """The row of each key with the highest iteration."""
+    """The row of each key with the highest iteration; of equal ones any, and of rows whose iteration is null, null columns."""
     rest = [c for c in reports.columns if c not in key]
     return reports.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(iteration)).alias("r")).select(*key, "r.*")
 

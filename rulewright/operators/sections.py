@@ -24,7 +24,7 @@ def split_at(text: Column, pattern: str, groups: int) -> Column:
 
 
 def sections(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """key, number, title, body of every section."""
+    """key, section (its place), number, title and body of every section; null and empty texts, and those without a header, have none."""
     normal = docs.select(key, once(T.normalise(F.col(text))).alias("t"))
     first = normal.select(key, "t", once(split_at(F.col("t"), HEADER, 2)).alias("found"))
     both = first.select(key, F.when(F.size("found") > 0, F.col("found")).otherwise(split_at(F.col("t"), PLAIN_HEADER, 2)).alias("found"))
@@ -33,7 +33,7 @@ def sections(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def clauses(found: DataFrame, key: str, low: int | None = None, high: int | None = None) -> DataFrame:
-    """key, rule_id, title, text of the rules of sections: one for a section without clauses, else one for each clause, or for each sub-clause of one that has some."""
+    """key, rule_id, title, text of the rules of sections: one for a section without clauses, else one for each clause, or for each sub-clause of one that has some.  Clauses without text, or with a null one, are left out."""
     if low is not None:
         found = found.where(F.col("number") >= low)
     if high is not None:
@@ -60,7 +60,7 @@ def visible(text: Column) -> Column:
 def page_windows(pages: DataFrame, doc: str, page: str, width: int = 2, overlap: int = 1, first: int | None = None) -> DataFrame:
     """doc, start, page: the pages of each window of `width` pages, `overlap` of them shared; windows begin at pages that are there.
 
-    A page names the windows it may belong to; an equi-join keeps those that begin at a page.
+    A page names the windows it may belong to.  Null pages are in no window, repeated ones in each as often, and an empty table has none.
     """
     step = width - overlap
     if first is not None:
