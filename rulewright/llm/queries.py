@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, mixsql, packing, passages, pitmanyor, prefixhash, secrets, simhash, urlfilter, urlsql, wavelet
+from . import centroids, centroidsql, decontaminate, langid, merkle, merklesql, mixing, mixsql, packing, passages, pitmanyor, prefixhash, secrets, simhash, urlfilter, urlsql, wavelet
 from .common import remainder, table
 
 
@@ -66,13 +66,21 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filters": urlsql.oracle(URL_RULES), "op12_mix_sources": mixsql.oracle()}
+    return {"op9_url_filters": urlsql.oracle(URL_RULES), "op11_centroid_clustering": centroidsql.oracle(), "op12_mix_sources": mixsql.oracle(), "op13_merkle_manifest": merklesql.oracle()}
