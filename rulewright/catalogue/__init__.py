@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import evidence, extraction, rules
+from . import evidence, extraction, propositions, rules
 
-_PARTS = (rules, extraction, evidence)
+_PARTS = (rules, propositions, extraction, evidence)
 
 
 def queries() -> dict:
