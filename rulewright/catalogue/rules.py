@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
 from ..operators import quality
+from ..plans import quantifiers as Q
 from ..plans import rules as R
 from ..plans.schema import Schema
 from . import base
@@ -346,3 +347,45 @@ def q47(spark, d):
 )
 def q48(spark, d):
     return quality.histogram(R.load("faulty", FAULTY, R.CORE).metadata(spark), "fixes", "fix")
+
+
+def _entries(rows, name: str):
+    """The entries of a list of filings as rows of their own."""
+    return Q.Relation(rows.select("s_suppkey", F.inline(name)) if name in ("securities", "payments") else rows.select("s_suppkey", F.explode(name).alias("value")), "s_suppkey")
+
+
+@query("q16c_rules_over_rows", ORACLES["q16b_theta_exists_in_rules"])
+def q16c(spark, d):
+    lists = table(spark, d, "supplier").select("s_suppkey", *[F.expr(e).alias(n) for n, (e, _) in _TRADES_SQL.items()])
+    checks = {
+        "all_below": "fun i => i.securities.all (fun s => i.payments.any (fun p => p.id == s.id && p.price < s.price))",
+        "two_levels": "fun i => i.securities.any (fun s => i.held.any (fun h => h == s.id && i.payments.any (fun p => p.id == h)))",
+        "contained": "fun i => i.held.all (fun h => i.known.contains h)",
+    }
+    return Q.evaluate(lists.select("s_suppkey"), {n: _entries(lists, n) for n in _TRADES_SQL}, checks, "s_suppkey")
+
+
+@query(
+    "q16d_rules_over_tables",
+    """WITH o AS (SELECT o_custkey k, o_orderkey id, CAST(round(o_totalprice * 100) AS BIGINT) price, o_orderstatus status FROM orders),
+    l AS (SELECT k, l_orderkey id, l_linenumber line, CAST(round(l_extendedprice * 100) AS BIGINT) paid, l_returnflag flag, CAST(l_quantity AS BIGINT) quantity, l_suppkey supplier FROM lineitem JOIN o ON l_orderkey = o.id)
+    SELECT c_custkey, NOT EXISTS (SELECT 1 FROM o WHERE k = c_custkey AND NOT EXISTS (SELECT 1 FROM l WHERE l.id = o.id AND l.paid < o.price)) AS each_has_a_smaller,
+    EXISTS (SELECT 1 FROM o JOIN l ON l.id = o.id WHERE o.k = c_custkey AND l.paid > o.price AND l.quantity >= 45 AND l.flag <> 'N') AS overpaid,
+    NOT EXISTS (SELECT 1 FROM l WHERE l.k = c_custkey AND l.flag = 'R' AND c_acctbal < 0) AS none_returned_in_debt,
+    EXISTS (SELECT 1 FROM o a JOIN o b ON a.k = b.k WHERE a.k = c_custkey AND a.status = 'F' AND b.price > a.price AND b.id < a.id) AS earlier_and_dearer,
+    NOT EXISTS (SELECT 1 FROM o WHERE o.k = c_custkey) AS idle FROM customer""",
+)
+def q16d(spark, d):
+    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id"), cents("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), cents("l_extendedprice").alias("paid"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").cast("bigint").alias("quantity"))
+    lines = lines.join(orders.select("id", "k"), "id")
+    customers = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") < 0).alias("in_debt"))
+    checks = {
+        "each_has_a_smaller": "fun i => i.orders.all (fun o => i.lines.any (fun l => l.id == o.id && l.paid < o.price))",
+        "overpaid": 'fun i => i.orders.any (fun o => i.lines.any (fun l => l.id == o.id && l.paid > o.price && l.quantity >= 45 && l.flag != "N"))',
+        "none_returned_in_debt": 'fun i => !(i.in_debt && i.lines.any (fun l => l.flag == "R"))',
+        "earlier_and_dearer": 'fun i => i.orders.any (fun a => a.status == "F" && i.orders.any (fun b => b.price > a.price && b.id < a.id))',
+        "idle": "fun i => i.orders.isEmpty",
+    }
+    return Q.evaluate(customers, {"orders": Q.Relation(orders, "k"), "lines": Q.Relation(lines, "k")}, checks, "c_custkey")
