@@ -65,6 +65,35 @@ def q21(spark, d):
     return windows.groupBy("doc_id", "start").agg(F.count("*").alias("pages"), F.sum(F.length("line")).cast("bigint").alias("chars"), F.array_join(F.array_sort(F.array_distinct(F.collect_list(F.substring("line", 1, 1)))), "").alias("visible"))
 
 
+#: Lines of a page of a regulation text.
+PAGE_LINES = 3
+#: Pages of the regulation texts and the headings on them, found by the place of a heading among the lines: two labels of four stand on lines of their own.
+_PAGES_SQL = f"""src AS (SELECT doc_id, CAST(i AS BIGINT) i, n FROM (SELECT doc_id, i, doc_id % 20 + i // 4 + 1 AS n FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents))),
+heads AS (SELECT doc_id, (i + (i + 3) // 4 + (i + 1) // 4) // {PAGE_LINES} + 1 AS page, n FROM src WHERE i % 4 = 0),
+size AS (SELECT doc_id, (max(i) + 1) + (max(i) + 4) // 4 + (max(i) + 2) // 4 AS lines FROM src GROUP BY doc_id),
+page AS (SELECT doc_id, unnest(range(1, (lines - 1) // {PAGE_LINES} + 2)) AS page FROM size),
+regs AS (SELECT doc_id, page, n FROM heads UNION SELECT p.doc_id, p.page, max(h.n) FROM page p JOIN heads h ON h.doc_id = p.doc_id AND h.page < p.page GROUP BY p.doc_id, p.page)"""
+
+
+def regulation_pages(spark, d):
+    """doc_id, page and text: the regulation texts in pages of a few lines, so that most show no heading."""
+    lines = F.split("text", "\n")
+    pages = regulations(spark, d).select("doc_id", once(lines).alias("lines"))
+    at = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / PAGE_LINES).cast("int"))
+    return pages.select("doc_id", F.posexplode(F.transform(at, lambda k: F.array_join(F.slice("lines", k * PAGE_LINES + 1, PAGE_LINES), "\n"))).alias("k", "text")).select("doc_id", (F.col("k") + 1).alias("page"), "text")
+
+
+@query(
+    "q21b_regulations_in_force",
+    f"""WITH {_PAGES_SQL}, w AS (SELECT DISTINCT doc_id, page AS start FROM page), u AS (SELECT w.doc_id, w.start, r.n FROM w LEFT JOIN regs r ON r.doc_id = w.doc_id AND r.page BETWEEN w.start AND w.start + 1)
+    SELECT doc_id, CAST(start AS INTEGER) AS start, coalesce(array_to_string(list_sort(list_distinct(list(CAST(n AS VARCHAR)))), ','), '') AS regulations FROM u GROUP BY ALL""",
+)
+def q21b(spark, d):
+    pages = sections.in_force(regulation_pages(spark, d), "doc_id", "page").select("doc_id", "page", "regulations")
+    found = sections.window_regulations(sections.page_windows(pages, "doc_id", "page", 2, 1), "doc_id")
+    return found.select("doc_id", "start", F.array_join("regulations", ",").alias("regulations"))
+
+
 _NORMAL_SQL = r"regexp_replace(regexp_replace(regexp_replace(replace(text, chr(13), ''), '(?m)[ \t]+$', '', 'g'), '\n(?:\s*\n)+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
 
 
@@ -216,6 +245,44 @@ def q33(spark, d):
     return found.select("doc_id", "span", "anchored", F.when(F.col("anchored"), 90).otherwise(70).cast("bigint").alias("confidence_pct"), F.concat_ws(",", F.when(F.col("span") == "none", "hard:span"), F.when(~F.col("anchored"), "soft:anchor")).alias("failures"))
 
 
+#: The page that a rule claims to stand on: its own for some, others before or after it, or past the end.
+_CLAIMED = "(doc_id * 7 + section * 3) % (doc_id % 5 + section + 3) + 1"
+
+
+@query(
+    "q33c_anchors_on_pages",
+    f"""WITH {_PAGES_SQL}, c AS (SELECT DISTINCT doc_id, i // 4 AS section, n FROM src WHERE i % 4 > 0 OR NOT EXISTS (SELECT 1 FROM src s WHERE s.doc_id = src.doc_id AND s.i = src.i + 1)),
+    k AS (SELECT doc_id, section, n, {_CLAIMED} AS claimed FROM c), a AS (SELECT k.*, p.page IS NOT NULL AS there, EXISTS (SELECT 1 FROM regs r WHERE r.doc_id = k.doc_id AND r.page = claimed AND r.n = k.n) AS hit FROM k LEFT JOIN page p ON p.doc_id = k.doc_id AND p.page = claimed)
+    SELECT doc_id, CAST(section AS INTEGER) AS section, CAST(n AS VARCHAR) AS regulation, CAST(claimed AS INTEGER) AS page, hit AS anchored, CASE WHEN NOT there THEN 'soft:no_page' WHEN NOT hit THEN 'soft:anchor' END AS failure, CAST(CASE WHEN hit THEN 90 ELSE 70 END AS BIGINT) AS confidence_pct FROM a""",
+)
+def q33c(spark, d):
+    claims = clause_rows(spark, d).select("doc_id", "section", F.split_part("rule_id", F.lit("_"), F.lit(2)).alias("regulation")).distinct().withColumn("page", F.expr(_CLAIMED).cast("int"))
+    pages = sections.in_force(regulation_pages(spark, d), "doc_id", "page")
+    found = sections.anchored(claims, pages, "doc_id", "page", "regulation")
+    return found.select("doc_id", "section", "regulation", "page", "anchored", F.col("anchor_failure").alias("failure"), F.when(F.col("anchored"), 90).otherwise(70).cast("bigint").alias("confidence_pct"))
+
+
+#: Hints of documents: as they stand, in capitals with wider blanks, with characters put in and left out, and backwards; the texts in ASCII, as the oracle counts edits in bytes.
+_HINTS = """CASE doc_id % 4 WHEN 0 THEN substr(t, 5, 30) WHEN 1 THEN upper(replace(substr(t, 3, 28), ' ', '  ')) WHEN 2 THEN concat(substr(t, 40, 12), 'zq', substr(t, 53, 12)) ELSE reverse(substr(t, 20, 24)) END"""
+
+
+@query(
+    "q33b_fuzzy_spans",
+    rf"""WITH a AS (SELECT doc_id, regexp_replace(text, '[^\n -~]', '?', 'g') AS t FROM documents), h AS (SELECT doc_id, t, {_HINTS} AS h FROM a),
+    f AS (SELECT doc_id, contains(t, h) AS strict, regexp_replace(lower(trim(t, ' ')), '\s+', ' ', 'g') AS t, regexp_replace(lower(trim(h, ' ')), '\s+', ' ', 'g') AS h FROM h),
+    e AS (SELECT doc_id, length(h) AS m, strict, strpos(t, h) - 1 AS place, t, h FROM f),
+    w AS (SELECT doc_id, h, m, m // 8 AS most, s, substr(t, s, m + m // 8) AS w FROM e, range(1, length(t) + 1) r(s) WHERE place < 0),
+    c AS (SELECT doc_id, s - 1 AS a, s - 1 + n AS b, levenshtein(h, w[1:n]) AS d, most FROM w, range(m - most, m + most + 1) r(n) WHERE n <= length(w)),
+    b AS (SELECT doc_id, a, b, d FROM c WHERE d <= most QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d, b, a DESC) = 1)
+    SELECT e.doc_id, CASE WHEN place >= 0 AND (strict OR m = 0) THEN 'strict' WHEN place >= 0 THEN 'lenient' WHEN b.doc_id IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS kind,
+    CAST(CASE WHEN place >= 0 THEN place ELSE b.a END AS INTEGER) AS "start", CAST(CASE WHEN place >= 0 THEN place + m ELSE b.b END AS INTEGER) AS "end", CAST(CASE WHEN place >= 0 THEN 0 ELSE b.d END AS INTEGER) AS edits FROM e LEFT JOIN b USING (doc_id)""",
+)
+def q33b(spark, d):
+    texts = table(spark, d, "documents").select("doc_id", F.regexp_replace("text", r"[^\n -~]", "?").alias("t"))
+    found = texts.select("doc_id", validate.placed_span(F.col("t"), F.expr(_HINTS)).alias("s"))
+    return found.select("doc_id", "s.*")
+
+
 @query(
     "q34_hierarchy_enrichment",
     f"""WITH {_LINES_SQL}, p AS (SELECT CAST(n_nationkey + 1 AS VARCHAR) AS reg, n_name AS part, r_name AS chapter FROM nation JOIN region ON n_regionkey = r_regionkey)

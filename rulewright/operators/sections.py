@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -70,3 +70,65 @@ def page_windows(pages: DataFrame, doc: str, page: str, width: int = 2, overlap:
     k = F.col(page) - F.col("lowest")
     starts = F.filter(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: k - b), lambda s: (s >= 0) & (s % step == 0))
     return placed.select(*pages.columns, F.explode(F.transform(starts, lambda s: F.col("lowest") + s)).alias("start"))
+
+
+#: Pages of a stretch within which headings are carried by one task.
+STRETCH = 512
+
+
+def carried(rows: DataFrame, group: str, order: str, value: str, name: str, inclusive: bool = True, width: int = STRETCH, depth: int = 2) -> DataFrame:
+    """`rows` with, as `name`, the last non-null `value` at or before (`inclusive` false: before) the row's place `order` within `group`.
+
+    `order` is a whole number.  A group is cut into stretches of `width` places;
+    what each stretch ends with goes on to those after it, found in the same way
+    over the stretches, so a group with most of the rows is still many tasks: a
+    task sees one stretch, or a row for each `width` ** `depth` places.  Of equal
+    places the greatest value counts.  Rows with a null group or place get null,
+    or their own value if `inclusive`.
+    """
+    stretch, own, end = f"_stretch{depth}", f"_own{depth}", f"_end{depth}"
+    known = F.when(F.col(value).isNotNull() & F.col(order).isNotNull(), F.struct(F.col(order).alias("at"), F.col(value).alias("value")))
+    frame = Window.partitionBy(group, stretch).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    placed = rows.withColumn(stretch, F.floor(F.col(order) / width) if depth else F.lit(0)).withColumn(own, F.max(known).over(frame)["value"])
+    somewhere = F.col(group).isNotNull() & F.col(order).isNotNull()
+    here = F.when(somewhere, F.col(own)).otherwise(F.col(value) if inclusive else F.lit(None))
+    if not depth:
+        return placed.select(*rows.columns, here.alias(name))
+    # A stretch asks after what those before it ended with.
+    ends = placed.where(somewhere).groupBy(group, stretch).agg(F.max(known)["value"].alias(end))
+    before = carried(ends, group, stretch, end, "_before", False, width, depth - 1).where("_before is not null")
+    before = before.select(F.col(group).alias("_group"), F.col(stretch).alias("_of"), "_before")
+    joined = placed.join(before, (F.col(group) == F.col("_group")) & (F.col(stretch) == F.col("_of")), "left")
+    return joined.select(*rows.columns, F.coalesce(here, F.col("_before")).alias(name))
+
+
+def in_force(pages: DataFrame, doc: str, page: str, text: str = "text") -> DataFrame:
+    """`pages` with `regulations`: the numbers of those that a page deals with, in order, each once: the one in force as it begins, then those whose headings it shows.
+
+    A page without a heading before or on it has none; null pages have their own headings alone, and repeated ones the same.
+    """
+    shown = pages.withColumn("_shown", F.coalesce(visible(F.col(text)), F.expr("cast(array() as array<string>)")))
+    shown = shown.withColumn("_last", F.try_element_at(F.regexp_extract_all(F.col(text), F.lit(HEADER), 1), F.lit(-1)))
+    found = carried(shown, doc, page, "_last", "_held", inclusive=False)
+    return found.select(*pages.columns, F.array_distinct(F.concat(F.array_compact(F.array("_held")), "_shown")).alias("regulations"))
+
+
+def window_regulations(windows: DataFrame, doc: str, start: str = "start", regulations: str = "regulations") -> DataFrame:
+    """doc, start, regulations: those of all pages of a window, each once, by number; a window has few pages, so their union is small."""
+    found = windows.select(doc, start, F.explode(regulations).alias("regulation")).distinct()
+    own = found.groupBy(doc, start).agg(F.array_sort(F.collect_list("regulation")).alias(regulations))
+    return windows.select(doc, start).distinct().join(own, [doc, start], "left").select(doc, start, F.coalesce(regulations, F.expr("cast(array() as array<string>)")).alias(regulations))
+
+
+def anchored(claims: DataFrame, pages: DataFrame, doc: str, page: str, regulation: str) -> DataFrame:
+    """`claims` with `anchored`, whether the page that a claim names deals with its regulation, and `anchor_failure`, null or why not.
+
+    `pages` is what `in_force` gives; equal pages count together.  A page that
+    isn't there, and a claim without page or regulation, is no anchor.
+    """
+    known = pages.select(F.col(doc).alias("_doc"), F.col(page).alias("_page"), F.explode("regulations").alias("_regulation")).distinct()
+    there = pages.select(F.col(doc).alias("_d"), F.col(page).alias("_p")).distinct().withColumn("_there", F.lit(True))
+    hit = claims.join(known.withColumn("_hit", F.lit(True)), (F.col(doc) == F.col("_doc")) & (F.col(page) == F.col("_page")) & (F.col(regulation) == F.col("_regulation")), "left")
+    hit = hit.join(there, (F.col(doc) == F.col("_d")) & (F.col(page) == F.col("_p")), "left")
+    why = F.when(F.col("_there").isNull(), "soft:no_page").when(F.col("_hit").isNull(), "soft:anchor")
+    return hit.select(*claims.columns, F.coalesce("_hit", F.lit(False)).alias("anchored"), why.alias("anchor_failure"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import spans
+
 IDENTIFIER = "^[A-Za-z_][A-Za-z0-9_]*$"
 FIELD_NAME = "^[a-z][a-z0-9_]*$"
 
@@ -105,3 +107,30 @@ def span_match(text: Column, hint: Column, most: int = 0) -> Column:
     words = F.array_distinct(F.split(flat(hint), " "))
     absent = F.size(F.array_except(words, F.split(flat(text), " ")))
     return F.when(F.contains(text, hint), F.lit("strict")).when(F.contains(flat(text), flat(hint)), F.lit("lenient")).when(absent <= most, F.lit("fuzzy")).otherwise(F.lit("none"))
+
+
+def flat(text: Column) -> Column:
+    """A text in lower case with single spaces and none at its ends."""
+    return F.regexp_replace(F.lower(F.trim(text)), r"\s+", " ")
+
+
+def placed_span(text: Column, hint: Column, share: float = 0.125) -> Column:
+    """struct(kind, start, end, edits): where a text holds a hint.
+
+    ``strict`` if it holds it as it is, ``lenient`` if in lower case with single
+    spaces, ``fuzzy`` if with at most `share` of the hint's characters edited
+    (put in, left out or replaced), else ``none``, without a place.  Places are
+    code points of the flat text, the end exclusive.  A null text or hint has
+    ``none``; an empty hint is found at 0.
+    """
+
+    def found(g: Column) -> Column:
+        at = F.instr(g["text"], g["hint"]) - 1
+        kind = F.when(F.contains(text, hint), "strict").when(at >= 0, "lenient")
+        fuzzy = F.transform(F.array(spans.nearest_span(g["text"], g["hint"], F.floor(F.length(g["hint"]) * share))), lambda s: F.struct(F.when(s.isNotNull(), "fuzzy").otherwise("none").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["edits"].alias("edits")))[0]
+        exact = F.struct(kind.alias("kind"), at.alias("start"), (at + F.length(g["hint"])).alias("end"), F.lit(0).alias("edits"))
+        return F.when(g["hint"] == "", F.struct(F.lit("strict").alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("edits"))).when(at >= 0, exact).otherwise(fuzzy)
+
+    none = F.struct(F.lit("none").alias("kind"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.lit(None).cast("int").alias("edits"))
+    given = F.struct(flat(text).alias("text"), flat(hint).alias("hint"))
+    return F.when(text.isNull() | hint.isNull(), none).otherwise(F.transform(F.array(given), found)[0])
