@@ -148,6 +148,43 @@ def q30(spark, d):
     return new.groupBy("rule_id").agg(first, best).select("rule_id", F.col("first.doc_id").alias("first_doc"), "best_doc", "first.source")
 
 
+_KEPT = "CASE WHEN doc_id % 11 = 0 THEN substr(text, 1, 15) WHEN doc_id % 13 = 0 THEN upper(replace(text, ' ', ' - ')) WHEN doc_id % 17 = 0 THEN NULL ELSE text END"
+
+
+@query(
+    "q30b_keep_best_by_signature",
+    rf"""WITH r AS (SELECT 'R_' || (doc_id % 300) AS rule_id, doc_id, {_KEPT} AS text, n_chars % 7 AS confidence, source FROM documents), s AS (SELECT * FROM r WHERE rule_id NOT IN (SELECT rule_id FROM r WHERE doc_id % 7 = 0 AND doc_id < 200)),
+    n AS (SELECT *, trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS t FROM s), g AS (SELECT *, CASE WHEN length(t) >= 20 THEN md5(substr(t, 1, 160)) ELSE 'id ' || rule_id END AS sig FROM n),
+    k AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY sig) AS copies FROM g WINDOW w AS (PARTITION BY sig ORDER BY confidence DESC, length(text) NULLS FIRST, doc_id))
+    SELECT rule_id, doc_id, source, copies FROM k WHERE k = 1""",
+)
+def q30b(spark, d):
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", F.expr(_KEPT).alias("text"), (F.col("n_chars") % 7).alias("confidence"), "source")
+    store = records.where("doc_id % 7 = 0 and doc_id < 200").select("rule_id").distinct()
+    new = records.join(store, "rule_id", "left_anti")
+    best = quality.keep_best(new, quality.best_record("confidence", "text", "doc_id"))
+    return best.select("rule_id", "doc_id", "source", "copies")
+
+
+@query(
+    "q30c_rule_store_batches",
+    """WITH r AS (SELECT 'R_' || (doc_id * 7 % 400) AS rule_id, doc_id, doc_id % 3 AS batch, source FROM documents), k AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY batch, doc_id) AS k FROM r)
+    SELECT rule_id, doc_id, batch, source FROM k WHERE k = 1""",
+)
+def q30c(spark, d):
+    from uuid import uuid4
+
+    from ..sources.store import RuleStore
+    from ..streaming.evaluate import scratch
+
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") * 7 % 400).alias("rule_id"), "doc_id", (F.col("doc_id") % 3).alias("batch"), "source", F.lit("x").alias("_internal"))
+    store = RuleStore(spark, f"{scratch(spark)}/store-{uuid4().hex}", buckets=16)
+    store.overwrite(records.where("batch = 0"), "first", "doc_id")
+    for batch, name in ((1, "second"), (2, "third"), (1, "second"), (2, "third")):  # the last two were sent before
+        store.append(records.where(F.col("batch") == batch), name, "doc_id")
+    return store.read()
+
+
 @query(
     "q31_validate_required_dups",
     """WITH r AS (SELECT doc_id, 'R_' || (doc_id % 400) AS rule_id, CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN '' ELSE source END AS domain, CASE WHEN doc_id % 11 = 0 THEN '' ELSE lang END AS title FROM documents)

@@ -120,3 +120,28 @@ def new_records(records: DataFrame, store: DataFrame | None, key: str = "rule_id
     out = records if store is None else records.join(store.select(key).distinct(), key, "left_anti")
     out = kept_first(out, key, *order) if order else out.dropDuplicates([key])
     return out.select(*[c for c in out.columns if not c.startswith("_")])
+
+
+#: Characters of a normal form that make the signature of a text, and the fewest that a text needs to have one.
+SIGNATURE_CHARS, LEAST_CHARS = 160, 20
+
+
+def signature(text: Column, chars: int = SIGNATURE_CHARS, least: int = LEAST_CHARS) -> Column:
+    """What texts that say the same have in common: a digest of the first `chars` characters of the normal form, which is lower case with one blank for all between letters and digits; null for a null text and a normal form under `least` characters."""
+    normal = F.transform(F.array(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))), lambda t: F.when(F.length(t) >= least, F.md5(F.substring(t, 1, chars))))
+    return normal[0]
+
+
+def keep_best(records: DataFrame, *order: Column | str, text: str = "text", key: str = "rule_id", chars: int = SIGNATURE_CHARS, least: int = LEAST_CHARS) -> DataFrame:
+    """One record of each signature, the first in `order`, with `copies`, how many there were.
+
+    Texts too short for a signature, and null ones, are told apart by `key`
+    instead, so a short text never swallows another rule.  `order` should be
+    total: of records equal in it any one stays.  One aggregate with partial
+    results, so a signature that a third of all records share is no burden.
+    """
+    known = signature(F.col(text), chars, least)
+    group = F.struct(F.coalesce(known, F.lit("")).alias("signature"), F.when(known.isNull(), F.col(key)).alias("key"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in records.columns])
+    best = records.groupBy(group.alias("_group")).agg(F.min_by(whole, F.struct(*order)).alias("_best"), F.count("*").alias("copies"))
+    return best.select("_best.*", "copies")
