@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evidence, quality
+from ..operators import evidence, grids, quality
 from . import base
 from .base import table
 
@@ -87,6 +87,41 @@ def q15(spark, d):
     return listed.join(years, "label").select("label", "unit", F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("newest"), "years", "share")
 
 
+#: Headings that name the fiscal year yr, by the first character of a label.
+_HEADINGS = "CASE substring(label, 1, 1) WHEN '1' THEN concat('March 31, ', yr) WHEN '2' THEN concat('FY ', yr - 1, '-', lpad(cast(yr % 100 as string), 2, '0')) WHEN '3' THEN concat('Fiscal ', yr) WHEN '4' THEN concat(yr - 1, '-', yr) ELSE concat('30 September ', yr - 1) END"
+
+
+@query(
+    "q15b_tables_from_headers",
+    """WITH y AS (SELECT o_orderpriority AS label, year(o_orderdate) AS yr, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS v, count(*) AS n, count(*) FILTER (o_custkey % 4 = 0) AS f FROM orders GROUP BY ALL),
+    r AS (SELECT label, yr, 'Total' || CASE WHEN label LIKE '2%' THEN ' (Rs. in million)' ELSE '' END AS line, CASE WHEN label LIKE '2%' THEN 'million' WHEN label LIKE '1%' THEN 'lakh' WHEN label LIKE '3%' THEN 'crore' END AS unit, v FROM y
+      UNION ALL SELECT label, yr, 'Orders', CASE WHEN label LIKE '1%' THEN 'lakh' WHEN label LIKE '3%' OR label LIKE '4%' THEN 'crore' END, n FROM y
+      UNION ALL SELECT label, yr, 'Share', '%', f * 100 // n FROM y), k AS (SELECT *, row_number() OVER (PARTITION BY label, line ORDER BY yr DESC) AS k FROM r)
+    SELECT label, line, unit, string_agg(CAST(v AS VARCHAR), '|' ORDER BY yr DESC) AS newest, CAST(max(yr) AS INTEGER) AS latest FROM k WHERE k <= 3 GROUP BY ALL""",
+)
+def q15b(spark, d):
+    yearly = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("label"), F.year("o_orderdate").alias("yr")).agg(F.sum(F.floor("o_totalprice").cast("bigint")).alias("v"), F.count("*").alias("n"), F.count_if(F.col("o_custkey") % 4 == 0).alias("f"))
+    # One table for each label, a few years each; years stand above the last of three columns for some labels and above their own for others.
+    years = yearly.withColumn("head", F.expr(_HEADINGS)).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("yr", "head", "v", "n", "f"))).alias("y"))
+    wide = F.col("label").substr(1, 1).isin("1", "4")
+    spread = lambda cell, last: F.flatten(F.transform("y", lambda y: F.when(wide, F.array(F.lit(""), F.lit("") if last else cell(y), cell(y) if last else F.lit(""))).otherwise(F.array(cell(y)))))
+    row = lambda label, cells: F.concat(F.array(label), cells)
+    blank = lambda text: F.concat(F.array(text), F.transform("y", lambda y: F.lit("")))
+    total = F.concat(F.lit("Total"), F.when(F.col("label").startswith("2"), " (Rs. in million)").otherwise(""))
+    grid = F.array(
+        blank(F.expr("CASE substring(label, 1, 1) WHEN '1' THEN 'Restated, in lakhs' WHEN '3' THEN '(Rs. in Crore)' ELSE 'As restated' END")),
+        row(F.lit(""), spread(lambda y: y["head"], True)),
+        row(total, spread(lambda y: F.concat(F.format_number(y["v"], 0), F.lit(".5")), False)),
+        blank(F.when(F.col("label").startswith("4"), "Numbers in crores").otherwise("Numbers")),
+        row(F.lit("Orders"), spread(lambda y: y["n"].cast("string"), False)),
+        row(F.lit("Share"), spread(lambda y: F.concat(F.floor(y["f"] * 100 / y["n"]).cast("string"), F.lit(".25%")), False)),
+    )
+    cells = grids.rows_of(years.select("label", grid.alias("grid")).withColumnRenamed("label", "of")).withColumnsRenamed({"label": "line", "of": "label"})
+    latest = cells.groupBy("label", "line").agg(F.max("year").alias("latest"))
+    listed = evidence.newest(cells, ["label", "line", "unit"], "year")
+    return listed.join(latest, ["label", "line"]).select("label", "line", "unit", F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("newest"), "latest")
+
+
 _GENERIC = ["tionth", "theand", "pouran"]
 
 

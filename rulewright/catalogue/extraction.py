@@ -262,6 +262,41 @@ def q32(spark, d):
     return rows.select("doc_id", F.concat_ws("|", *found).alias("errors"), F.concat_ws("|", *validate.raw_errors(RAW_SCHEMA, F.col("raw"))).alias("raw_errors"))
 
 
+#: The nested part of a rule record: lists of objects and of numbers, closed.
+NESTED_SCHEMA = {
+    "type": "object",
+    "required": ["rule_id", "maps_to"],
+    "properties": {
+        "rule_id": {"type": "string", "minLength": 3},
+        "maps_to": {"type": "array", "items": {"type": "object", "required": ["field"], "properties": {"field": {"type": "string", "pattern": "^[a-z][a-z0-9_]*$"}, "type_hint": {"type": "string"}}, "additionalProperties": False}},
+        "source": {
+            "type": "object", "required": ["pdf", "pages"], "additionalProperties": False,
+            "properties": {"pdf": {"type": "string"}, "pages": {"type": "array", "minItems": 1, "uniqueItems": True, "items": {"type": "integer", "minimum": 0}}, "span_hint": {"type": "string", "maxLength": 40}},
+        },
+        "confidence": {"type": "number", "minimum": 0, "maximum": 1},
+    },
+}
+#: A record as JSON, made of a document, in SQL that both engines read; word is the first word of its text, hint what begins it.
+_RECORD = """CASE WHEN doc_id % 11 = 0 THEN concat('{"rule_id": "', source) WHEN doc_id % 13 = 0 THEN concat('["', source, '"]') ELSE concat('{"rule_id": "', source, '", "maps_to": [{"field": "', lower(word), '", "type_hint": "Nat"}, {"field": "', word, '"', CASE WHEN doc_id % 6 = 1 THEN ', "extra": 1, "more": []' ELSE '' END, '}',
+  CASE doc_id % 4 WHEN 1 THEN ', 5' WHEN 2 THEN ', {"type_hint": 7}' WHEN 3 THEN ', {"field": null}' ELSE '' END, ']', CASE WHEN doc_id % 7 = 0 THEN ', "source": "none"' WHEN doc_id % 7 = 1 THEN '' ELSE concat(', "source": {"pdf": "', source, '", "pages": [', CASE doc_id % 3 WHEN 0 THEN '1, 2' WHEN 1 THEN '' ELSE '3, -1, "x", 3' END, '], "span_hint": "', hint, '"', CASE WHEN doc_id % 5 = 0 THEN ', "page": 1' ELSE '' END, '}') END,
+  ', "confidence": ', CAST(n_chars % 3 AS VARCHAR(9)), '}') END"""
+_HINT = "substr(regexp_replace(text, '[^A-Za-z ]+', ' '), 1, 30 + doc_id % 20)"
+
+
+@query(
+    "q32b_nested_schema_errors",
+    r"""WITH d AS (SELECT doc_id, n_chars, source, regexp_extract(text, '([A-Za-z]+)', 1) AS word, length(substr(regexp_replace(text, '[^A-Za-z ]+', ' ', 'g'), 1, CAST(30 + doc_id % 20 AS INTEGER))) AS hint FROM documents)
+    SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'record: no JSON' WHEN doc_id % 13 = 0 THEN 'record: type' ELSE concat_ws('|', CASE WHEN length(source) < 3 THEN 'rule_id: minLength' END,
+    CASE WHEN lower(word) = '' THEN 'maps_to[0].field: pattern' END, CASE WHEN doc_id % 6 = 1 THEN 'maps_to[1]: additionalProperties extra,more' END, CASE WHEN NOT regexp_matches(word, '^[a-z][a-z0-9_]*$') THEN 'maps_to[1].field: pattern' END,
+    CASE doc_id % 4 WHEN 1 THEN 'maps_to[2]: type' WHEN 2 THEN 'maps_to[2]: missing field|maps_to[2].type_hint: type' WHEN 3 THEN 'maps_to[2].field: type' END,
+    CASE WHEN doc_id % 7 = 0 THEN 'source: type' WHEN doc_id % 7 > 1 THEN nullif(concat_ws('|', CASE WHEN doc_id % 5 = 0 THEN 'source: additionalProperties page' END, CASE doc_id % 3 WHEN 1 THEN 'source.pages: minItems' WHEN 2 THEN 'source.pages: uniqueItems|source.pages[1]: minimum|source.pages[2]: type' END, CASE WHEN hint > 40 THEN 'source.span_hint: maxLength' END), '') END,
+    CASE WHEN n_chars % 3 = 2 THEN 'confidence: maximum' END) END AS errors FROM d""",
+)
+def q32b(spark, d):
+    made = table(spark, d, "documents").select("doc_id", "n_chars", "source", F.regexp_extract("text", "([A-Za-z]+)", 1).alias("word"), F.expr(_HINT.replace("doc_id % 20", "cast(doc_id % 20 as int)")).alias("hint"))
+    return made.select("doc_id", F.array_join(validate.document_errors(NESTED_SCHEMA, F.expr(_RECORD)), "|").alias("errors"))
+
+
 @query(
     "q33_anchoring_and_span",
     r"""WITH m AS (SELECT max(item_id) + 1 AS n FROM benchmark), j AS (SELECT doc_id, d.text, CASE WHEN doc_id % 3 = 0 THEN substr(d.text, 5, 40) WHEN doc_id % 3 = 1 THEN replace(substr(d.text, 3, 30), ' ', '  ') ELSE b.text END AS hint FROM documents d, m JOIN benchmark b ON b.item_id = d.doc_id % m.n),

@@ -45,7 +45,7 @@ def kept_first(records: DataFrame, key: str, *order: Column | str) -> DataFrame:
 
 
 def errors(schema: dict, value: Column, path: str = "") -> list[Column]:
-    """JSON Schema as columns that are null or a message; type and additionalProperties are of JSON texts, by `raw_errors`.
+    """JSON Schema as columns that are null or a message; type and additionalProperties are of JSON texts, by `raw_errors` and, inside lists too, `document_errors`.
 
     Known: required, enum, const, pattern, minimum, maximum, minLength,
     maxLength, minItems, uniqueItems, properties, items (of objects' members);
@@ -134,3 +134,56 @@ def placed_span(text: Column, hint: Column, share: float = 0.125) -> Column:
     none = F.struct(F.lit("none").alias("kind"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.lit(None).cast("int").alias("edits"))
     given = F.struct(flat(text).alias("text"), flat(hint).alias("hint"))
     return F.when(text.isNull() | hint.isNull(), none).otherwise(F.transform(F.array(given), found)[0])
+
+
+def document_errors(schema: dict, text: Column) -> Column:
+    """Array of ``path: what is wrong`` of a JSON text against a JSON Schema, entries of lists by their place (``maps_to[2].field``).
+
+    The text is read as a variant and walked as the schema says, lists entry by
+    entry, so types, closed objects and required members are judged at every
+    depth as they are written; the order is that of the schema.  Known: type,
+    required, additionalProperties (false), properties, items, enum, const (of
+    texts), pattern, minimum, maximum, minLength, maxLength, minItems, maxItems
+    and uniqueItems; each holds only for values of the kind that it speaks of.
+    A text that doesn't parse has ``record: no JSON``, a null one no errors.
+    """
+    found = F.transform(F.array(F.try_parse_json(text)), lambda v: F.when(v.isNull(), F.array(F.lit("record: no JSON"))).otherwise(_walked(schema, v, F.lit(""))))
+    return F.when(text.isNull(), F.expr("cast(array() as array<string>)")).otherwise(found[0])
+
+
+def _into(schema: dict, path: Column):
+    return lambda value: _walked(schema, value, path)
+
+
+def _walked(schema: dict, value: Column, path: Column) -> Column:
+    name, kind = F.when(path == "", "record").otherwise(path), F.schema_of_variant(value)
+    of = lambda *kinds: kind.rlike(f"^(?:{'|'.join(_KINDS[k] for k in kinds)})$")
+    member = lambda m: F.try_variant_get(value, f"$.{m}", "variant")
+    text, number = F.try_variant_get(value, "$", "string"), F.try_variant_get(value, "$", "double")
+    entries = F.try_variant_get(value, "$", "array<variant>")
+    alone = []
+    if "type" in schema:
+        alone.append((~of(*([schema["type"]] if isinstance(schema["type"], str) else schema["type"])), "type"))
+    alone += [(of("object") & member(m).isNull(), f"missing {m}") for m in schema.get("required", [])]
+    texts, lists = of("string"), of("array")
+    rules = {
+        "enum": lambda x: texts & ~text.isin(x), "const": lambda x: texts & (text != x), "pattern": lambda x: texts & ~text.rlike(x),
+        "minLength": lambda x: texts & (F.length(text) < x), "maxLength": lambda x: texts & (F.length(text) > x),
+        "minimum": lambda x: of("number") & (number < x), "maximum": lambda x: of("number") & (number > x),
+        "minItems": lambda x: lists & (F.size(entries) < x), "maxItems": lambda x: lists & (F.size(entries) > x),
+        "uniqueItems": lambda x: lists & F.lit(x) & (F.size(F.array_distinct(F.transform(entries, lambda x: F.to_json(x)))) < F.size(entries)),
+    }
+    alone += [(wrong(schema[rule]), rule) for rule, wrong in rules.items() if rule in schema]
+    said = [F.when(wrong, F.concat(name, F.lit(f": {what}"))) for wrong, what in alone]
+    if schema.get("additionalProperties") is False:
+        more = F.array_except(F.json_object_keys(F.to_json(value)), F.lit([*schema.get("properties", {})]).cast("array<string>"))
+        said.append(F.when(of("object") & (F.size(more) > 0), F.concat(name, F.lit(": additionalProperties "), F.array_join(more, ","))))
+    none = F.expr("cast(array() as array<string>)")
+    parts = [F.array_compact(F.array(*said, F.lit(None).cast("string")))]
+    for m, sub in schema.get("properties", {}).items():
+        inner = F.concat(F.when(path == "", "").otherwise(F.concat(path, F.lit("."))), F.lit(m))
+        parts.append(F.when(of("object") & member(m).isNotNull(), F.transform(F.array(member(m)), _into(sub, inner))[0]).otherwise(none))
+    if "items" in schema:
+        each = F.transform(entries, lambda v, k: _walked(schema["items"], v, F.concat(name, F.lit("["), k.cast("string"), F.lit("]"))))
+        parts.append(F.when(lists, F.flatten(each)).otherwise(none))
+    return F.concat(*parts)
