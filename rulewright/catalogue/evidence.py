@@ -57,6 +57,26 @@ def q13(spark, d):
     return rates.join(pick, "field")
 
 
+@query(
+    "q13b_evidence_rules_schema",
+    f"""WITH {_WORDS_SQL}, f AS (SELECT *, 'R_' || (doc_id % 50) AS rule_id FROM w),
+    e AS (SELECT rule_id, field, count(*) AS pieces, min(doc_id) AS best_doc FROM f WHERE doc_id % 3 <> 0 GROUP BY ALL),
+    m AS (SELECT DISTINCT rule_id, field, CASE length(field) % 3 WHEN 0 THEN 'Bool' WHEN 1 THEN 'Nat' ELSE 'List Nat' END AS type_hint FROM f WHERE doc_id % 2 = 0),
+    s AS (SELECT DISTINCT rule_id, field, CASE WHEN length(field) % 7 = 0 THEN 'String' ELSE CASE length(field) % 3 WHEN 0 THEN 'Bool' WHEN 1 THEN 'Nat' ELSE 'List Nat' END END AS type FROM f WHERE doc_id % 5 <> 1)
+    SELECT rule_id, field, coalesce(pieces, 0) AS pieces, best_doc, type_hint, type, CASE WHEN type_hint IS NULL THEN 'unmapped' WHEN type IS NULL THEN 'not_in_schema' WHEN pieces IS NULL THEN 'no_evidence' WHEN type_hint <> type THEN 'type_differs' ELSE 'complete' END AS status
+    FROM e FULL JOIN m USING (rule_id, field) FULL JOIN s USING (rule_id, field)""",
+)
+def q13b(spark, d):
+    found = words(spark, d).select(F.concat(F.lit("R_"), (F.col("doc_id") % 50).cast("string")).alias("rule_id"), "field", "doc_id")
+    kind = F.expr("CASE length(field) % 3 WHEN 0 THEN 'Bool' WHEN 1 THEN 'Nat' ELSE 'List Nat' END")
+    pieces = evidence.best_evidence(found.where("doc_id % 3 <> 0"), "doc_id")
+    mappings = found.where("doc_id % 2 = 0").select("rule_id", "field", kind.alias("type_hint")).distinct()
+    # Fields with the rules that they come from, a few at a time.
+    fields = found.where("doc_id % 5 <> 1").select("field", F.when(F.length("field") % 7 == 0, "String").otherwise(kind).alias("type"), F.array("rule_id").alias("from_rules"))
+    out = evidence.reconciled(pieces, mappings, evidence.schema_sides(fields))
+    return out.select("rule_id", "field", "pieces", F.col("best.doc_id").alias("best_doc"), "type_hint", "type", "status")
+
+
 @query(
     "q14_schema_coverage",
     """WITH f AS (SELECT p_partkey AS field, p_size % 5 = 0 AS inactive FROM part), v AS (SELECT l_partkey AS field, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
@@ -269,3 +289,37 @@ def q50(spark, d):
     from ..streaming.evaluate import demonstration
 
     return demonstration(spark, f"{d}/events.parquet")
+
+
+#: Batches that events arrive in by time; one in four ids has its third event come a batch later, one its second at the very end, and the ids that would meet in a batch are told apart.
+_BATCHES, _WITHIN = 5, 9 * 86_400_000_000
+_ARRIVING = f"""SELECT event_id, ts, j, k, CASE WHEN k % 4 = 1 AND j = 2 THEN 3 WHEN k % 4 = 2 AND j = 1 THEN {_BATCHES} ELSE j END AS batch, concat(CASE WHEN k % 4 = 1 AND j = 3 THEN 'S_' ELSE 'R_' END, CAST(k AS VARCHAR(19))) AS rule_id
+    FROM (SELECT event_id, ts, CAST(floor(event_id / m) AS BIGINT) AS j, CAST(event_id % m AS BIGINT) AS k FROM events, (SELECT CAST(floor((max(event_id) + {_BATCHES}) / {_BATCHES}) AS BIGINT) AS m FROM events) s) e"""
+
+
+def _ingested_sql() -> str:
+    """What a stream makes of the batches, batch by batch: the watermark from those before, then who is late, remembered or new."""
+    parts = [f"r AS (SELECT *, epoch_us(ts) AS t FROM ({_ARRIVING}) x)", "s0 AS (SELECT '' AS rule_id, CAST(0 AS BIGINT) AS until WHERE false)"]
+    for b in range(_BATCHES + 1):
+        parts.append(f"w{b} AS (SELECT coalesce((max(t) // 1000) * 1000 - {_WITHIN}, 0) AS w FROM r WHERE batch < {b})")
+        parts.append(f"a{b} AS (SELECT r.* FROM r CROSS JOIN w{b} LEFT JOIN s{b} s ON s.rule_id = r.rule_id WHERE batch = {b} AND t > greatest(w, 0) AND (s.until IS NULL OR s.until <= w))")
+        parts.append(f"s{b + 1} AS (SELECT rule_id, max(until) AS until FROM (SELECT rule_id, until FROM s{b} UNION ALL SELECT rule_id, t + {_WITHIN} FROM a{b}) u GROUP BY rule_id)")
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(f"SELECT rule_id, event_id, batch FROM a{b}" for b in range(_BATCHES + 1))
+
+
+@query("q50b_stream_rule_ingestion", _ingested_sql())
+def q50b(spark, d):
+    from uuid import uuid4
+
+    from ..streaming.evaluate import Ingestion, scratch
+
+    events = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    m = (last + _BATCHES) // _BATCHES
+    j, k = F.expr(f"event_id div {m}"), F.col("event_id") % m
+    batch = F.when((k % 4 == 1) & (j == 2), 3).when((k % 4 == 2) & (j == 1), _BATCHES).otherwise(j)
+    rows = events.select(F.concat(F.when((k % 4 == 1) & (j == 3), "S_").otherwise("R_"), k.cast("string")).alias("rule_id"), "event_id", "ts", batch.cast("bigint").alias("batch"))
+    found = Ingestion(spark, f"{scratch(spark)}/ingestion-{uuid4().hex}", "rule_id string, event_id bigint, ts timestamp, batch bigint", within="9 days")
+    for b in range(_BATCHES + 1):
+        found.arrive(rows.where(F.col("batch") == b))
+    return found.accepted().select("rule_id", "event_id", "batch")

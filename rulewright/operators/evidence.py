@@ -118,3 +118,40 @@ def mentions(text: Column, field: str, reach: int = 3) -> Column:
 def inverted(maps_to: DataFrame) -> DataFrame:
     """field and rule_ids (sorted, joined by commas) of rules (rule_id, fields)."""
     return maps_to.select("rule_id", F.explode("fields").alias("field")).groupBy("field").agg(F.array_join(F.array_sort(F.collect_set("rule_id")), ",").alias("rule_ids"), F.count_distinct("rule_id").alias("n"))
+
+
+def schema_sides(schema: DataFrame, rules: str = "from_rules") -> DataFrame:
+    """A schema (field, type, `rules`, an array) as rows (rule_id, field, type), so that it joins by rule and field."""
+    return schema.select(F.explode(rules).alias("rule_id"), "field", "type").distinct()
+
+
+def best_evidence(evidence: DataFrame, *order: Column | str) -> DataFrame:
+    """Of each rule and field the first piece of evidence in `order`, as `best`, and how many there are, as `pieces`.  One aggregate with partial results."""
+    rest = [c for c in evidence.columns if c not in ("rule_id", "field")]
+    return evidence.groupBy("rule_id", "field").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("best"), F.count("*").alias("pieces"))
+
+
+def reconciled(evidence: DataFrame, mappings: DataFrame, schema: DataFrame) -> DataFrame:
+    """rule_id, field, pieces, best, type_hint, type, status: evidence, what rules map to, and the schema side by side.
+
+    `evidence` is of `best_evidence`, `mappings` (rule_id, field, type_hint) of
+    the rules, `schema` (rule_id, field, type) of `schema_sides`; each has a
+    rule and field once.  All three meet on rule and field in one step: rows of
+    the three are grouped by both, so a field that most rules share is divided
+    by rule, and what only one or two sides know stays.  `status` says what is
+    amiss, worst first: unmapped (the rule doesn't name the field),
+    not_in_schema, no_evidence, type_differs, else complete.  A null rule or
+    field is one like any other.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    best = evidence.schema["best"].dataType
+    sides = (
+        evidence.select("rule_id", "field", "best", "pieces", none("string").alias("type_hint"), none("string").alias("type"), F.lit(1).alias("side"))
+        .unionByName(mappings.select("rule_id", "field", none(best).alias("best"), none("bigint").alias("pieces"), "type_hint", none("string").alias("type"), F.lit(2).alias("side")))
+        .unionByName(schema.select("rule_id", "field", none(best).alias("best"), none("bigint").alias("pieces"), none("string").alias("type_hint"), "type", F.lit(4).alias("side")))
+    )
+    firsts = [F.first(c, ignorenulls=True).alias(c) for c in ("best", "type_hint", "type")]
+    met = sides.groupBy("rule_id", "field").agg(*firsts, F.coalesce(F.max("pieces"), F.lit(0)).alias("pieces"), F.bit_or("side").alias("sides"))
+    has = lambda side: F.col("sides").bitwiseAND(side) != 0
+    status = F.when(~has(2), "unmapped").when(~has(4), "not_in_schema").when(~has(1), "no_evidence").when(~F.col("type_hint").eqNullSafe(F.col("type")), "type_differs").otherwise("complete")
+    return met.select("rule_id", "field", "pieces", "best", "type_hint", "type", status.alias("status"))

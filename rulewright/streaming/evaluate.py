@@ -50,6 +50,34 @@ def demonstration(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(out).select(F.date_format("from", "yyyy-MM-dd").alias("day"), "id", "passed", "results")
 
 
+class Ingestion:
+    """Rule records that arrive in batches, each id once: a stream over a folder, append mode, with its state and progress in the folder beside it.
+
+    Of the records of an id the first counts; those that come while it is
+    remembered are dropped, as are records older than the watermark, which runs
+    `within` behind the newest record.  An id is forgotten once the watermark
+    has passed its record by `within`, so the state holds no more ids than come
+    in twice that time.  A job that dies goes on from the last whole batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "rule_id", time: str = "ts", within: str = "1 hour") -> None:
+        self.spark, self.path, self.schema, self.key, self.time, self.within = spark, path.rstrip("/"), schema, key, time, within
+
+    def arrive(self, records: DataFrame) -> None:
+        """Puts a batch where the stream looks, and runs the stream over all that has not been read."""
+        records.write.mode("append").parquet(f"{self.path}/arriving")
+        self.run()
+
+    def run(self) -> None:
+        """Reads what has arrived; without anything new, nothing happens."""
+        stream = self.spark.readStream.schema(self.schema).parquet(f"{self.path}/arriving")
+        fresh = fresh_rules(stream, self.key, self.time, self.within)
+        fresh.writeStream.outputMode("append").format("parquet").option("path", f"{self.path}/accepted").option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start().awaitTermination()
+
+    def accepted(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/accepted")
+
+
 def scratch(spark: SparkSession) -> str:
     """A folder that all of the cluster reaches: ``spark.checkpoint.dir``, or one of this machine where all of Spark runs on it."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
