@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evidence, grids, quality
+from ..operators import evidence, grids, lint, quality
 from . import base
 from .base import table
 
@@ -159,6 +159,26 @@ def q17(spark, d):
     return quality.promotion(found, _GENERIC).withColumn("details", F.array_join("details", ","))
 
 
+#: Fields that a document's rule maps to: its words of ten letters and more, and words with capitals, which are no field names.
+_MAPS_SQL = "m AS (SELECT doc_id, list_concat(list_distinct(regexp_extract_all(lower(text), '[a-z]{12,}')), CASE WHEN doc_id % 50 = 0 THEN ['Not_A_Field'] ELSE [] END) AS fields FROM documents)"
+
+
+def with_fields(spark, d):
+    words_ = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{12,}"), 0))
+    named = F.concat(words_, F.when(F.col("doc_id") % 50 == 0, F.array(F.lit("Not_A_Field"))).otherwise(F.expr("cast(array() as array<string>)")))
+    return table(spark, d, "documents").select(F.concat(F.lit("R_"), "doc_id").alias("rule_id"), F.transform(named, lambda f: F.struct(f.alias("field"))).alias("maps_to"))
+
+
+@query("q44b_mapping_report", f"WITH {_MAPS_SQL} SELECT count(*) AS rules, count(*) FILTER (len(fields) > 0) AS mapped, count(*) FILTER (len(fields) = 0) AS unmapped, CAST(coalesce(sum(len(list_filter(fields, lambda f: f <> 'Not_A_Field'))), 0) AS BIGINT) AS fields FROM m")
+def q44b(spark, d):
+    return lint.mapping_report(with_fields(spark, d))[0]
+
+
+@query("q44c_unmapped_rules", f"WITH {_MAPS_SQL} SELECT 'R_' || doc_id AS rule_id FROM m WHERE len(fields) = 0")
+def q44c(spark, d):
+    return lint.mapping_report(with_fields(spark, d))[1]
+
+
 def gold(spark, d):
     """Gold and extracted rule ids: two overlapping sets of parts, by brand."""
     rows = table(spark, d, "part").select(F.concat(F.lit("R_"), "p_partkey").alias("rule_id"), F.col("p_brand").alias("reg"), "p_partkey", "p_size", "p_type")

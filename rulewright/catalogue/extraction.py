@@ -51,6 +51,26 @@ def q20(spark, d):
     return sections.clauses(sections.sections(regulations(spark, d), "doc_id"), "doc_id", 3, 25)
 
 
+def plainly_headed(spark, d):
+    """The regulation texts, with headings of the second form in every other document; the others have lines that look like such headings in their bodies."""
+    number = lambda i: (F.col("doc_id") % 20 + F.floor(i / 4) + 1).cast("int").cast("string")
+    clean = lambda x: F.trim(F.concat(F.lit("item "), F.regexp_replace(x, "[^A-Za-z]+", " ")))
+    plain = F.col("doc_id") % 2 == 1
+    head = lambda i: F.concat(F.when(plain, F.concat(number(i), F.lit(". "))).otherwise(F.concat(F.lit("Regulation "), number(i), F.lit(": "))), F.lit("Title of "), number(i), F.lit("\n"))
+    label = lambda i: F.when(i % 4 == 0, head(i)).when(i % 4 == 1, "(1) ").when(i % 4 == 2, "(2)\n(a) ").otherwise("(b) ")
+    annex = lambda i: F.when((i % 4 == 3) & ~plain, "\n9. Annex").otherwise("")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(label(i), clean(x), annex(i)))
+    return table(spark, d, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+
+
+@query(
+    "q20b_fallback_headings",
+    f"WITH {_LINES_SQL} SELECT doc_id, CAST(section AS INTEGER) AS section, rule_id, title, x || CASE WHEN k = 3 AND doc_id % 2 = 0 THEN chr(10) || '9. Annex' ELSE '' END AS text FROM rules",
+)
+def q20b(spark, d):
+    return sections.clauses(sections.sections(plainly_headed(spark, d), "doc_id"), "doc_id").select("doc_id", "section", "rule_id", "title", "text")
+
+
 @query(
     "q21_page_windows",
     """WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS page FROM documents),
@@ -367,6 +387,15 @@ def q34(spark, d):
     return enrich.with_hierarchy(counted, places).select("rule_id", "number", "chapter", "part", F.date_format(F.to_date(F.lit("2018-09-11")), "yyyy-MM-dd").alias("effective"), "records")
 
 
+@query(
+    "q34b_extraction_stamps",
+    "SELECT event_id, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(t, '%f') = '000000' THEN '' ELSE '.' || strftime(t, '%f') END || 'Z' AS extracted_at, '2018-09-11' AS effective FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) ELSE ts END AS t FROM events) e",
+)
+def q34b(spark, d):
+    time = F.when(F.col("event_id") % 3 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts"))
+    return table(spark, d, "events").select("event_id", T.utc_stamp(time).alias("extracted_at"), F.date_format(F.to_date(F.lit("2018-09-11")), "yyyy-MM-dd").alias("effective"))
+
+
 _PROVISO_SQL = """r AS (SELECT doc_id, 'ICDR_' || (doc_id % 40) || '_' || (doc_id % 3) || CASE WHEN doc_id % 5 = 0 THEN '_proviso' WHEN doc_id % 7 = 0 THEN '_x' ELSE '' END AS rule_id,
 CASE WHEN doc_id % 5 = 0 THEN '  Provided that ' WHEN doc_id % 7 = 0 THEN 'Explanation: ' ELSE '' END || substr(text, 1, 10) AS text FROM documents)"""
 
@@ -401,19 +430,42 @@ _CLAUSES = (
 )
 
 
+def _planted(phrase: str) -> str:
+    """A phrase in the middle of a document's text, in SQL that both engines read."""
+    return f"concat(substr(text, 1, CAST(floor(length(text) / 2) AS INTEGER)), ' ', coalesce({phrase}, ''), ' ', substr(text, CAST(floor(length(text) / 2) AS INTEGER) + 1))"
+
+
+def _class_sql(text: str, classes: dict, default: str) -> str:
+    """The class most of whose words a text has, in the oracle's SQL."""
+    scores = {name: " + ".join(f"CAST(contains(lower({text}), {_sql(w)}) AS INTEGER)" for w in words) for name, words in classes.items()}
+    best = f"greatest({', '.join(scores.values())})"
+    return f"CASE WHEN {best} = 0 THEN '{default}' " + " ".join(f"WHEN {score} = {best} THEN '{name}'" for name, score in scores.items()) + " END"
+
+
+def _any_sql(text: str, *words: str) -> str:
+    return "(" + " OR ".join(f"contains(lower({text}), {_sql(w)})" for w in words) + ")"
+
+
+_CLAUSE_SQL = _planted(_case([c[0] for c in _CLAUSES], "doc_id"))
+
+
 @query(
     "q36_keyword_classification",
-    f"SELECT doc_id, rule_type, actor, condition, scope FROM documents JOIN {_rows([c[2:] for c in _CLAUSES])} v(k, rule_type, actor, condition, scope) ON doc_id % {len(_CLAUSES)} = k",
+    f"""WITH t AS (SELECT doc_id, {_CLAUSE_SQL} AS t FROM documents)
+    SELECT doc_id, {_class_sql("t", enrich.RULE_TYPES, "general")} AS rule_type, {_class_sql("t", enrich.ACTORS, "issuer")} AS actor,
+    CASE WHEN {_any_sql("t", "shall not", "prohibited", "debarred")} THEN 'prohibition' WHEN {_any_sql("t", "provided that", "nothing contained")} THEN 'carve_out' ELSE 'positive_requirement' END AS condition,
+    CASE doc_id % {len(_CLAUSES)} {" ".join(f"WHEN {k} THEN '{c[5]}'" for k, c in enumerate(_CLAUSES))} END AS scope FROM t""",
 )
 def q36(spark, d):
-    pick = lambda at: F.expr(_case([c[at] for c in _CLAUSES], "doc_id").replace("''", "\\'"))
-    text = F.concat(pick(0), F.lit(" ("), F.col("doc_id").cast("string"), F.lit(")"))
-    return table(spark, d, "documents").select(
-        "doc_id", enrich.rule_type(text).alias("rule_type"), enrich.actor(text).alias("actor"), enrich.condition_type(text).alias("condition"), F.array_join(enrich.scopes(pick(1)), ",").alias("scope")
-    )
+    text = F.expr(_planted("phrase"))
+    phrase = F.expr(_case([c[0] for c in _CLAUSES], "doc_id").replace("''", "\\'"))
+    chapter = F.expr(_case([c[1] for c in _CLAUSES], "doc_id"))
+    rows = table(spark, d, "documents").withColumn("phrase", phrase).select("doc_id", once(text).alias("t"))
+    t = F.col("t")
+    return rows.select("doc_id", enrich.rule_type(t).alias("rule_type"), enrich.actor(t).alias("actor"), enrich.condition_type(t).alias("condition"), F.array_join(enrich.scopes(chapter), ",").alias("scope"))
 
 
-#: (text, regulations, schedules, acts): what the references of each text are, in order.
+#: (phrase, regulations, schedules, acts): what the references of a text with that phrase in its midst are, in order; its prose has none.
 _REFERRING = (
     ("and sub-regulation 4(3), regulation 6(1)(2), Regulation 6(1)(2) and regulations 9 with Schedule IV, schedule vi and Schedule IV", "4(3),6(1)(2)", "IV,vi", ""),
     ("of the Companies Act, 2013, the Securities and Exchange Board of India Act,1992, Companies Act 1956 and the Companies Act, 2013", "", "", "Companies Act:2013,SEBI Act:1992,Companies Act:1956"),
@@ -427,36 +479,33 @@ _REFERRING = (
     f"SELECT doc_id, CAST(100 + doc_id % 30 AS VARCHAR) || CASE WHEN r = '' THEN '' ELSE ',' || r END AS regulations, schedules, acts FROM documents JOIN {_rows([c[1:] for c in _REFERRING])} v(k, r, schedules, acts) ON doc_id % {len(_REFERRING)} = k",
 )
 def q37(spark, d):
-    text = F.concat(F.lit("under regulation "), (100 + F.col("doc_id") % 30).cast("string"), F.lit(" "), F.expr(_case([c[0] for c in _REFERRING], "doc_id")))
+    phrase = F.concat(F.lit("under regulation "), (100 + F.col("doc_id") % 30).cast("string"), F.lit(" "), F.expr(_case([c[0] for c in _REFERRING], "doc_id")))
+    rows = table(spark, d, "documents").withColumn("phrase", phrase).select("doc_id", once(F.expr(_planted("phrase"))).alias("text"))
+    text = F.col("text")
     acts = F.transform(T.act_references(text), lambda a: F.concat(a["act"], F.lit(":"), a["year"].cast("string")))
-    return table(spark, d, "documents").select("doc_id", F.array_join(T.regulation_references(text), ",").alias("regulations"), F.array_join(T.schedule_references(text), ",").alias("schedules"), F.array_join(acts, ",").alias("acts"))
+    return rows.select("doc_id", F.array_join(T.regulation_references(text), ",").alias("regulations"), F.array_join(T.schedule_references(text), ",").alias("schedules"), F.array_join(acts, ",").alias("acts"))
 
 
-_RAW_ID = "concat('ICDR_', CAST(doc_id % 50 AS VARCHAR(9)), CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END, '_1_', CASE doc_id % 6 WHEN 0 THEN 'Provided further' WHEN 1 THEN 'Provided that' WHEN 2 THEN 'Explanation' WHEN 3 THEN 'Category II' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END)"
-#: (number, guarded number): sentences where a number was asked for.
-_NUMBERS = (
-    ("6(1)(Provided that such equity shares stay locked in)", "6(1)_proviso"),
-    ("8A(1)(2) Provided that such equity shares stay locked in", "8A(1)(2)_proviso"),
-    ("Provided that such equity shares stay locked in for a year", "Provided that such equity shares stay locked in for a year"),
-    ("6(3)(a)", "6(3)(a)"),
-)
+#: Ids with a word of the text at their end, and sentences of the text where a number was asked for.
+_RAW_ID = "concat('ICDR_', CAST(doc_id % 50 AS VARCHAR(9)), CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END, '_1_', CASE doc_id % 6 WHEN 0 THEN 'Provided further' WHEN 1 THEN 'Provided that' WHEN 2 THEN 'Explanation' WHEN 3 THEN 'Category II' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END, '_', regexp_extract(lower(text), '([a-z]+)', 1))"
+_SENTENCE = "CASE doc_id % 4 WHEN 0 THEN concat('6(1)(Provided that ', text, ')') WHEN 1 THEN concat('8A(1)(2) Provided that ', text) WHEN 2 THEN concat('Provided that ', text) ELSE '6(3)(a)' END"
 
 
 @query(
     "q38_rule_id_canonicalise",
-    f"""WITH b AS (SELECT doc_id, CAST(doc_id % 50 AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END AS n, doc_id % 6 AS k FROM documents),
-    c AS (SELECT doc_id, n, k, n || '_1_' || CASE k WHEN 0 THEN 'proviso2' WHEN 1 THEN 'proviso' WHEN 2 THEN 'explanation' WHEN 3 THEN 'category' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END AS id FROM b)
-    SELECT doc_id, id AS canonical, 'ICDR_' || CASE WHEN k = 5 THEN n || '_1_very_long' ELSE id END AS guarded, CASE WHEN k = 5 THEN 'rule_id_truncated_from_15_tokens' END AS note, number, regexp_matches(n, '^[0-9]+[A-Za-z]?$') AS is_token
-    FROM c JOIN {_rows([c[1:] for c in _NUMBERS])} v(m, number) ON doc_id % {len(_NUMBERS)} = m""",
+    rf"""WITH b AS (SELECT doc_id, CAST(doc_id % 50 AS VARCHAR) || CASE WHEN doc_id % 10 = 0 THEN 'A' ELSE '' END AS n, doc_id % 6 AS k, nullif(regexp_extract(lower(text), '([a-z]+)', 1), '') AS word, {_SENTENCE} AS s FROM documents),
+    c AS (SELECT doc_id, n, s, regexp_extract(s, '^(\d+[A-Z]?(?:\(\d+\))*)', 1) AS begins, concat_ws('_', n, '1', CASE k WHEN 0 THEN 'proviso2' WHEN 1 THEN 'proviso' WHEN 2 THEN 'explanation' WHEN 3 THEN 'category' WHEN 4 THEN 'a' ELSE 'very_long_tail_of_an_identifier_that_goes_on_and_on_x' END, word) AS id FROM b),
+    t AS (SELECT *, 'ICDR_' || id AS whole, string_split('ICDR_' || id, '_') AS tokens FROM c), g AS (SELECT *, length(whole) > 50 AND len(tokens) > 5 AS long FROM t)
+    SELECT doc_id, id AS canonical, CASE WHEN long THEN array_to_string(tokens[1:5], '_') ELSE whole END AS guarded, CASE WHEN long THEN 'rule_id_truncated_from_' || len(tokens) || '_tokens' END AS note,
+    md5(CASE WHEN length(s) > 40 AND begins <> '' THEN begins || '_proviso' ELSE s END) AS number, regexp_matches(n, '^[0-9]+[A-Za-z]?$') AS is_token FROM g""",
 )
 def q38(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.explode(F.array(T.canonical_id(F.expr(_RAW_ID)))).alias("c"))
+    rows = table(spark, d, "documents").select("doc_id", F.expr(_SENTENCE).alias("s"), once(T.canonical_id(F.expr(_RAW_ID))).alias("c"))
     guarded, note = T.guarded_id(F.concat(F.lit("ICDR_"), "c"))
-    number = F.expr(_case([c[0] for c in _NUMBERS], "doc_id"))
-    return rows.select("doc_id", F.col("c").alias("canonical"), guarded.alias("guarded"), note.alias("note"), T.guarded_number(number).alias("number"), T.is_regulation_token(F.element_at(F.split("c", "_"), 1)).alias("is_token"))
+    return rows.select("doc_id", F.col("c").alias("canonical"), guarded.alias("guarded"), note.alias("note"), F.md5(T.guarded_number(F.col("s"))).alias("number"), T.is_regulation_token(F.element_at(F.split("c", "_"), 1)).alias("is_token"))
 
 
-#: (text, years): only phrases about past years name a number, and only the first such phrase counts.
+#: (phrase in the midst of a text, years): only phrases about past years name a number, and only the first such phrase counts.
 _YEARLY = (
     ("in the last three financial years", "3"),
     ("of the preceding 5 years", "5"),
@@ -477,8 +526,10 @@ _YEARLY = (
     CASE WHEN nat AND y IS NOT NULL THEN 'type_override:Nat->ListNat(n=' || y || ')_for_profits' ELSE '' END AS notes FROM t""",
 )
 def q39(spark, d):
-    text = F.concat(F.lit("profits "), F.expr(_case([c[0] for c in _YEARLY], "doc_id")))
+    phrase = F.concat(F.lit("profits "), F.expr(_case([c[0] for c in _YEARLY], "doc_id")))
+    docs = table(spark, d, "documents").withColumn("phrase", phrase).select("doc_id", once(F.expr(_planted("phrase"))).alias("text"))
+    text = F.col("text")
     had = F.expr("CASE doc_id % 3 WHEN 0 THEN '>= 1' WHEN 1 THEN '' ELSE 'length=3' END")
     maps_to = F.array(F.struct(F.lit("profits").alias("field"), F.when(F.expr("doc_id div 8") % 2 == 0, "Nat").otherwise("Bool").alias("type_hint"), had.alias("constraints_text")))
-    rows = table(spark, d, "documents").select("doc_id", T.years_named(text).alias("years"), enrich.yearly_types(maps_to, text).alias("m"), F.array_join(enrich.yearly_notes(maps_to, text), ",").alias("notes"))
+    rows = docs.select("doc_id", T.years_named(text).alias("years"), enrich.yearly_types(maps_to, text).alias("m"), F.array_join(enrich.yearly_notes(maps_to, text), ",").alias("notes"))
     return rows.select("doc_id", "years", F.col("m")[0]["type_hint"].alias("type_hint"), F.col("m")[0]["constraints_text"].alias("constraints"), "notes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
-from ..operators import quality
+from ..operators import lint, quality
 from ..plans import quantifiers as Q
 from ..plans import rules as R
 from ..plans.schema import Schema
@@ -341,12 +341,34 @@ def q47(spark, d):
     return found.join(passed, "ordinal").select("ordinal", "id", "finding", "passing")
 
 
-@query(
-    "q48_stub_and_fix_histogram",
-    "SELECT fix, count(*) AS rules FROM (VALUES " + ", ".join(f"('{f}')" for _, _, f in _FINDINGS if ": " not in f and f not in ("tautology", "missing_fields:title")) + ") v(fix) GROUP BY fix",
-)
+#: Rule records of a table, one for each document: a check by turns right, constant, always true, missing, unproven, of a field that isn't there (a word of the text) and with a field used as a function.
+_RULE_RECORDS = """SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN concat(' R  ', CAST(doc_id % 300 AS VARCHAR(9))) ELSE concat('R_', CAST(doc_id % 300 AS VARCHAR(9))) END AS rule_id, CASE WHEN doc_id % 9 = 0 THEN '' WHEN doc_id % 9 = 1 THEN NULL ELSE word END AS title,
+    CASE doc_id % 7 WHEN 0 THEN 'fun _ => True' WHEN 1 THEN 'fun i => i.is_debarred && i.monetary_asset_ratio >= 3' WHEN 2 THEN concat('fun i => i.', word, '_x > 2 && i.is_debarred') WHEN 3 THEN 'fun i => i.monetary_asset_ratio >= 0' WHEN 4 THEN NULL WHEN 5 THEN 'fun i => sorry' ELSE concat('fun i => i.is_debarred i && i.', word, '_y') END AS "check",
+    CASE doc_id % 5 WHEN 0 THEN concat('"', word, '"') WHEN 1 THEN NULL ELSE 'fun _ => "no"' END AS fail_reason FROM (SELECT doc_id, regexp_extract(text, '([A-Za-z]+)', 1) AS word FROM documents) w"""
+
+
+def rule_records(spark, d):
+    return spark.sql(_RULE_RECORDS.replace('"check"', "`check`").replace("FROM documents", "FROM {documents}"), documents=table(spark, d, "documents"))
+
+
+_LINT_SQL = f"""WITH r AS ({_RULE_RECORDS}), o AS (SELECT *, trim(regexp_replace(rule_id, '\\s+', ' ', 'g')) AS base FROM r), n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY doc_id) AS k FROM o),
+    i AS (SELECT *, CASE WHEN k = 1 THEN base ELSE base || '_' || k END AS own_id, regexp_extract("check", 'i\\.([A-Za-z]*_[xy])', 1) AS field FROM n),
+    f AS (SELECT doc_id, own_id, unnest(list_filter([CASE doc_id % 7 WHEN 4 THEN 'not_evaluable:missing_check' WHEN 5 THEN 'not_evaluable:sorry' WHEN 2 THEN 'not_evaluable:unknown_field' WHEN 6 THEN 'not_evaluable:unknown_field' END, CASE WHEN doc_id % 7 IN (0, 2, 4, 5, 6) THEN 'stubbed_check' END,
+      CASE WHEN doc_id % 7 = 3 THEN 'tautology' END, CASE WHEN coalesce(title, '') = '' THEN 'missing_fields:title' END, CASE WHEN doc_id % 5 = 0 THEN 'wrapped_failReason' END, CASE WHEN own_id <> rule_id THEN 'normalized_rule_id' END, CASE WHEN doc_id % 7 = 6 THEN 'suspected_function_field_usage' END,
+      CASE WHEN field <> '' THEN 'missing_fields:' || field END], lambda x: x IS NOT NULL)) AS finding FROM i)"""
+
+
+@query("q47b_rule_table_lint", f"{_LINT_SQL} SELECT doc_id, own_id, finding FROM f")
+def q47b(spark, d):
+    return lint.findings(rule_records(spark, d), [f.name for f in R.CORE.fields], "doc_id")
+
+
+@query("q48_stub_and_fix_histogram", f"{_LINT_SQL} SELECT CASE WHEN finding LIKE 'missing_fields:%' AND finding <> 'missing_fields:title' THEN 'missing_fields' ELSE finding END AS fix, count(*) AS rules FROM f GROUP BY ALL")
 def q48(spark, d):
-    return quality.histogram(R.load("faulty", FAULTY, R.CORE).metadata(spark), "fixes", "fix")
+    found = lint.findings(rule_records(spark, d), [f.name for f in R.CORE.fields], "doc_id")
+    fix = F.when(F.col("finding").startswith("missing_fields:") & (F.col("finding") != "missing_fields:title"), "missing_fields").otherwise(F.col("finding"))
+    return quality.histogram(found.select(F.array(fix).alias("fixes")), "fixes", "fix")
+
 
 
 def _entries(rows, name: str):

@@ -160,3 +160,9 @@ def whole_number(text: Column) -> Column:
 def whole_numbers(text: Column) -> Column:
     """All numbers of a text, digit groups joined, decimals dropped."""
     return F.transform(F.regexp_extract_all(text, F.lit(r"(\d[\d,]*(?:\.\d+)?)"), 1), lambda x: F.regexp_replace(F.regexp_replace(x, ",", ""), r"\..*$", "").try_cast("bigint"))
+
+
+def utc_stamp(time: Column) -> Column:
+    """A time as ISO text in UTC with a Z, microseconds only where there are some; the session's time zone must be UTC."""
+    fraction = F.date_format(time, "SSSSSS")
+    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)), F.lit("Z"))
