@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -322,19 +323,57 @@ def test_gibbs_samples_the_posterior():
             found.append(np.vstack([tables, own]))
         drawn = [pitmanyor.Totals(np.array([6, 3]), tables[:, c].astype(int), int(own[c]), 3).weights(rng) for c in range(chains)]
         opening, fresh = np.stack([o for o, _ in drawn]), np.array([f for _, f in drawn])
-        seats, order, which = pitmanyor.sweep(seats, opening[of_cell, z], fresh[chain], rng.integers(0, 1 << 63, chain.size).astype(np.uint64))
-        chain, z = chain[order], z[which]
-        assert (np.add.reduceat(seats.sizes, np.cumsum(seats.tables) - seats.tables) == seats.customers).all()
-        assert (np.add.reduceat(seats.parents, np.cumsum(seats.own) - seats.own) == np.add.reduceat(seats.tables, np.cumsum(seats.cells) - seats.cells)).all()
+        seats = pitmanyor.sweep(seats, opening[of_cell, z], fresh[chain], rng.integers(0, 1 << 63, chain.size).astype(np.uint64))
+        assert (seats.tables >= 1).all() and (seats.tables <= seats.customers).all() and (seats.own >= 1).all() and (seats.own <= seats.above()).all()
     got = np.stack(found)
     error = got.mean(0).std(1) / chains**0.5
     assert (abs(got.mean((0, 2)) - sums / total) < 5 * error).all()
 
 
-def test_first_seats():
-    customers = np.array([1, 2, 7, 8, 100, 123_456])
-    tables, sizes = pitmanyor.first_seats(customers)
-    assert (sizes > 0).all() and (np.add.reduceat(sizes, np.cumsum(tables) - tables) == customers).all()
+def test_seatings_are_counted():
+    """Small counts by enumeration, large ones against the recurrence."""
+    for n in (1, 2, 7, 40):
+        want = seatings(n, 0.7)
+        assert np.allclose(pitmanyor.log_ways(np.array(n), np.arange(1, n + 1), 0.7), [math.log(want[t]) for t in range(1, n + 1)])
+    assert pitmanyor.log_ways(np.array([3, 3, 5000]), np.array([0, 4, 4999]), 0.7).tolist() == [-np.inf] * 3
+    row = np.array([-np.inf, 0.0])
+    for c in range(1, 6000):
+        with np.errstate(divide="ignore"):
+            row = np.append(np.append(-np.inf, np.logaddexp(row[:-1], np.log(c - 0.7 * np.arange(1, c + 1)) + row[1:])), 0.0)
+    got = pitmanyor.log_ways(np.array(6000), np.arange(1, 1000), 0.7)
+    assert abs(np.diff(got) - np.diff(row[1:1000])).max() < 0.005
+
+
+def settled(customers, sweeps, seed, opening=0.07, fresh=0.05, words_=150, cells=8):
+    """Mean tables of a cell after each sweep, from the first seats."""
+    rng, seats = np.random.default_rng(seed), pitmanyor.seated_first(np.full(words_, cells), np.full(words_ * cells, customers))
+    for _ in range(sweeps):
+        seats = pitmanyor.sweep(seats, np.full(words_ * cells, opening), np.full(words_, fresh), rng.integers(0, 1 << 63, words_).astype(np.uint64))
+        yield seats.tables.mean()
+
+
+@pytest.mark.parametrize("customers", [2, 10, 17, 100, 2_000, 20_000])
+def test_frequent_words_reach_their_tables(customers):
+    """After the sweeps of production, all cells together have the tables that they have in the long run."""
+    late = np.mean([*settled(customers, 60, 1, words_=1500)][20:])
+    soon = np.mean([[*settled(customers, pitmanyor.BURN_IN + pitmanyor.KEPT, seed, words_=1500)][pitmanyor.BURN_IN :] for seed in (2, 3, 4)])
+    assert abs(soon / late - 1) < 0.01
+
+
+def test_steps_reach_what_drawing_outright_gives(monkeypatch):
+    """Sixteen customers drawn outright, and by steps alone."""
+    outright = np.mean([*settled(16, 120, 5)][20:])
+    monkeypatch.setattr(pitmanyor, "OUTRIGHT", (4, 8))
+    assert abs(np.mean([*settled(16, 120, 6)][20:]) / outright - 1) < 0.01
+
+
+def test_longer_burn_in_changes_no_score(spark):
+    """On the smallest test tables, sweeps thrown away beyond the first few move a text's score by less than a fiftieth."""
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables here")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    few, many = (pitmanyor.score(docs, F.col("doc_id") % 7 != 2, burn_in=n).toPandas().set_index("doc_id")["score"] for n in (pitmanyor.BURN_IN, 40))
+    assert (abs(few - many) / -many).max() < 0.02 and (abs(few - many) / -many).median() < 0.002
 
 
 def test_language_model(spark, documents, words):
