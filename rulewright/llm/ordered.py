@@ -19,13 +19,13 @@ def _at_most(values: list, id_: Column) -> Column:
 
 
 def shard_of(firsts: list[int], id_: Column) -> Column:
-    """Number of the shard of an id: its place among `firsts`, found in two steps of about sqrt(len(firsts)) comparisons."""
+    """Number of the shard of an id: its place among `firsts`, found in two steps of about sqrt(len(firsts)) comparisons; a null id is in the first."""
     if len(firsts) <= 64:
-        return _at_most(firsts, id_) - 1
+        return F.greatest(_at_most(firsts, id_) - 1, F.lit(0))
     width = int(len(firsts) ** 0.5) + 1
     rows = [firsts[k : k + width] for k in range(0, len(firsts), width)]
-    row = _at_most([r[0] for r in rows], id_) - 1
-    return row * width + F.size(F.filter(F.element_at(F.lit(rows), row + 1), lambda b: b <= id_)) - 1
+    row = F.greatest(_at_most([r[0] for r in rows], id_) - 1, F.lit(0))
+    return F.greatest(row * width + F.size(F.filter(F.element_at(F.lit(rows), row + 1), lambda b: b <= id_)) - 1, F.lit(0))
 
 
 def in_order(docs: DataFrame, each: int, peek: bool = False, most: int = 20_000) -> tuple[DataFrame, int]:

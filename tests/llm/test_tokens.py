@@ -107,8 +107,8 @@ def test_pack(documents, vocabulary, prose):
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 70000), max_size=1500), st.data())
 def test_wavelet_matrix(ids, data):
-    m = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(np.array(ids, np.uint32), np.array([7]), np.array([len(ids)])).to_bytes())
-    assert m.decode().tolist() == ids and m.docs.tolist() == [7]
+    m = wavelet.WaveletMatrix.from_bytes(wavelet.to_bytes(np.array(ids, np.uint32), [7], np.array([len(ids)]), data.draw(st.sampled_from([64, 512, wavelet.CHUNK]))))
+    assert m.decode().tolist() == ids and m.docs.tolist() == [7] and m.absent.tolist() == [False]
     for token in {*ids[:5], 3, 1 << 20}:
         where = [k for k, x in enumerate(ids) if x == token]
         assert m.occurrences(token) == where
@@ -120,6 +120,36 @@ def test_wavelet_matrix(ids, data):
         m.select(1 << 20, 0)
 
 
+def test_a_token_is_read_from_few_bytes(tmp_path):
+    """Of a file with many chunks, the index and one chunk of each plane, or a few, are read."""
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.3, 1 << 19), 40_000).astype(np.uint32)
+    path = tmp_path / "x.wm"
+    path.write_bytes(wavelet.to_bytes(ids, [1, None], np.array([1000, ids.size - 1000]), 1 << 13))
+    whole = path.stat().st_size
+    with wavelet.open_file(f"file://{path}") as m:
+        opened = m.source.taken
+        assert opened < whole / 20
+        assert m.access(200_000) == ids[200_000] and m.source.taken - opened < whole / 40
+    with wavelet.open_file(f"file://{path}") as m:
+        assert m.rank(1, 150_000) == (ids[:150_000] == 1).sum() and m.source.taken < whole / 8
+    with wavelet.open_file(f"file://{path}") as m:
+        assert m.select(7, 500) == np.flatnonzero(ids == 7)[500] and m.source.taken < whole / 8
+    with wavelet.open_file(f"file://{path}") as m:
+        assert (m.docs.tolist(), m.absent.tolist(), m.lengths.tolist()) == ([1, 0], [False, True], [1000, ids.size - 1000]) and m.source.taken < whole / 20
+        assert (m.decode() == ids).all()
+        with pytest.raises(IndexError):
+            m.access(ids.size)
+
+
+def test_round_trip_of_null_ids(documents, vocabulary, prose, monkeypatch):
+    """Rows without an id come first, by text, and have none when they are read again."""
+    monkeypatch.setattr(wavelet, "SHARD_BYTES", 100)
+    rows = [(None, "zebra"), (None, None), (5, "five"), (None, "ant"), (-3, "three"), *[(10 + k, prose(20, k)) for k in range(90)]]
+    got = [(r["doc_id"], r["start"]) for r in wavelet.round_trip(documents(*rows).repartition(6), vocabulary("word_bpe_49k.json")).orderBy("start").collect()]
+    assert [d for d, _ in got] == [None, None, None, -3, 5, *range(10, 100)] and len({s for _, s in got}) == len(rows)
+
+
 def test_round_trip(documents, vocabulary, prose, monkeypatch):
     monkeypatch.setattr(wavelet, "FILE_TOKENS", 300)
     path = vocabulary("word_bpe_49k.json")
