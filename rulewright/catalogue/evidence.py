@@ -29,6 +29,15 @@ def q12(spark, d):
     return evidence.field_index(fields).withColumn("rule_ids", F.md5("rule_ids"))
 
 
+@query(
+    "q12b_fields_by_rule",
+    f"""WITH {_WORDS_SQL}, p AS (SELECT DISTINCT field, 'R_' || (doc_id % 50) AS rule_id, doc_id % 50 AS reg FROM w), n AS (SELECT *, count(*) OVER (PARTITION BY field) AS n FROM p)
+    SELECT field, rule_id, CASE WHEN n > 1 THEN field || '_reg' || reg ELSE field END AS own_name FROM n""",
+)
+def q12b(spark, d):
+    return evidence.field_rules(words(spark, d).select("field", F.concat(F.lit("R_"), F.col("doc_id") % 50).alias("rule_id"), (F.col("doc_id") % 50).alias("reg")))
+
+
 _RAW = """CASE doc_id % 7 WHEN 0 THEN 'yes' WHEN 1 THEN '1,44,445.3, 22,10,000 and 5' WHEN 2 THEN concat(CAST(n_chars AS VARCHAR(9)), ' months') WHEN 3 THEN 'not mentioned' WHEN 4 THEN CAST(NULL AS VARCHAR(9)) WHEN 5 THEN 'as stated' ELSE CAST(doc_id AS VARCHAR(9)) END"""
 
 
@@ -210,6 +219,11 @@ def q41(spark, d):
     return groups.join(before, "reg", "left").select("*", (F.col("tp") - F.col("base_tp")).alias("delta_tp")).drop("base_tp")
 
 
+@query("q41b_missing_and_extra", f"WITH {_BOTH_SQL} SELECT reg, rule_id, CASE WHEN in_gold THEN 'missing' ELSE 'extra' END AS side FROM b WHERE in_gold <> in_found")
+def q41b(spark, d):
+    return quality.differing(quality.compared(*gold(spark, d), "rule_id", "reg"), "reg")
+
+
 @query(
     "q42_set_equality_coverage",
     """WITH o AS (SELECT DISTINCT o_orderkey AS id FROM orders), l AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_quantity > 2)

@@ -111,15 +111,3 @@ def yearly_notes(maps_to: Column, text: Column) -> Column:
     years = T.years_named(text)
     changed = F.filter(maps_to, lambda m: years.isNotNull() & (m["type_hint"] == "Nat"))
     return F.transform(changed, lambda m: F.concat(F.lit("type_override:Nat->ListNat(n="), years.cast("string"), F.lit(")_for_"), F.coalesce(m["field"], F.lit(""))))
-
-
-def collisions(fields: DataFrame, most: int = 1) -> DataFrame:
-    """field and n of fields (field, rule_id) that more than `most` rules use."""
-    return fields.groupBy("field").agg(F.count_distinct("rule_id").alias("n")).where(F.col("n") > most)
-
-
-def disambiguated(fields: DataFrame, reg: str = "reg") -> DataFrame:
-    """`fields` (field, rule_id, reg) with new_field: fields of several rules get the regulation as a suffix, and a repair note."""
-    shared = collisions(fields).select("field", F.lit(True).alias("shared"))
-    out = fields.join(shared, "field", "left")
-    return out.withColumn("new_field", F.when(F.col("shared"), F.concat("field", F.lit("_reg"), F.col(reg))).otherwise(F.col("field"))).withColumn("note", F.when(F.col("shared"), F.lit("renamed_colliding_field"))).drop("shared")

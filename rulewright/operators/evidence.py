@@ -94,6 +94,18 @@ def field_index(fields: DataFrame) -> DataFrame:
     return each.select("field", F.array_join("ids", ",").alias("rule_ids"), F.size("ids").cast("bigint").alias("n"), F.when(shared, F.concat("field", F.lit("_reg"), "reg")).otherwise(F.col("field")).alias("first_name"), F.when(shared, F.lit("renamed_colliding_field")).alias("note"))
 
 
+def field_rules(fields: DataFrame) -> DataFrame:
+    """Of fields (field, rule_id, reg): field, rule_id and own_name, a row for each rule of a field, the inverted index for fields of any number of rules.
+
+    A field of several rules is named by each rule's regulation.  Counts come
+    from partial aggregates; no row holds the rules of a field.
+    """
+    pairs = fields.groupBy("field", "rule_id").agg(F.min("reg").alias("reg"))
+    many = pairs.groupBy("field").agg(F.count("*").alias("n")).where("n > 1").select(F.col("field").alias("shared"))
+    named = pairs.join(many, F.col("field") == F.col("shared"), "left")
+    return named.select("field", "rule_id", F.when(F.col("shared").isNotNull(), F.concat("field", F.lit("_reg"), F.col("reg").cast("string"))).otherwise(F.col("field")).alias("own_name"))
+
+
 def mentions(text: Column, field: str, reach: int = 3) -> Column:
     """Array of struct(field, near_number, in_parens): words of a text that `field` (a pattern) finds, one for each blank-separated token.
 

@@ -38,6 +38,12 @@ def by_group(both: DataFrame, group: str, key: str = "rule_id") -> DataFrame:
     return both.groupBy(group).agg(F.count_if("in_gold").alias("gold"), *counts(), listed(F.col("in_gold") & ~F.col("in_found")).alias("missing"), listed(~F.col("in_gold") & F.col("in_found")).alias("extra"))
 
 
+def differing(both: DataFrame, group: str, key: str = "rule_id") -> DataFrame:
+    """group, `key` and side (missing or extra) of the ids that one side alone has: the lists of `by_group` as rows, for groups of any size."""
+    side = F.when(F.col("in_gold") & ~F.col("in_found"), "missing").when(~F.col("in_gold") & F.col("in_found"), "extra")
+    return both.select(group, key, side.alias("side")).where("side is not null")
+
+
 def promotion(fields: DataFrame, generic: list[str], threshold: int = 2) -> DataFrame:
     """Of mentions (field, near_number, in_parens): occurrences, context, details, score and whether promoted.
 

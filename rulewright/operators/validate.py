@@ -96,11 +96,6 @@ def raw_errors(schema: dict, text: Column, path: str = "$") -> list[Column]:
     return out
 
 
-def unknown_members(text: Column, allowed: list[str]) -> Column:
-    """Members of a JSON object that a closed record doesn't allow."""
-    return F.array_except(F.coalesce(F.json_object_keys(text), F.expr("cast(array() as array<string>)")), F.lit(allowed))
-
-
 def span_match(text: Column, hint: Column, most: int = 0) -> Column:
     """``strict`` if a text holds a hint as it is, ``lenient`` in lower case with single spaces, ``fuzzy`` if all but `most` of its words occur, else ``none``."""
     flat = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", " ")

@@ -13,16 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.evaluate import evaluate
 from ..plans.rules import Rule, Ruleset
 from ..plans.schema import Schema
 
 
-def evaluated(filings: DataFrame, ruleset: Ruleset, key: str = "issuer_id") -> DataFrame:
-    """Long results of a stream or a table; append mode, no state."""
-    return evaluate(filings, ruleset, key)
-
-
 def fresh_rules(records: DataFrame, key: str = "rule_id", time: str = "ts", within: str = "1 hour") -> DataFrame:
     """The records whose key did not come before within the watermark."""
     return records.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
