@@ -245,6 +245,39 @@ def test_fuzzy_passages(documents, prose, words, share, least):
     assert len(lost) <= (1 - least) * len(planted) and not torn
 
 
+def matched_share(a, b):
+    """Words that two texts have in common in order, of the longer one."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for k, y in enumerate(b):
+            new.append(row[k] + 1 if x == y else max(new[-1], row[k + 1]))
+        row = new
+    return row[-1] / max(len(a), len(b))
+
+
+def test_passages_down_to_the_identity_claimed(documents, prose, words):
+    """Pairs edited ever more: nine of ten are found in each step from 0.85 on, and most of those that are barely as alike as IDENTITY asks."""
+    rows, pairs = [], []
+    for share in (0.04, 0.08, 0.12, 0.15, 0.18):
+        for n in (55, 80, 150):
+            for k in range(40):
+                seed = int(share * 100) * 10_000 + n * 100 + k
+                original, doc = prose(n, seed), 2 * len(pairs)
+                copy = edited_words(original, words, share, seed)
+                for side, text in enumerate((original, copy)):
+                    rows.append((doc + side, f"{prose(40, 3_000_000 + doc + side)} {text} {prose(30, 4_000_000 + doc + side)}"))
+                pairs.append((matched_share(original.split(), copy.split()), doc, len(original.split()), len(copy.split())))
+    spans, bins = found_spans(documents, rows), {}
+    for alike_, doc, *sizes in pairs:
+        inside = [max((min(e, 40 + n) - max(s, 40) for s, e, _ in spans.get(doc + side, [])), default=0) / n for side, n in enumerate(sizes)]
+        if alike_ >= passages.IDENTITY + 0.02:
+            bins.setdefault(min(0.95, int(alike_ * 20) / 20), []).append(min(inside) >= 0.75)
+    assert set(bins) == {0.8, 0.85, 0.9, 0.95} and all(len(b) >= 30 for b in bins.values())
+    found = {k: sum(b) / len(b) for k, b in bins.items()}
+    assert all(found[k] >= 0.9 for k in (0.85, 0.9, 0.95)) and found[0.8] >= 0.7, found
+
+
 def test_alignment_goes_on_beyond_the_slices(documents, prose, words, monkeypatch):
     """Long copies whose seeds are few: ends far from any chain are still found."""
     monkeypatch.setattr(passages, "MARGIN", 4)
