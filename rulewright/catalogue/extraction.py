@@ -179,7 +179,9 @@ _KEPT = "CASE WHEN doc_id % 11 = 0 THEN substr(text, 1, 15) WHEN doc_id % 13 = 0
     SELECT rule_id, doc_id, source, copies FROM k WHERE k = 1""",
 )
 def q30b(spark, d):
-    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", F.expr(_KEPT).alias("text"), (F.col("n_chars") % 7).alias("confidence"), "source")
+    n, text = F.col("doc_id"), F.col("text")
+    kept = F.when(n % 11 == 0, F.substring(text, 1, 15)).when(n % 13 == 0, T.upper(F.replace(text, F.lit(" "), F.lit(" - ")))).when(n % 17 == 0, None).otherwise(text)
+    records = table(spark, d, "documents").select(F.concat(F.lit("R_"), F.col("doc_id") % 300).alias("rule_id"), "doc_id", kept.alias("text"), (F.col("n_chars") % 7).alias("confidence"), "source")
     store = records.where("doc_id % 7 = 0 and doc_id < 200").select("rule_id").distinct()
     new = records.join(store, "rule_id", "left_anti")
     best = quality.keep_best(new, quality.best_record("confidence", "text", "doc_id"))

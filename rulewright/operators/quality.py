@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .validate import kept_first
 
 
@@ -134,7 +135,7 @@ SIGNATURE_CHARS, LEAST_CHARS = 160, 20
 
 def signature(text: Column, chars: int = SIGNATURE_CHARS, least: int = LEAST_CHARS) -> Column:
     """What texts that say the same have in common: a digest of the first `chars` characters of the normal form, which is lower case with one blank for all between letters and digits; null for a null text and a normal form under `least` characters."""
-    normal = F.transform(F.array(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))), lambda t: F.when(F.length(t) >= least, F.md5(F.substring(t, 1, chars))))
+    normal = F.transform(F.array(F.trim(F.regexp_replace(T.lower(text), r"[^\p{L}\p{N}]+", " "))), lambda t: F.when(F.length(t) >= least, F.md5(F.substring(t, 1, chars))))
     return normal[0]
 
 

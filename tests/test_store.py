@@ -87,3 +87,11 @@ def test_best_of_each_signature(spark):
     wide = spark.createDataFrame([(k, "R", "x" * 159 + c + "tail", 1) for k, c in enumerate("abca")], "k int, rule_id string, text string, confidence int")
     assert {r["k"]: r["copies"] for r in quality.keep_best(wide, "k").collect()} == {0: 2, 1: 1, 2: 1}
     assert quality.keep_best(df.limit(0), "k").count() == 0
+
+
+def test_a_text_in_capitals_says_the_same(spark):
+    from rulewright.functions import text as T
+
+    rows = spark.createDataFrame([("a", 1, "der grosse Spaß und das weiße Maß"), ("b", 2, "der grosse Spaß und das weiße Maß")], "rule_id string, n int, text string")
+    shouted = rows.withColumn("text", F.when(F.col("n") == 2, T.upper(F.col("text"))).otherwise(F.col("text")))
+    assert [(r["rule_id"], r["copies"]) for r in quality.keep_best(shouted, "n").collect()] == [("a", 2)]

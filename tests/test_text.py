@@ -132,3 +132,9 @@ def test_lines_are_numbered_across_partitions(spark):
     lines = spark.range(0, 1000, 1, 7).select("id", F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, '{"k": 1}').otherwise("{").alias("value"))
     got = jsonl.parse_lines(jsonl.number_lines(lines, "id"), "k bigint").orderBy("line").collect()
     assert [r["line"] for r in got] == [k + 1 for k in range(1000) if k % 3] and sum(r["good"] for r in got) == 333
+
+
+def test_case_mappings_are_one_to_one(spark):
+    given = ["geß öde ﬁn", "ᾳ ᾀ ŉ ǰ", "plain", "", None, "ßß\nß", "Größe 3 - ẞ"]
+    assert one(spark, given, T.upper(F.col("t"))) == ["GEẞ ÖDE ﬁN", "ᾼ ᾈ ŉ ǰ", "PLAIN", "", None, "ẞẞ\nẞ", "GRÖẞE 3 - ẞ"]
+    assert one(spark, ["İI ΟΔΟΣ", "GEẞ", None], T.lower(F.col("t"))) == ["ii οδοσ", "geß", None]
