@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,3 +15,8 @@ def once(value: Column) -> Column:
     is used; a generator stands between them, so a costly one runs once a row.
     """
     return F.explode(F.array(value))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `value`, which is worked out once."""
+    return F.transform(F.array(value), body)[0]

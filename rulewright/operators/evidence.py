@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.columns import let
 
 #: Confidence of evidence from a table, from text with a quote, and without.
 TABLE, QUOTED, BARE = 0.9, 0.4, 0.2
@@ -116,13 +117,17 @@ def mentions(text: Column, field: str, reach: int = 3) -> Column:
     outside = F.regexp_replace(text, r"\([^()]*\)", " ")
 
     def found(part: Column, brackets: bool) -> Column:
-        tokens = F.filter(F.split(part, r"\s+"), lambda t: t != "")
-        near = lambda t, k: F.struct(
-            F.regexp_extract(t, field, 0).alias("field"),
-            F.exists(F.slice(tokens, F.greatest(k + 1 - reach, F.lit(1)), k + 2 + reach - F.greatest(k + 1 - reach, F.lit(1))), lambda x: x.rlike(r"\d")).alias("near_number"),
-            F.lit(brackets).alias("in_parens"),
-        )
-        return F.filter(F.transform(tokens, near), lambda m: m["field"] != "")
+        def named(given: Column) -> Column:
+            def near(t: Column, k: Column) -> Column:
+                around = F.slice(given["digits"], F.greatest(k + 1 - reach, F.lit(1)), k + 2 + reach - F.greatest(k + 1 - reach, F.lit(1)))
+                mention = lambda name: F.when(name != "", F.struct(name.alias("field"), F.exists(around, lambda x: x).alias("near_number"), F.lit(brackets).alias("in_parens")))
+                return let(F.regexp_extract(t, field, 0), mention)
+
+            return F.filter(F.transform(given["tokens"], near), lambda m: m.isNotNull())
+
+        # A text's tokens, and which of them have digits, are worked out once and not for each token.
+        marked = lambda t: F.struct(t.alias("tokens"), F.transform(t, lambda x: x.rlike(r"\d")).alias("digits"))
+        return let(let(F.filter(F.split(part, r"\s+"), lambda t: t != ""), marked), named)
 
     return F.concat(found(outside, False), found(inside, True))
 

@@ -138,3 +138,13 @@ def test_case_mappings_are_one_to_one(spark):
     given = ["geß öde ﬁn", "ᾳ ᾀ ŉ ǰ", "plain", "", None, "ßß\nß", "Größe 3 - ẞ"]
     assert one(spark, given, T.upper(F.col("t"))) == ["GEẞ ÖDE ﬁN", "ᾼ ᾈ ŉ ǰ", "PLAIN", "", None, "ẞẞ\nẞ", "GRÖẞE 3 - ẞ"]
     assert one(spark, ["İI ΟΔΟΣ", "GEẞ", None], T.lower(F.col("t"))) == ["ii οδοσ", "geß", None]
+
+
+def test_mentions_of_a_long_text_take_linear_time(spark):
+    from time import monotonic
+
+    text = "revenue of 12 and total (margins near 7 the) " * 4000
+    began = monotonic()
+    found = spark.createDataFrame([(text,)], "t string").select(F.inline(evidence.mentions(F.col("t"), "[a-z]{6,}"))).groupBy("field", "near_number", "in_parens").count().collect()
+    assert sorted(map(tuple, found)) == [("margins", True, True, 4000), ("revenue", True, False, 4000)]
+    assert monotonic() - began < 60
