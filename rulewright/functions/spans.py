@@ -2,9 +2,11 @@
 
 The column of the dynamic programme of approximate search, one row for each
 character of the hint, is kept as bits: where a cell is one more than the cell
-above it, and where it is one less.  A text is a fold of that state over its
-characters, 60 rows at a time in one bigint, so whole texts are searched inside
-column expressions and hints may be of any length.
+above it, and where it is one less.  A stretch of text is a fold of that state
+over its characters, 60 rows at a time in one bigint, so texts are searched
+inside column expressions and hints may be of any length.  Only stretches around
+places where a piece of the hint stands as it is are folded over: without one a
+span needs too many edits.
 """
 
 from __future__ import annotations
@@ -14,16 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import let as _let
+
 #: Rows of a block; sums of two blocks then fit in a bigint.
 _ROWS = 60
 _FULL = (1 << _ROWS) - 1
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of `value`, which is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _long(n: int) -> Column:
     return F.lit(n).cast("bigint")
 
@@ -74,10 +73,16 @@ def _advanced(more: Column, less: Column, equal: Column, into: Column, top: Colu
     return _let(across(equal.bitwiseOR(down)), down_the_column)
 
 
-def _scan(chars: Column, text: Column, anchored: bool) -> Column:
-    """struct(best, at): the least cost of the hint at an end within `text`, and how many characters are before that end. (the first such end).
+#: What makes a column of a function that scans an array of characters.
+_Use = Callable[[Callable[[Column], Column]], Column]
+
+
+def _scan(chars: Column, anchored: bool, use: _Use) -> Column:
+    """`use` of a function that scans a text for the hint `chars`, whose masks are made once however many texts are scanned.
 
-    An anchored hint begins where the text does.
+    It gives struct(best, at): the least cost of the hint at an end within the
+    text, and how many characters are before that end (the first such end).  An
+    anchored hint begins where the text does.
     """
     masks, blocks, m = _masks(chars), _blocks(chars), F.size(chars)
     last = F.size(blocks) - 1
@@ -106,12 +111,12 @@ def _scan(chars: Column, text: Column, anchored: bool) -> Column:
             return _let(_let(equal, through), scored)
 
         first = F.struct(F.transform(given["blocks"], lambda b: _long(_FULL)).alias("more"), given["none"].alias("less"), m.alias("cost"), m.alias("best"), F.lit(0).alias("at"), F.lit(0).alias("k"))
-        return F.aggregate(text, first, step, lambda s: F.struct(s["best"].alias("best"), s["at"].alias("at")))
+        return use(lambda text: F.aggregate(text, first, step, lambda s: F.struct(s["best"].alias("best"), s["at"].alias("at"))))
 
     return _let(F.struct(masks.alias("masks"), blocks.alias("blocks"), none.alias("none")), scanned)
 
 
-def _scan_short(chars: Column, text: Column, anchored: bool) -> Column:
+def _scan_short(chars: Column, anchored: bool, use: _Use) -> Column:
     """As `_scan`, for hints of one block."""
     masks, m = F.transform_values(_masks(chars), lambda _, bits: bits[0]), F.size(chars)
     up = _long(1 if anchored else 0)
@@ -138,16 +143,51 @@ def _scan_short(chars: Column, text: Column, anchored: bool) -> Column:
             return _let(_let(F.coalesce(F.try_element_at(given["masks"], c), _long(0)), across), down)
 
         first = F.struct(_long(_FULL).alias("more"), _long(0).alias("less"), m.alias("cost"), m.alias("best"), F.lit(0).alias("at"), F.lit(0).alias("k"))
-        return F.aggregate(text, first, step, lambda s: F.struct(s["best"].alias("best"), s["at"].alias("at")))
+        return use(lambda text: F.aggregate(text, first, step, lambda s: F.struct(s["best"].alias("best"), s["at"].alias("at"))))
 
     return _let(F.struct(masks.alias("masks"), _bit(m - 1).alias("top")), scanned)
 
 
-def _may_hold(text: Column, hint: Column, most: Column) -> Column:
-    """Whether one of `most` + 1 pieces of the hint stands in the text as it is; without one, more than `most` edits are needed."""
-    long = F.floor(F.length(hint) / (most + 1)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), most), lambda k: F.substr(hint, k * long + 1, long))
-    return F.when(long == 0, F.lit(True)).otherwise(F.exists(pieces, lambda p: F.contains(text, p)))
+#: What stretches are collected in: where a text has been read to, the stretch that may go on, and those before it.
+_STRETCH = "struct<low: int, high: int>"
+
+
+def _pushed(state: Column, low: Column, high: Column, at: Column) -> Column:
+    """`state` with one more stretch, that begins no earlier than those before it; what overlaps or touches is one."""
+    last = state["open"]
+    joins = last.isNotNull() & (low <= last["high"])
+    longer, other = F.struct(last["low"].alias("low"), F.greatest(last["high"], high).alias("high")), F.struct(low.alias("low"), high.alias("high"))
+    return F.struct(at.alias("at"), F.when(joins, longer).otherwise(other).alias("open"), F.when(joins | last.isNull(), state["done"]).otherwise(F.array_append(state["done"], last)).alias("done"))
+
+
+def _stretches(parts: Column, push: Callable[[Column, Column], Column]) -> Column:
+    first = F.struct(F.lit(0).alias("at"), F.lit(None).cast(_STRETCH).alias("open"), F.expr(f"cast(array() as array<{_STRETCH}>)").alias("done"))
+    return F.aggregate(parts, first, push, lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.array_append(s["done"], s["open"])))
+
+
+def _windows(text: Column, hint: Column, most: Column) -> Column:
+    """Array of struct(low, high): stretches of the text, apart from each other, that hold all spans within `most` edits of the hint.
+
+    One of `most` + 1 pieces of the hint stands in such a span as it is, and
+    the span reaches no further from that place than the hint does and `most`
+    characters more.  Where pieces would be empty, it is the whole text.
+    """
+    m, long = F.length(hint), F.floor(F.length(hint) / (most + 1)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), most), lambda k: F.struct((k * long).alias("at"), F.substr(hint, k * long + 1, long).alias("piece")))
+
+    def around(p: Column) -> Column:
+        # Every place where the piece begins ends a part, those that overlap too.
+        parts = F.split(text, F.concat(F.lit(r"(?=\Q"), F.replace(p["piece"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)")))
+
+        def push(state: Column, part: Column) -> Column:
+            low, at = state["at"] - p["at"] - most, state["at"] + F.length(part)
+            passed = F.struct(at.alias("at"), state["open"].alias("open"), state["done"].alias("done"))
+            return F.when((state["at"] > 0) | F.startswith(text, p["piece"]), _pushed(state, low, low + m + 2 * most, at)).otherwise(passed)
+
+        return F.when(F.contains(text, p["piece"]), _stretches(parts, push)).otherwise(F.expr(f"cast(array() as array<{_STRETCH}>)"))
+
+    whole = F.array(F.struct(F.lit(0).alias("low"), F.length(text).alias("high")))
+    return F.when(long == 0, whole).otherwise(_stretches(F.array_sort(F.flatten(F.transform(pieces, around))), lambda state, w: _pushed(state, w["low"], w["high"], state["at"])))
 
 
 def nearest_span(text: Column, hint: Column, most: Column) -> Column:
@@ -157,19 +197,26 @@ def nearest_span(text: Column, hint: Column, most: Column) -> Column:
     shortest.  A null text or hint has none, an empty hint the empty span at 0,
     an empty text one only if the hint may be left out.
     """
-    most = most.cast("int")
-    scan = lambda hint, text, anchored: F.when(F.size(hint) <= _ROWS, _scan_short(hint, text, anchored)).otherwise(_scan(hint, text, anchored))
-    if_any = lambda s: F.when(s["best"] <= most, s)
+    scan = lambda hint, anchored, use: F.when(F.size(hint) <= _ROWS, _scan_short(hint, anchored, use)).otherwise(_scan(hint, anchored, use))
+    part = lambda g, low, high: characters(F.substr(g["text"], low + 1, high - low))
+
+    def found(g: Column) -> Column:
+        def ahead(run: Callable[[Column], Column]) -> Column:
+            def within(w: Column) -> Column:
+                low = F.greatest(w["low"], F.lit(0))
+                return _let(run(part(g, low, w["high"])), lambda s: F.struct(s["best"].alias("best"), (low + s["at"]).alias("at")))
+
+            return F.array_min(F.transform(g["windows"], within))
 
-    def found(given: Column) -> Column:
         def back(s: Column) -> Column:
-            reach = F.slice(F.reverse(F.slice(given["text"], 1, s["at"])), 1, F.size(given["hint"]) + s["best"])
-            length = scan(F.reverse(given["hint"]), reach, True)
+            reach = F.reverse(part(g, F.greatest(s["at"] - F.size(g["chars"]) - s["best"], F.lit(0)), s["at"]))
+            length = scan(F.reverse(g["chars"]), True, lambda run: run(reach))
             return _let(length, lambda b: F.struct((s["at"] - b["at"]).alias("start"), s["at"].alias("end"), s["best"].alias("edits")))
 
-        ahead = scan(given["hint"], given["text"], False)
-        return _let(if_any(ahead), lambda s: F.when(s.isNotNull(), back(s)))
+        best = _let(scan(g["chars"], False, ahead), lambda s: F.when(s["best"] <= g["most"], s))
+        return F.when(F.size(g["windows"]) > 0, _let(best, lambda s: F.when(s.isNotNull(), back(s))))
 
     empty = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(0).alias("edits"))
-    chars = F.struct(characters(text).alias("text"), characters(hint).alias("hint"))
-    return F.when(hint == "", empty).when(text.isNotNull() & hint.isNotNull() & _may_hold(text, hint, most), _let(chars, found))
+    given = F.struct(text.alias("text"), hint.alias("hint"), most.cast("int").alias("most"))
+    prepared = lambda g: F.struct(g["text"].alias("text"), g["most"].alias("most"), characters(g["hint"]).alias("chars"), _windows(g["text"], g["hint"], g["most"]).alias("windows"))
+    return F.when(hint == "", empty).when(text.isNotNull() & hint.isNotNull(), _let(_let(given, prepared), found))

@@ -51,6 +51,34 @@ def test_spans_of_all_sizes_and_distances(spark):
     assert sum(x is not None and x[2] > 0 for x in got.values()) > 40
 
 
+def test_spans_lie_in_the_windows_of_pieces(spark):
+    """Pieces that overlap themselves, stand at the edges or many times, and hold what patterns have signs for."""
+    chance, rows = random.Random(5), []
+    for k in range(250):
+        letters = chance.choice(["a", "ab", r"\EQ[.]", "é😀x"])
+        m = chance.choice([8, 16, 30, 70])
+        hint = "".join(chance.choice(letters) for _ in range(m))
+        near = "".join(c for c in hint if chance.random() > 0.1)
+        text = "".join(chance.choice([near, hint[: m // 2], hint[m // 3 :], "--" * m, "".join(chance.choice(letters) for _ in range(m))]) for _ in range(chance.randint(1, 6)))
+        rows.append((k, text, hint, chance.choice([1, 3, m // 8, m // 4])))
+    df = spark.createDataFrame(rows, "k int, text string, hint string, most int").repartition(4)
+    got = {r["k"]: r["s"] and tuple(r["s"]) for r in df.select("k", spans.nearest_span(F.col("text"), F.col("hint"), F.col("most")).alias("s")).collect()}
+    assert got == {k: plainly(t, h, most) for k, t, h, most in rows}
+
+
+def test_work_is_around_the_pieces_of_a_hint(spark):
+    from time import monotonic
+
+    def seconds(hint):
+        df = spark.createDataFrame([(k, f"{'lorem ipsum ' * 20_000}hint that is here{' dolor sit' * 20_000}", hint) for k in range(8)], "k int, text string, hint string").repartition(4)
+        began = monotonic()
+        assert df.select(spans.nearest_span(F.col("text"), F.col("hint"), F.lit(2)).alias("s")).where("s.edits = 2 and s.start = 240000").count() == 8
+        return monotonic() - began
+
+    seconds("hint taht is here")
+    assert seconds("hint taht is here") < 8
+
+
 def test_kinds_of_spans(spark):
     rows = [("The  quick brown fox", "quick brown"), ("The  QUICK brown fox", "the quick Brown"), ("The quick brown fox jumps", "quikc brown fox"), ("The quick brown fox", "lazy dog"), ("", "a"), ("a", ""), (None, "a"), ("a", None), ("", "")]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, text string, hint string")
