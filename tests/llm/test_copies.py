@@ -544,3 +544,35 @@ def test_near_copies_at_the_bound(documents, prose, words):
     want = similar_classes(rows)
     assert {want[2 * k + 1] == 2 * k for k in range(40)} == {True, False}
     assert found_classes(documents, rows) == want
+
+
+def test_frequent_groups_are_counted_over_all_rows(spark):
+    """Of 4000 texts, a seed that 128 rows have is divided and one that 127 have is not, as are the narrower groups."""
+    least, rows, one, two = 2 * passages.HOT, [], 10**15, 10**16
+    for key in range(4000):
+        rows += [(key, 10 * k, seed) for k, seed in enumerate([s for s, n in ((one, least), (two, least - 1), (two + 1, least - 1)) if key < n] + [1000 + key])]
+    frame = spark.createDataFrame(rows, "key long, at int, seed long").repartition(5)
+    wide = [int(passages._mix(np.array([one], np.uint64), np.uint64(back))[0]) for back in (0, 1)]
+    assert set(passages.hot_groups(frame, 4 * passages.COUNTED).tolist()) == set()
+    # Nothing is before the first seed of a text, so that group of all its widths is as frequent.
+    hot = set(passages.hot_groups(frame, 2 * passages.COUNTED).tolist())
+    assert set(wide) < hot and len(hot) == 5 and int(passages._mix(np.array([two], np.uint64), np.uint64(0))[0]) not in hot
+
+
+def test_seeds_of_one_text_are_dropped_and_none_that_two_batches_have(prose):
+    """Rows of a seed that several texts of a batch have are dealt; a text elsewhere is told of them."""
+    import pyarrow as pa
+
+    chance = random.Random(3)
+    word = lambda: "".join(chance.choice("abcdefgh") for _ in range(6))
+    shared, own = [word() for _ in range(60)], lambda: [word() for _ in range(40)]
+    texts = [" ".join(own() + shared + own()) for _ in range(6)] + [" ".join(own() + shared), " ".join(own() * 2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(k), pa.int64()), pa.array([texts[i] for i in k])], ["key", "text"]) for k in (range(6), [6, 7])]
+    rows = pa.Table.from_batches(list(passages._find_seeds(batches))).sort_by([(c, "ascending") for c in ("seed", "part", "key", "at")])
+    assert max(rows.column("part").to_pylist()) > 0
+    got = pa.Table.from_batches(list(passages._repeated(iter(rows.to_batches())))).to_pylist()
+    of = {k: passages.seeds(passages.word_hashes(t)) for k, t in enumerate(texts)}
+    many = Counter(s for _, found in of.values() for s in set(found.tolist()))
+    want = {(np.uint64(s).astype(np.int64), k, p) for k, (at, found) in of.items() for p, s in zip(at.tolist(), found.tolist(), strict=True) if many[s] > 1}
+    assert {(r["seed"], r["key"], r["at"]) for r in got if r["long"] == 0} == want
+    assert {r["key"]: r["at"] for r in got if r["long"] < 0} == {k: len(t.split()) for k, t in enumerate(texts)}
